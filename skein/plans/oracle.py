@@ -254,3 +254,68 @@ SELECT p.prompt_id, {GRAPH_CONTEXT} AS context, coalesce(m.metadata, '') AS meta
 FROM prompts p LEFT JOIN ctx_blocks b ON b.prompt_id = p.prompt_id
 LEFT JOIN (SELECT prompt_id, string_agg(metadata, ',' ORDER BY metadata) AS metadata
            FROM meta_distinct GROUP BY prompt_id) m ON m.prompt_id = p.prompt_id""")
+
+# ------------------------------------------------------------------ vectors (V)
+cte("coll", """
+SELECT d.doc_id AS pk, d.text, d.source || '/' || d.lang || '/' || CAST(d.doc_id AS VARCHAR) AS path,
+       substr(d.text, 1, 120) AS context, d.source || ', ' || d.lang AS metadata, e.embedding AS dense_vector
+FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id""")
+cte("vtf", f"""
+SELECT id, term, count(*) AS tf FROM (
+  SELECT pk AS id, unnest(regexp_extract_all(lower(substr(text, 1, 400)), {TERMS_RE})) AS term FROM coll)
+GROUP BY id, term""")
+cte("vidf", """
+SELECT term, ln((1.0::DOUBLE + (SELECT count(DISTINCT id) FROM vtf)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf
+FROM vtf GROUP BY term""")
+cte("svec", """
+SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w
+FROM (SELECT t.id, t.term, t.tf * i.idf AS raw FROM vtf t JOIN vidf i ON i.term = t.term)""")
+cte("vq", "SELECT pk AS query_id, dense_vector FROM coll WHERE pk % 50 = 7 AND dense_vector IS NOT NULL")
+cte("dense_hits", """
+SELECT * FROM (
+  SELECT query_id, pk, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS INTEGER) AS rank
+  FROM (SELECT q.query_id, c.pk,
+               round(list_inner_product(CAST(q.dense_vector AS DOUBLE[]), CAST(c.dense_vector AS DOUBLE[])), 9) AS score
+        FROM vq q JOIN coll c ON c.pk <> q.query_id WHERE c.dense_vector IS NOT NULL))
+WHERE rank <= 4""")
+cte("sparse_hits", """
+SELECT * FROM (
+  SELECT query_id, pk, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS INTEGER) AS rank
+  FROM (SELECT q.id AS query_id, d.id AS pk, round(sum(q.w * d.w), 9) AS score
+        FROM svec q JOIN svec d ON q.term = d.term
+        WHERE q.id IN (SELECT query_id FROM vq) AND q.id <> d.id GROUP BY q.id, d.id))
+WHERE rank <= 4""")
+cte("fused", """
+SELECT coalesce(s.query_id, d.query_id) AS query_id, coalesce(s.pk, d.pk) AS pk,
+       s.score AS sparse_score, d.score AS dense_score,
+       round(0.7::DOUBLE * coalesce(0.5::DOUBLE + atan(s.score) / pi(), 0.0::DOUBLE)
+             + 1.0::DOUBLE * coalesce(0.5::DOUBLE + atan(d.score) / pi(), 0.0::DOUBLE), 9) AS score
+FROM sparse_hits s FULL OUTER JOIN dense_hits d ON s.query_id = d.query_id AND s.pk = d.pk""")
+cte("hybrid", """
+SELECT * FROM (SELECT query_id, pk, score,
+                      CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS INTEGER) AS rank
+               FROM fused) WHERE rank <= 4""")
+cte("hit_text", f"""
+SELECT h.query_id, h.rank, h.pk, replace(c.text, {NL}, '') AS text FROM hybrid h JOIN coll c ON c.pk = h.pk""")
+
+q("sparse_vectors", "SELECT id AS pk, term, round(w, 6) AS w FROM svec")
+q("dense_topk", "SELECT query_id, pk, round(score, 6) AS score, rank FROM dense_hits")
+q("sparse_topk", "SELECT query_id, pk, round(score, 6) AS score, rank FROM sparse_hits")
+q("weighted_fusion", """SELECT query_id, pk, round(sparse_score, 6) AS sparse_score,
+                               round(dense_score, 6) AS dense_score, round(score, 6) AS score FROM fused""")
+q("hybrid_search", "SELECT query_id, pk, round(score, 6) AS score, rank FROM hybrid")
+q("hit_texts", "SELECT * FROM hit_text")
+q("vector_context", f"""
+SELECT q.query_id, concat_ws({NL}, '*** Hybrid search results:', b.block) AS context
+FROM vq q LEFT JOIN (SELECT query_id, string_agg(CAST(rank AS VARCHAR) || '. ' || text || {NL} || repeat('-', 40), {NL} ORDER BY rank) AS block
+                     FROM hit_text GROUP BY query_id) b ON b.query_id = q.query_id""")
+q("collection_create", """SELECT CAST(('0x' || substr(md5(path || text), 1, 15)) AS BIGINT) AS pk, path, context, metadata
+                          FROM coll""")
+q("collection_length_check", """SELECT pk, strlen(text) AS text_bytes, strlen(path) AS path_bytes,
+    strlen(context) AS context_bytes, strlen(metadata) AS metadata_bytes,
+    strlen(text) <= 16384 AND strlen(path) <= 8192 AND strlen(context) <= 8192 AND strlen(metadata) <= 4096 AS accepted
+    FROM coll""")
+q("collection_info", """SELECT 'chunks' AS name, count(*) AS n_rows, (SELECT count(DISTINCT id) FROM svec) AS n_sparse,
+    count(dense_vector) AS n_dense FROM coll""")

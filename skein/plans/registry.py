@@ -211,3 +211,101 @@ def q_graph_context(spark, sf_dir):
 @register("graph_retrieve")
 def q_graph_retrieve(spark, sf_dir):
     return _retrieval(spark, sf_dir).retrieve(fx.prompts(spark))
+
+
+# ------------------------------------------------------------------ vectors
+
+from skein.operators import vectors as vec  # noqa: E402
+from skein.sources import collection as colx  # noqa: E402
+
+VECTOR_LIMIT = vec.INVOKE_LIMIT
+
+
+def _collection(spark, sf_dir):
+    coll = fx.chunk_collection(spark, sf_dir)
+    sparse, _ = vec.sparse_vectors(coll.select("pk", F.substring("text", 1, 400).alias("text")))
+    return coll, sparse
+
+
+def _vector_inputs(spark, sf_dir):
+    coll, sparse = _collection(spark, sf_dir)
+    queries = fx.vector_query_ids(coll)
+    q_sparse = sparse.join(queries.select(F.col("query_id").alias("id")), "id", "left_semi")
+    return coll, sparse, queries, q_sparse
+
+
+@register("sparse_vectors")
+def q_sparse_vectors(spark, sf_dir):
+    _, sparse = _collection(spark, sf_dir)
+    return sparse.select(F.col("id").alias("pk"), "term", r6("w").alias("w"))
+
+
+@register("dense_topk")
+def q_dense_topk(spark, sf_dir):
+    coll, _, queries, _ = _vector_inputs(spark, sf_dir)
+    d = vec.dense_topk(queries, coll, VECTOR_LIMIT, exclude_self=True)
+    return d.select("query_id", "pk", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+
+
+@register("sparse_topk")
+def q_sparse_topk(spark, sf_dir):
+    _, sparse, _, q_sparse = _vector_inputs(spark, sf_dir)
+    s = vec.sparse_topk(q_sparse, sparse, VECTOR_LIMIT, exclude_self=True)
+    return s.select("query_id", "pk", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+
+
+def _fused(spark, sf_dir):
+    coll, sparse, queries, q_sparse = _vector_inputs(spark, sf_dir)
+    s = vec.sparse_topk(q_sparse, sparse, VECTOR_LIMIT, exclude_self=True)
+    d = vec.dense_topk(queries, coll, VECTOR_LIMIT, exclude_self=True)
+    return coll, queries, vec.weighted_fusion(s, d)
+
+
+@register("weighted_fusion")
+def q_weighted_fusion(spark, sf_dir):
+    _, _, f = _fused(spark, sf_dir)
+    return f.select("query_id", "pk", r6("sparse_score").alias("sparse_score"),
+                    r6("dense_score").alias("dense_score"), r6("score").alias("score"))
+
+
+def _hybrid(spark, sf_dir):
+    coll, sparse, queries, q_sparse = _vector_inputs(spark, sf_dir)
+    h = vec.hybrid_search(q_sparse, sparse, queries, coll, VECTOR_LIMIT, exclude_self=True)
+    return coll, queries, h
+
+
+@register("hybrid_search")
+def q_hybrid_search(spark, sf_dir):
+    _, _, h = _hybrid(spark, sf_dir)
+    return h.select("query_id", "pk", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+
+
+@register("hit_texts")
+def q_hit_texts(spark, sf_dir):
+    coll, _, h = _hybrid(spark, sf_dir)
+    return vec.hit_texts(h, coll).withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("vector_context")
+def q_vector_context(spark, sf_dir):
+    coll, queries, h = _hybrid(spark, sf_dir)
+    return vec.vector_context(queries, vec.hit_texts(h, coll))
+
+
+@register("collection_create")
+def q_collection_create(spark, sf_dir):
+    coll = fx.chunk_collection(spark, sf_dir).drop("pk")
+    return colx.assign_pk(coll).select("pk", "path", "context", "metadata")
+
+
+@register("collection_length_check")
+def q_collection_length_check(spark, sf_dir):
+    c = colx.length_check(fx.chunk_collection(spark, sf_dir))
+    return c.select("pk", *[F.col(f + "_bytes").cast("bigint").alias(f + "_bytes") for f in colx.FIELD_LIMITS],
+                    "accepted")
+
+
+@register("collection_info")
+def q_collection_info(spark, sf_dir):
+    coll, sparse = _collection(spark, sf_dir)
+    return colx.collection_info(coll, sparse, "chunks")
