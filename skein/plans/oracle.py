@@ -319,3 +319,6 @@ q("collection_length_check", """SELECT pk, strlen(text) AS text_bytes, strlen(pa
     FROM coll""")
 q("collection_info", """SELECT 'chunks' AS name, count(*) AS n_rows, (SELECT count(DISTINCT id) FROM svec) AS n_sparse,
     count(dense_vector) AS n_dense FROM coll""")
+
+
+from skein.plans import oracle_prep  # noqa: E402,F401

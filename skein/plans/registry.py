@@ -309,3 +309,6 @@ def q_collection_length_check(spark, sf_dir):
 def q_collection_info(spark, sf_dir):
     coll, sparse = _collection(spark, sf_dir)
     return colx.collection_info(coll, sparse, "chunks")
+
+
+from skein.plans import queries_prep  # noqa: E402,F401  (registers D, E, F keys)
