@@ -322,3 +322,4 @@ q("collection_info", """SELECT 'chunks' AS name, count(*) AS n_rows, (SELECT cou
 
 
 from skein.plans import oracle_prep  # noqa: E402,F401
+from skein.plans import oracle_models  # noqa: E402,F401

@@ -312,3 +312,4 @@ def q_collection_info(spark, sf_dir):
 
 
 from skein.plans import queries_prep  # noqa: E402,F401  (registers D, E, F keys)
+from skein.plans import queries_models  # noqa: E402,F401  (registers models, G, H keys)
