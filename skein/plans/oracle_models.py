@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from skein.plans.oracle import GRAPH_CONTEXT, NL, TERMS_RE, cte, q
-from skein.plans.oracle_prep import lists, scorer, strip
+from skein.plans.oracle_prep import lists, scorer, strip  # noqa: F401  (pairs CTE registered there)
 
 
 def normalized(raw: str, mapped: bool) -> tuple[str, str]:
@@ -57,6 +57,21 @@ SELECT row_id, model,
             ELSE model || ': ' END AS line
 FROM mm_all""")
 
+q("model_errors", """
+SELECT doc_id AS row_id, 'fragile' AS model,
+       CASE WHEN length(text) % 7 = 0 THEN NULL WHEN length(text) % 2 = 1 THEN 'positive' ELSE 'negative' END AS label,
+       CASE WHEN length(text) % 7 = 0 THEN 'cannot score a text of ' || CAST(length(text) AS VARCHAR) || ' characters' END
+         AS error
+FROM documents""")
+
+NA_TOKENS = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+             "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
+q("scan_training_csv", f"""
+SELECT row_id, CASE WHEN prompt IN ({NA_TOKENS}) THEN NULL ELSE prompt END AS prompt,
+       CASE WHEN sentence IN ({NA_TOKENS}) THEN NULL ELSE sentence END AS sentence,
+       CASE WHEN label IN ({NA_TOKENS}) THEN NULL ELSE label END AS label
+FROM pairs""")
+
 # ------------------------------------------------------------------ pipeline
 cte("g_ctx", f"""
 SELECT p.prompt_id, p.prompt, {GRAPH_CONTEXT} AS graph_context

@@ -89,7 +89,7 @@ def q_select_best(spark, sf_dir):
 @register("scan_training_csv")
 def q_scan_training_csv(spark, sf_dir):
     path = os.path.join(checkpoint_dir(spark), "training-csv-" + uuid.uuid4().hex)
-    fx.training_pairs(spark, sf_dir).write.option("header", True).csv(path)
+    training_csv.write(fx.training_pairs(spark, sf_dir), path)
     return training_csv.read(spark, path)
 
 

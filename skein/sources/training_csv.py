@@ -12,6 +12,13 @@ NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 SCHEMA = "row_id BIGINT, prompt STRING, sentence STRING, label STRING"
 
 
+def write(df: DataFrame, path: str) -> None:
+    """Header + quoted fields; values keep their leading/trailing blanks."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
+
+
 def read(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:
     df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
           .schema(schema).csv(path))
