@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.session import cut_lineage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
 
@@ -35,6 +37,10 @@ def with_row_index(df: DataFrame, order_by: list, name: str = "row_idx",
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
                 .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+    # Range bounds are sampled per execution; the counts and the join below
+    # must see the same partitioning, so the numbered rows are written once
+    # to the shared checkpoint folder (this also survives executor loss).
+    ranged = cut_lineage(ranged)
     gcols = [F.col(g) for g in groups]
     counts = (ranged.groupBy("_pid", *gcols)
                     .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_local").alias("_first")))

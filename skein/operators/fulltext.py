@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms
+from skein.session import cut_lineage
 
 # Fixed values of the scoring model.
 BM25_K1 = 1.2
@@ -71,12 +72,20 @@ class FullTextIndex:
     corpus: DataFrame
 
     @classmethod
-    def build(cls, nodes: DataFrame, edges: DataFrame) -> "FullTextIndex":
+    def build(cls, nodes: DataFrame, edges: DataFrame, materialize: bool = True) -> "FullTextIndex":
+        """Index the graph. With ``materialize`` the postings and vocabulary are
+        written once to the shared checkpoint folder, since every search step
+        (fuzzy count, fuzzy join, scoring) reads them."""
         post = postings(index_items(nodes, edges))
-        return cls(post, term_stats(post), corpus_stats(post))
-
-    def save(self, path: str, buckets: int = 64) -> None:
-        """Persist the index; postings are bucketed by term for the term join."""
+        if materialize:
+            post = cut_lineage(post)
+            vocab = cut_lineage(term_stats(post))
+        else:
+            vocab = term_stats(post)
+        return cls(post, vocab, corpus_stats(post))
+
+    def save(self, path: str) -> None:
+        """Persist the index as parquet tables, partitioned by kind."""
         self.postings.write.mode("overwrite").partitionBy("kind") \
             .parquet(f"{path}/postings")
         self.terms.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/terms")
@@ -111,26 +120,50 @@ def _deletion_keys(col: str) -> F.Column:
     return F.expr(f"array_distinct(concat(array({col}), {one}, {two}))")
 
 
-def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
-                 max_expansions: int = MAX_EXPANSIONS) -> DataFrame:
-    """(prompt_id, kind, pos, query_term, term, distance, weight) for fuzzy terms.
+# Distinct fuzzy query terms up to which the band join below is used.
+MAX_BAND_QUERY_TERMS = 64
 
-    Candidates come from an equi-join on deletion keys (exact for edit
-    distance <= 2: two strings within distance 2 share a string reachable by at
-    most two deletions from each), then the true distance is checked.
-    """
-    fz = qterms.where("is_fuzzy").select("prompt_id", "pos", F.col("term").alias("query_term"))
-    # Only vocabulary terms in the length band of some query term get keys.
+
+def _band_candidates(fz: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Few query terms: every vocabulary term of a length within the edit
+    bound is a candidate. The query side is broadcast; its size was checked."""
+    q = fz.withColumn("len", F.explode(F.sequence(F.length("query_term") - MAX_EDITS,
+                                                  F.length("query_term") + MAX_EDITS)))
+    v = vocab.select("kind", "term").withColumn("len", F.length("term"))
+    return v.join(F.broadcast(q), "len").select("prompt_id", "kind", "pos", "query_term", "term")
+
+
+def _deletion_candidates(fz: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Many query terms: equi-join on deletion keys (exact for edit distance
+    <= 2: two strings within distance 2 share a string reachable by at most two
+    deletions from each). Work grows with the vocabulary, not with
+    vocabulary x queries."""
     lengths = (fz.select(F.explode(F.sequence(F.length("query_term") - MAX_EDITS,
                                               F.length("query_term") + MAX_EDITS)).alias("len"))
                  .distinct())
     v = vocab.select("kind", "term").withColumn("len", F.length("term"))
-    v = v.join(F.broadcast(lengths), "len", "left_semi")  # <= a few dozen integers
+    v = v.join(F.broadcast(lengths), "len", "left_semi")  # at most a few hundred integers
     v_keys = v.select("kind", "term", F.explode(_deletion_keys("term")).alias("key"))
     q_keys = fz.select("prompt_id", "pos", "query_term",
                        F.explode(_deletion_keys("query_term")).alias("key"))
-    cand = q_keys.join(v_keys, "key").select("prompt_id", "kind", "pos", "query_term", "term") \
+    return q_keys.join(v_keys, "key").select("prompt_id", "kind", "pos", "query_term", "term") \
                  .distinct()
+
+
+def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
+                 max_expansions: int = MAX_EXPANSIONS) -> DataFrame:
+    """(prompt_id, kind, pos, query_term, term, distance, weight) for fuzzy terms.
+
+    Candidates come from a length-band join (few query terms, checked by a
+    count) or a deletion-key join (beyond that); either way the true distance
+    is checked afterwards, so both give the same rows.
+    """
+    fz = qterms.where("is_fuzzy").select("prompt_id", "pos", F.col("term").alias("query_term"))
+    n_terms = fz.select("query_term").distinct().count()
+    if n_terms <= MAX_BAND_QUERY_TERMS:
+        cand = _band_candidates(fz, vocab)
+    else:
+        cand = _deletion_candidates(fz, vocab)
     d = F.levenshtein("term", "query_term", MAX_EDITS)
     minlen = F.least(F.length("term"), F.length("query_term"))
     scored = (cand.withColumn("distance", d)
