@@ -56,12 +56,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     recorded in the session, so every later call returns the same folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = _LOCAL_DIRS.get(id(spark.sparkContext))
     if not path:
         path = tempfile.mkdtemp(prefix="skein-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        _LOCAL_DIRS[id(spark.sparkContext)] = path
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some deployments reject core confs at run time
+            pass
     return path
 
 
+_LOCAL_DIRS: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = checkpoint_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
