@@ -1,0 +1,54 @@
+"""Point lookups of a small key set in a large table.
+
+A batch of prompts touches few ids (cut hits, their edges, the chunk keys of
+the top-k). Joining them against the whole graph or collection would scan
+every row and every text column. ``restrict`` counts the distinct keys and,
+when the count is under a bound, filters the large table with ``isin`` first:
+Spark pushes that filter into the parquet scan (row groups whose min/max
+exclude every key are skipped, which is effective on id-clustered tables).
+Above the bound the plain join is used unchanged. Either way the later join
+gives the same rows; the filter only removes rows the join would drop.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_LOOKUP_KEYS = 50_000
+# Tables estimated below this size are joined without the key filter.
+MIN_RESTRICT_BYTES = 256 * 1024 * 1024
+
+
+def key_list(keys: DataFrame, col: str, max_keys: int = MAX_LOOKUP_KEYS) -> list | None:
+    """Distinct non-null keys when there are at most ``max_keys`` of them, else None."""
+    d = keys.select(F.col(col).alias("k")).where(F.col("k").isNotNull()).distinct()
+    sample = d.limit(max_keys + 1).collect()  # bounded by construction
+    if len(sample) > max_keys:
+        return None
+    return [r["k"] for r in sample]
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes for scans; no job runs)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def restrict(big: DataFrame, big_cols: list[str], keys: DataFrame, key_col: str,
+             max_keys: int = MAX_LOOKUP_KEYS, min_bytes: int | None = None) -> DataFrame:
+    """Rows of ``big`` whose value in any of ``big_cols`` is among the keys
+    (all rows of ``big`` if the key set is larger than the bound, or if
+    ``big`` is estimated smaller than ``min_bytes``: then the plain join,
+    planned by AQE, is cheaper than an extra key-collecting job)."""
+    if min_bytes is None:
+        min_bytes = MIN_RESTRICT_BYTES
+    if estimated_bytes(big) < min_bytes:
+        return big
+    ks = key_list(keys, key_col, max_keys)
+    if ks is None:
+        return big
+    cond = F.lit(False)
+    for c in big_cols:
+        cond = cond | F.col(c).isin(ks)
+    return big.where(cond)

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.functions.lookup import restrict
 from skein.operators import fulltext as ft
 from skein.session import cut_lineage
 
@@ -149,11 +150,22 @@ class GraphRetrieval:
         index = index or ft.FullTextIndex.build(nodes, edges)
         keep = cut_lineage if materialize else (lambda df: df)
         kept = keep(ft.kept_hits(prompts, index, top_k, std_multiplier))
-        adj = adjacency(edges)
-        node_rows = keep(neighbors_inner(_hits(kept, ft.NODE), adj))
-        endpoints = keep(edge_endpoint_set(_hits(kept, ft.EDGE), edges))
-        expansion = keep(neighbors_optional(endpoints, adj, nodes))
-        return cls(kept, node_rows, endpoints, expansion, node_defaults(nodes), edges, nodes)
+        node_hits, edge_hits = _hits(kept, ft.NODE), _hits(kept, ft.EDGE)
+        # Each step reads only the graph rows its few keys can touch.
+        touching_hits = restrict(edges, ["src_id", "dst_id"], node_hits, "item_id")
+        node_rows = keep(neighbors_inner(node_hits, adjacency(touching_hits)))
+        endpoints = keep(edge_endpoint_set(edge_hits, restrict(edges, ["edge_id"], edge_hits, "item_id")))
+        ep_adj = adjacency(restrict(edges, ["src_id", "dst_id"], endpoints, "endpoint_id"))
+        label_ids = endpoints.select(F.col("endpoint_id").alias("id")).union(
+            ep_adj.select(F.col("other_id").alias("id")))
+        expansion = keep(neighbors_optional(endpoints, ep_adj, restrict(nodes, ["node_id"], label_ids, "id")))
+        seen = (node_rows.select(F.col("item_id").alias("id"))
+                .union(node_rows.select(F.col("neighbor_id").alias("id")))
+                .union(endpoints.select(F.col("src_id").alias("id")))
+                .union(endpoints.select(F.col("dst_id").alias("id")))
+                .union(expansion.select(F.col("neighbor_id").alias("id"))))
+        seen_nodes = node_defaults(restrict(nodes, ["node_id"], seen, "id"))
+        return cls(kept, node_rows, endpoints, expansion, seen_nodes, edges, nodes)
 
     # ---- B16
     def result_rows(self) -> DataFrame:

@@ -33,7 +33,11 @@ def r6(c) -> F.Column:
 # ------------------------------------------------------------------ graph
 
 def _graph(spark, sf_dir):
-    return fx.graph_nodes(spark, sf_dir), fx.graph_edges(spark, sf_dir)
+    """The graph tables, derived once per query and written as parquet to the
+    shared checkpoint folder (in a deployment they are stored tables)."""
+    from skein.session import write_table
+    return (write_table(fx.graph_nodes(spark, sf_dir), "nodes"),
+            write_table(fx.graph_edges(spark, sf_dir), "edges"))
 
 
 def _index(spark, sf_dir):
@@ -222,7 +226,8 @@ VECTOR_LIMIT = vec.INVOKE_LIMIT
 
 
 def _collection(spark, sf_dir):
-    coll = fx.chunk_collection(spark, sf_dir)
+    from skein.session import write_table
+    coll = write_table(fx.chunk_collection(spark, sf_dir), "chunks")
     sparse, _ = vec.sparse_vectors(coll.select("pk", F.substring("text", 1, 400).alias("text")))
     return coll, sparse
 

@@ -78,6 +78,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: the lineage is cut, and the scan has real file sizes for the
+    optimizer and pushes filters into parquet."""
+    import uuid
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
