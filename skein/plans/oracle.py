@@ -262,7 +262,7 @@ SELECT d.doc_id AS pk, d.text, d.source || '/' || d.lang || '/' || CAST(d.doc_id
 FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id""")
 cte("vtf", f"""
 SELECT id, term, count(*) AS tf FROM (
-  SELECT pk AS id, unnest(regexp_extract_all(lower(substr(text, 1, 400)), {TERMS_RE})) AS term FROM coll)
+  SELECT pk AS id, unnest(regexp_extract_all(lower(text), {TERMS_RE})) AS term FROM coll)
 GROUP BY id, term""")
 cte("vidf", """
 SELECT term, ln((1.0::DOUBLE + (SELECT count(DISTINCT id) FROM vtf)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf

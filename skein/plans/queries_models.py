@@ -195,7 +195,7 @@ def _sources(spark, sf_dir) -> ak.Sources:
     from skein.session import write_table
     nodes, edges, index = _index(spark, sf_dir)
     coll = write_table(fx.chunk_collection(spark, sf_dir), "chunks")
-    sparse, idf = vec.sparse_vectors(coll.select("pk", F.substring("text", 1, 400).alias("text")))
+    sparse, idf = vec.sparse_vectors(coll.select("pk", "text"))
     return ak.Sources(nodes=nodes, edges=edges, index=index, collection=coll, doc_sparse=sparse, idf=idf)
 
 

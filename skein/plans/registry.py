@@ -228,7 +228,7 @@ VECTOR_LIMIT = vec.INVOKE_LIMIT
 def _collection(spark, sf_dir):
     from skein.session import write_table
     coll = write_table(fx.chunk_collection(spark, sf_dir), "chunks")
-    sparse, _ = vec.sparse_vectors(coll.select("pk", F.substring("text", 1, 400).alias("text")))
+    sparse, _ = vec.sparse_vectors(coll.select("pk", "text"))
     return coll, sparse
 
 
