@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms
-from skein.session import cut_lineage
+from skein.functions.lookup import restrict
+from skein.session import cut_lineage, write_table
 
 # Fixed values of the scoring model.
 BM25_K1 = 1.2
@@ -77,12 +78,13 @@ class FullTextIndex:
         written once to the shared checkpoint folder, since every search step
         (fuzzy count, fuzzy join, scoring) reads them."""
         post = postings(index_items(nodes, edges))
-        if materialize:
-            post = cut_lineage(post)
-            vocab = cut_lineage(term_stats(post))
-        else:
-            vocab = term_stats(post)
-        return cls(post, vocab, corpus_stats(post))
+        if not materialize:
+            return cls(post, term_stats(post), corpus_stats(post))
+        # Parquet sorted by term inside each file: a batch's term filter is
+        # pushed into the scan and skips row groups by their min/max term.
+        post = write_table(post.sortWithinPartitions("kind", "term"), "postings")
+        vocab = write_table(term_stats(post).sortWithinPartitions("kind", "term"), "vocab")
+        return cls(post, vocab, cut_lineage(corpus_stats(post)))
 
     def save(self, path: str) -> None:
         """Persist the index as parquet tables, partitioned by kind."""
@@ -186,9 +188,13 @@ def expanded_terms(qterms: DataFrame, vocab: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ B4 / B5 search
 
 def search(expanded: DataFrame, index: FullTextIndex) -> DataFrame:
-    """(prompt_id, kind, item_id, score) – BM25 summed over matched terms."""
+    """(prompt_id, kind, item_id, score) – BM25 summed over matched terms.
+
+    The postings are first restricted to the batch's terms (a bounded key
+    filter pushed into the index scan when the index is large)."""
     q = expanded.join(index.terms, ["kind", "term"])
-    hits = q.join(index.postings, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")
+    post = restrict(index.postings, ["term"], expanded, "term")
+    hits = q.join(post, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")  # corpus: 1 row per kind
     idf = F.log(F.lit(1.0) + (F.col("n_items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl")))
     return (hits.groupBy("prompt_id", "kind", "item_id")
@@ -224,5 +230,5 @@ def cluster_cut(stats: DataFrame) -> DataFrame:
 def kept_hits(prompts: DataFrame, index: FullTextIndex, top_k: int = TOP_HITS,
               std_multiplier: float = 1.0) -> DataFrame:
     """Prompts to cut hits of both kinds: B2 -> B3 -> B4/B5 -> B6 -> B7 -> B8 -> B9."""
-    exp = expanded_terms(query_terms(prompts), index.terms)
+    exp = cut_lineage(expanded_terms(query_terms(prompts), index.terms))  # small: read twice
     return cluster_cut(score_stats(top_hits(search(exp, index), top_k), std_multiplier))
