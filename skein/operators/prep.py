@@ -154,6 +154,29 @@ def stratified_split(df: DataFrame, label_col: str = "label_id", id_col: str = "
                   .drop("_key", "_cidx", "n_test"))
 
 
+def balance_and_split(df: DataFrame, order: str = "split_then_balance", label_col: str = "label_id",
+                      id_col: str = "row_id", test_size: float = TEST_SIZE, seed: int = SEED) -> DataFrame:
+    """E8 + E9 in either order; adds ``split``.
+
+    ``split_then_balance`` (default) oversamples the training part only, so no
+    copy of a row lands on both sides. ``balance_then_split`` is the
+    reference's order: copies of one row can appear in train and test.
+    """
+    if order == "split_then_balance":
+        split = stratified_split(df, label_col, id_col, test_size, seed)
+        train = oversample(split.where(F.col("split") == "train").drop("split"), label_col, id_col, seed)
+        test = split.where(F.col("split") == "test").drop("split").withColumn("copy_id", F.lit(-1).cast("long"))
+        return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    if order == "balance_then_split":
+        bal = oversample(df, label_col, id_col, seed)
+        # copies need their own id for the ranking; keep the original id too
+        key = F.concat_ws(":", F.col(id_col).cast("string"), F.col("copy_id").cast("string"))
+        bal = bal.withColumn("_sid", key)
+        out = stratified_split(bal, label_col, "_sid", test_size, seed)
+        return out.drop("_sid")
+    raise ValueError(f"unknown order {order!r}")
+
+
 # --------------------------------------------------------------------- E10
 
 def class_weights(train: DataFrame, label_col: str = "label_id") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the text features.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-NUM_FEATURES = 1 << 18
+NUM_FEATURES = 1 << 16
 REG_PARAM = 0.01
 MAX_ITER = 50
 

@@ -188,6 +188,36 @@ def test_oversample_balances_with_existing_rows(spark):
     assert all(30 <= r.row_id < 42 for r in rest)
 
 
+def test_balance_orders(spark):
+    df = spark.createDataFrame([(i, 0 if i < 40 else 1) for i in range(50)], "row_id long, label_id int")
+    a = prep.balance_and_split(df, "split_then_balance").collect()
+    test_ids = {r.row_id for r in a if r.split == "test"}
+    train_ids = {r.row_id for r in a if r.split == "train"}
+    assert not test_ids & train_ids                      # no row on both sides
+    tr = [r for r in a if r.split == "train"]
+    assert sum(r.label_id == 0 for r in tr) == sum(r.label_id == 1 for r in tr)
+    b = prep.balance_and_split(df, "balance_then_split").collect()
+    assert len(b) == 80 and sum(r.split == "test" for r in b) == 16
+
+
+def test_collection_create_insert_and_length_rule(spark, tmp_path):
+    from skein.sources import collection as colx
+    name = "coll_" + tmp_path.name.replace("-", "_")
+    table = colx.create_collection(spark, name, str(tmp_path / "coll"))
+    assert table.count() == 0
+    rows = spark.createDataFrame(
+        [("short text", "p/1", "c", "m", [0.1, 0.2]), ("x" * 16385, "p/2", "c", "m", None)],
+        "text string, path string, context string, metadata string, dense_vector array<float>")
+    rejected = colx.insert_rows(rows, name)
+    assert [r.path for r in rejected.collect()] == ["p/2"]
+    again = colx.create_collection(spark, name)
+    got = again.collect()
+    assert len(got) == 1 and got[0].path == "p/1" and got[0].pk > 0
+    info = colx.collection_info(again, spark.createDataFrame([(got[0].pk, "t", 1.0)], "id long, term string, w double"))
+    r = info.first()
+    assert (r.n_rows, r.n_sparse, r.n_dense) == (1, 1, 1)
+
+
 def test_row_index_is_global_and_grouped(spark):
     df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("v"), (F.col("id") % 3).alias("g"))
     idx = with_row_index(df, ["v"], "i", num_partitions=7).orderBy("v").collect()
