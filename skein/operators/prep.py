@@ -139,12 +139,20 @@ def split_quotas(df: DataFrame, label_col: str = "label_id", test_size: float =
 
 
 def stratified_split(df: DataFrame, label_col: str = "label_id", id_col: str = "row_id",
-                     test_size: float = TEST_SIZE, seed: int = SEED) -> DataFrame:
+                     test_size: float = TEST_SIZE, seed: int = SEED,
+                     check_min_class: bool = True) -> DataFrame:
     """Adds ``split`` ('train'/'test') with exact per-class test quotas.
 
     Within a class rows are ranked by md5(seed:id) then id; the first
-    ``n_test`` go to test.
+    ``n_test`` go to test. As in the reference, a class with fewer than two
+    rows is an error unless ``check_min_class`` is off (then such a class is
+    split by the same quota rule).
     """
+    if check_min_class:
+        small = class_counts(df, label_col).where(F.col("n") < 2).limit(1).collect()  # <= 1 row
+        if small:
+            raise ValueError(f"class {small[0][label_col]!r} has only {small[0]['n']} row; "
+                             "a stratified split needs at least 2 per class")
     quotas = F.broadcast(split_quotas(df, label_col, test_size).select(label_col, "n_test"))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     ranked = with_row_index(df.withColumn("_key", key), ["_key", id_col], "_cidx", group_by=[label_col])

@@ -170,7 +170,7 @@ def test_dense_topk_paths_agree(spark):
 def test_stratified_split_is_exact_partition(spark, labels):
     counts = {c: labels.count(c) for c in set(labels)}
     df = spark.createDataFrame([(i, c) for i, c in enumerate(labels)], "row_id long, label_id int")
-    out = prep.stratified_split(df).collect()
+    out = prep.stratified_split(df, check_min_class=False).collect()
     assert sorted(r.row_id for r in out) == list(range(len(labels)))
     n_test = sum(r.split == "test" for r in out)
     assert n_test == math.ceil(0.2 * len(labels) - 1e-9)
@@ -179,6 +179,15 @@ def test_stratified_split_is_exact_partition(spark, labels):
         assert abs(t - 0.2 * n) < 1.0 + 1e-9
 
 
+def test_stratified_split_rejects_one_row_class(spark):
+    df = spark.createDataFrame([(i, 0) for i in range(10)] + [(10, 1)], "row_id long, label_id int")
+    try:
+        prep.stratified_split(df)
+        raise AssertionError("expected ValueError")
+    except ValueError as exc:
+        assert "at least 2" in str(exc)
+
+
 def test_oversample_balances_with_existing_rows(spark):
     df = spark.createDataFrame([(i, 0 if i < 30 else 1 + i % 2) for i in range(42)], "row_id long, label_id int")
     out = prep.oversample(df).collect()
