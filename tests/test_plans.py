@@ -38,6 +38,23 @@ def test_scan_reads_only_needed_columns(spark, sf_dir):
     assert "ReadSchema: struct<quality:int,toxic:int>" in p
 
 
+def test_key_lookup_is_pushed_into_parquet_scan(spark, sf_dir):
+    from skein.functions.lookup import restrict
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    keys = spark.createDataFrame([(5,), (7,)], "k long")
+    p = plan(restrict(docs, ["doc_id"], keys, "k", min_bytes=0))
+    assert "PushedFilters: [In(doc_id, [5,7])]" in p or "In(doc_id, [5,7])" in p
+    # small tables (under the size gate) are left alone: the join plans itself
+    assert restrict(docs, ["doc_id"], keys, "k") is docs
+
+
+def test_restrict_above_key_bound_is_plain_table(spark, sf_dir):
+    from skein.functions.lookup import restrict
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    keys = spark.range(0, 20).withColumnRenamed("id", "k")
+    assert restrict(docs, ["doc_id"], keys, "k", max_keys=10, min_bytes=0) is docs
+
+
 def test_search_filter_is_pushed_to_postings_join(spark, sf_dir):
     nodes, edges = fx.graph_nodes(spark, sf_dir), fx.graph_edges(spark, sf_dir)
     idx = ft.FullTextIndex.build(nodes, edges)
