@@ -52,6 +52,21 @@ def select_models(models: list[ModelSpec], selection: str) -> list[ModelSpec]:
     return picked
 
 
+def load_spark_models(paths: dict[str, str], mappings: dict[str, dict] | None = None
+                      ) -> tuple[list[ModelSpec], dict[str, str]]:
+    """Load saved Spark ML pipelines by name. Models that cannot be loaded are
+    left out and reported as ``{name: error}``, the others are returned."""
+    from pyspark.ml import PipelineModel
+    specs, failed = [], {}
+    for name, path in paths.items():
+        try:
+            specs.append(ModelSpec(name, CLASSIFY, spark_model=PipelineModel.load(path),
+                                   label_mapping=(mappings or {}).get(name, {})))
+        except Exception as exc:  # noqa: BLE001 - report and go on with the rest
+            failed[name] = str(exc).splitlines()[0] if str(exc) else type(exc).__name__
+    return specs, failed
+
+
 def normalize_label(label: F.Column, mapping: dict) -> tuple[F.Column, F.Column]:
     """(label, error). Digits -> mapping by number; text with '_' -> the
     number after the last '_' -> mapping; unmapped or other labels stay. A

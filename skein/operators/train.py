@@ -55,9 +55,15 @@ def predict_table(model: PipelineModel, df: DataFrame, id_col: str = "row_id",
                       F.array_max(vector_to_array("probability")).alias("p_max"))
 
 
-def save(model: PipelineModel, path: str) -> None:
-    """Write (overwrite) to a shared folder."""
+def save(model: PipelineModel, path: str, timestamped: bool = False) -> str:
+    """Write (overwrite) to a shared folder; with ``timestamped`` into a
+    new ``model_<UTC time>`` folder under ``path``. Returns the folder."""
+    if timestamped:
+        import datetime
+        stamp = datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%d_%H%M%S")
+        path = f"{path.rstrip('/')}/model_{stamp}"
     model.write().overwrite().save(path)
+    return path
 
 
 def load(path: str) -> PipelineModel:

@@ -49,6 +49,11 @@ def insert_rows(rows: DataFrame, name: str) -> DataFrame:
     return checked.where(~F.col("accepted"))
 
 
+def list_collections(spark: SparkSession, database: str | None = None) -> list[str]:
+    """Table names in name order (catalog metadata, no data read)."""
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
 def collection_info(collection: DataFrame, sparse: DataFrame, name: str = "collection") -> DataFrame:
     """One row: name, row count, rows with a sparse vector, rows with a dense vector."""
     rows = collection.select(F.lit(1).alias("r"),

@@ -37,6 +37,25 @@ def test_multiclass_beats_majority_baseline(spark):
     assert rep["accuracy"].f1 > max(support) / sum(support)
 
 
+def test_load_report_and_score_with_saved_model(spark, tmp_path):
+    from skein.operators import multimodel as mm
+    from skein.operators import train as tr
+    rows = [(i, "alpha beta" if i % 2 else "gamma delta", i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "row_id long, text string, label_id int")
+    model = tr.fit(df, ["zero", "one"], reg_param=0.1)
+    path = tr.save(model, str(tmp_path), timestamped=True)
+    assert "/model_" in path
+    specs, failed = mm.load_spark_models({"good": path, "missing": str(tmp_path / "nope")},
+                                         {"good": {0: "zero", 1: "one"}})
+    assert [s.name for s in specs] == ["good"] and set(failed) == {"missing"}
+    expr = mm.ModelSpec("len", mm.CLASSIFY, expr=lambda t: F.struct(
+        (F.length(t) % 2).cast("string").alias("label"), F.lit(1.0).alias("score")))
+    out = mm.score_all(df.select("row_id", "text"), specs + [expr])
+    assert out.count() == 60
+    got = {r.row_id: r.label for r in out.where("model = 'good'").collect()}
+    assert got[1] == "one" and got[0] == "zero"
+
+
 def test_duplicated_row_equals_double_weight(spark):
     # The class-weighted loss: a row counted twice equals the row with weight 2
     # (checked on fixed features; the idf stage itself is fitted on rows).
