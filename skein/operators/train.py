@@ -1,6 +1,6 @@
 """Model fitting and prediction with Spark ML.
 
-The reference fine-tunes transformers on one machine; here the same data path
+The reference fine-tunes neural classifiers on one machine; here the same data path
 ends in a distributed linear model over hashed tf-idf text features. The class
 weights of the reference's weighted loss become ``weightCol`` (Spark divides
 by the weight sum, as a weighted mean loss does); ``weight_decay`` becomes

@@ -9,6 +9,18 @@ from skein.sources import fixtures as fx
 from skein.streaming import prompts as sp
 
 
+def test_pipeline_filter_with_model_keeps_order(spark):
+    from skein.operators import train as tr
+    rows = [(i, f"keep this {i}" if i % 2 else f"drop that {i}", i % 2) for i in range(40)]
+    model = tr.fit(spark.createDataFrame(rows, "row_id long, text string, label_id int"),
+                   ["unnecessary", "necessary"], reg_param=0.01)
+    df = spark.createDataFrame([(1, "q", "keep this 1. drop that 2. keep this 3."), (2, "q", "")],
+                               "prompt_id int, prompt string, graph_context string")
+    out = {r.prompt_id: r.graph_context for r in
+           ak.filter_context_with_model(df, "graph_context", "prompt", model).collect()}
+    assert out[1] == "keep this 1. keep this 3." and out[2] == ""
+
+
 def test_stream_matches_batch(spark, sf_dir):
     base = tempfile.mkdtemp(prefix="stream-", dir=os.path.dirname(sp.checkpoint_dir(spark)) or None)
     inbox, out = os.path.join(base, "in"), os.path.join(base, "out")
