@@ -227,15 +227,27 @@ class GraphRetrieval:
         return m.where(F.col("metadata") != "").distinct()
 
     # ---- B22
+    def _node_lines(self) -> DataFrame:
+        return (self.context_nodes()
+                    .where((F.col("name") != "") & (F.col("labeled") != ""))
+                    .select("prompt_id", F.concat(F.col("name"), F.lit(": is a "), F.col("labeled"),
+                                                  F.lit(" of description: "), F.col("description"))
+                            .alias("line")))
+
+    def context_lines(self) -> DataFrame:
+        """Long form of the rendered context: (prompt_id, section, line), one row
+        per node or relation line. Nothing is grouped, so a prompt whose hits
+        touch a hub stays spread over many tasks."""
+        nodes = self._node_lines().withColumn("section", F.lit("nodes"))
+        rels = self.context_relations().select("prompt_id", F.col("description").alias("line")) \
+                   .withColumn("section", F.lit("relationships"))
+        return nodes.unionByName(rels).select("prompt_id", "section", "line")
+
     def contexts(self) -> DataFrame:
-        """(prompt_id, context) for prompts with at least one node or relation."""
-        node_lines = (self.context_nodes()
-                          .where((F.col("name") != "") & (F.col("labeled") != ""))
-                          .select("prompt_id", F.concat(F.col("name"), F.lit(": is a "), F.col("labeled"),
-                                                        F.lit(" of description: "), F.col("description"))
-                                  .alias("line")))
+        """(prompt_id, node_block, rel_block) for prompts with at least one
+        node or relation: the sorted lines of each section joined into text."""
         rel_lines = self.context_relations().select("prompt_id", F.col("description").alias("line"))
-        nb = _block(node_lines, "node_block")
+        nb = _block(self._node_lines(), "node_block")
         rb = _block(rel_lines, "rel_block")
         return nb.join(rb, "prompt_id", "full")
 
