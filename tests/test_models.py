@@ -14,6 +14,8 @@ def test_rows_only_keys_run(spark, sf_dir, key):
     df = QUERIES[key](spark, sf_dir)
     assert df.count() >= 0
     assert len(df.columns) > 0
+    for f in df.schema.fields:
+        assert f.dataType.simpleString() in ("string", "int", "bigint", "double", "boolean"), f
 
 
 def test_model_roundtrip_equal_predictions(spark, sf_dir):

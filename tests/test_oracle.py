@@ -19,9 +19,18 @@ def _norm(v):
     return v
 
 
+FLAT = ("string", "int", "bigint", "double", "boolean", "float")
+
+
+def assert_flat(sdf):
+    for f in sdf.schema.fields:
+        assert f.dataType.simpleString() in FLAT, (f.name, f.dataType.simpleString())
+
+
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, sf_dir, key):
     sdf = QUERIES[key](spark, sf_dir)
+    assert_flat(sdf)
     scols = sdf.columns
     srows = sdf.collect()
     res = duck.sql(ORACLE[key])
