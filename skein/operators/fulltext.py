@@ -87,10 +87,12 @@ class FullTextIndex:
         return cls(post, vocab, cut_lineage(corpus_stats(post)))
 
     def save(self, path: str) -> None:
-        """Persist the index as parquet tables, partitioned by kind."""
-        self.postings.write.mode("overwrite").partitionBy("kind") \
+        """Persist the index as parquet tables, partitioned by kind and sorted
+        by term inside each file (term filters then skip row groups)."""
+        self.postings.sortWithinPartitions("kind", "term").write.mode("overwrite").partitionBy("kind") \
             .parquet(f"{path}/postings")
-        self.terms.write.mode("overwrite").partitionBy("kind").parquet(f"{path}/terms")
+        self.terms.sortWithinPartitions("kind", "term").write.mode("overwrite").partitionBy("kind") \
+            .parquet(f"{path}/terms")
         self.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
 
     @classmethod
