@@ -135,6 +135,20 @@ def test_isolated_hit_vanishes_from_inner_match(spark):
     assert {r.item_id for r in rows} == {"c"}
 
 
+def test_index_roundtrip_and_termless_prompt(spark, tmp_path):
+    nodes, edges = _graph(spark)
+    idx = ft.FullTextIndex.build(nodes, edges)
+    idx.save(str(tmp_path / "idx"))
+    again = ft.FullTextIndex.load(spark, str(tmp_path / "idx"))
+    cols = ["kind", "item_id", "term", "tf", "dl"]
+    assert sorted(map(tuple, idx.postings.select(*cols).collect())) == \
+        sorted(map(tuple, again.postings.select(*cols).collect()))
+    prompts = spark.createDataFrame([(1, "???"), (2, "da")], "prompt_id int, prompt string")
+    out = {r.prompt_id: r for r in gr.GraphRetrieval.run(prompts, nodes, edges, again).retrieve(prompts).collect()}
+    assert out[1].context == "*** Nodes:\n\n\n*** Relationships" and out[1].metadata == ""
+    assert "A: is a person of description: da" in out[2].context
+
+
 # ------------------------------------------------------------------- vectors
 
 def test_fusion_with_zero_weight_is_single_list(spark):
