@@ -197,7 +197,7 @@ def search(expanded: DataFrame, index: FullTextIndex) -> DataFrame:
 
     The postings are first restricted to the batch's terms (a bounded key
     filter pushed into the index scan when the index is large)."""
-    q = expanded.join(index.terms, ["kind", "term"])
+    q = expanded.join(restrict(index.terms, ["term"], expanded, "term"), ["kind", "term"])
     post = restrict(index.postings, ["term"], expanded, "term")
     hits = q.join(post, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")  # corpus: 1 row per kind
     idf = F.log(F.lit(1.0) + (F.col("n_items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
