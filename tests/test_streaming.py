@@ -21,6 +21,23 @@ def test_pipeline_filter_with_model_keeps_order(spark):
     assert out[1] == "keep this 1. keep this 3." and out[2] == ""
 
 
+def test_answer_step_and_failure_gives_null(spark):
+    df = spark.createDataFrame([(1, "ctx a", "", "who?"), (2, "ctx b", "v", "what?")],
+                               "prompt_id int, graph_context string, vector_context string, prompt string")
+    from pyspark.sql import functions as F
+    with_text = df.withColumn("prompt_text", ak.render_prompt(F.col("graph_context"), F.col("vector_context"),
+                                                              F.col("prompt")))
+    ok = {r.prompt_id: r for r in ak.answer(with_text, lambda s: s.str.len().astype(str)).collect()}
+    assert ok[1].llm_response == str(len(ok[1].prompt_text))
+    assert ok[1].prompt_text.startswith("Using the provided contexts") and "context1: ctx a" in ok[1].prompt_text
+    assert ok[1].prompt_text.endswith("question: who?\n            ")
+
+    def broken(s):
+        raise RuntimeError("server down")
+    bad = ak.answer(with_text, broken).collect()
+    assert all(r.llm_response is None for r in bad)
+
+
 def test_stream_matches_batch(spark, sf_dir):
     base = tempfile.mkdtemp(prefix="stream-", dir=os.path.dirname(sp.checkpoint_dir(spark)) or None)
     inbox, out = os.path.join(base, "in"), os.path.join(base, "out")
