@@ -19,10 +19,17 @@ def test_top_k_uses_window_group_limit(spark, sf_dir):
     assert "WindowGroupLimit" in p
 
 
-def test_graph_retrieval_has_no_cartesian_product(spark, sf_dir):
-    p = plan(QUERIES["graph_retrieve"](spark, sf_dir))
-    assert "CartesianProduct" not in p
-    assert "BroadcastNestedLoopJoin" not in p
+def test_no_cartesian_or_nested_loop_joins(spark, sf_dir):
+    for key in ("graph_retrieve", "hybrid_search", "ask_pipeline", "stratified_split", "oversample",
+                "encode_fixed_length", "confusion_matrix", "multi_model_score"):
+        p = plan(QUERIES[key](spark, sf_dir))
+        assert "CartesianProduct" not in p, key
+        assert "BroadcastNestedLoopJoin" not in p, key
+
+
+def test_dense_search_is_a_block_product(spark, sf_dir):
+    p = plan(QUERIES["dense_topk"](spark, sf_dir))
+    assert "MapInPandas" in p and "WindowGroupLimit" in p
 
 
 def test_no_python_in_relational_keys(spark, sf_dir):
