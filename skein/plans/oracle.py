@@ -64,7 +64,7 @@ FROM documents""")
 cte("nodes", """
 SELECT node_id, name,
        CASE doc_id % 4 WHEN 0 THEN 'person' WHEN 1 THEN 'organization' WHEN 2 THEN 'event' END AS labeled,
-       substr(text, 1, 400) AS description,
+       text AS description,
        CASE WHEN doc_id % 3 = 0 THEN source || ', ' || lang END AS metadata
 FROM named
 UNION ALL
@@ -78,7 +78,7 @@ cte("edges", """
 SELECT 'pub:' || CAST(doc_id AS VARCHAR) AS edge_id, node_id AS src_id, 'src:' || source AS dst_id,
        'published_in' AS rel_type, name || ' published in ' || source AS description FROM gkept
 UNION ALL
-SELECT 'fol:' || CAST(doc_id AS VARCHAR), node_id, next_node, 'follows', substr(text, 401, 200)
+SELECT 'fol:' || CAST(doc_id AS VARCHAR), node_id, next_node, 'follows', text
 FROM gseq WHERE next_node IS NOT NULL
 UNION ALL
 SELECT 'cit:' || CAST(doc_id AS VARCHAR), node_id, 'src:' || source, 'cites', name || ' cites ' || source

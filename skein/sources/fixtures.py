@@ -54,7 +54,7 @@ def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(F.col("doc_id") % 4 == 2, F.lit(DOC_LABELS[2]))
     doc_nodes = d.select(
         "node_id", "name", labeled.alias("labeled"),
-        F.substring("text", 1, 400).alias("description"),
+        F.col("text").alias("description"),  # the whole text
         F.when(F.col("doc_id") % 3 == 0, F.concat_ws(", ", "source", "lang")).alias("metadata"))
     src_nodes = (d.groupBy("source")
                   .agg(F.array_join(F.sort_array(F.collect_set("lang")), " ").alias("langs"))
@@ -85,7 +85,7 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                       .select(F.concat(F.lit("fol:"), F.col("doc_id").cast("string")).alias("edge_id"),
                               F.col("node_id").alias("src_id"), F.col("next_node").alias("dst_id"),
                               F.lit("follows").alias("rel_type"),
-                              F.substring("text", 401, 200).alias("description")))
+                              F.col("text").alias("description")))  # the whole text
     cites = (d.where(F.col("doc_id") % 10 == 0)
               .select(F.concat(F.lit("cit:"), F.col("doc_id").cast("string")).alias("edge_id"),
                       F.col("node_id").alias("src_id"), src_node.alias("dst_id"),

@@ -135,6 +135,17 @@ def test_isolated_hit_vanishes_from_inner_match(spark):
     assert {r.item_id for r in rows} == {"c"}
 
 
+def test_empty_relation_descriptions_are_dropped(spark):
+    nodes, edges = _graph(spark)
+    extra = spark.createDataFrame([("e7", "a", "e", "r", ""), ("e8", "a", "c", "r", None)], EDGE_SCHEMA)
+    edges = edges.unionByName(extra)
+    prompts = spark.createDataFrame([(1, "da")], "prompt_id int, prompt string")
+    g = gr.GraphRetrieval.run(prompts, nodes, edges)
+    rels = {r.description for r in g.context_relations().collect()}
+    assert rels and "" not in rels and None not in rels
+    assert {"ab", "ab2", "aa", "ad"} <= rels
+
+
 def test_index_roundtrip_and_termless_prompt(spark, tmp_path):
     nodes, edges = _graph(spark)
     idx = ft.FullTextIndex.build(nodes, edges)
