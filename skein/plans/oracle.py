@@ -258,7 +258,8 @@ LEFT JOIN (SELECT prompt_id, string_agg(metadata, ',' ORDER BY metadata) AS meta
 # ------------------------------------------------------------------ vectors (V)
 cte("coll", """
 SELECT d.doc_id AS pk, d.text, d.source || '/' || d.lang || '/' || CAST(d.doc_id AS VARCHAR) AS path,
-       substr(d.text, 1, 120) AS context, d.source || ', ' || d.lang AS metadata, e.embedding AS dense_vector
+       d.source || ' ' || d.lang || ' document ' || CAST(d.doc_id AS VARCHAR) AS context,
+       d.source || ', ' || d.lang AS metadata, e.embedding AS dense_vector
 FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id""")
 cte("vtf", f"""
 SELECT id, term, count(*) AS tf FROM (

@@ -43,7 +43,7 @@ SELECT row_id, model, 'text-classification' AS task, label, CASE WHEN error IS N
        CAST(NULL AS VARCHAR) AS generated_text, error FROM mm_norm
 UNION ALL
 SELECT doc_id, 'writer', 'text-generation', NULL, CASE WHEN doc_id % 2 = 1 THEN (doc_id % 101) / 101.0::DOUBLE END,
-       substr(text, 1, 40), NULL FROM documents""")
+       CAST(len(regexp_extract_all(lower(text), """ + TERMS_RE + """)) AS VARCHAR) || ' terms', NULL FROM documents""")
 
 q("multi_model_score", """SELECT row_id, model, task, label, round(score, 6) AS score, generated_text, error
                           FROM mm_all""")

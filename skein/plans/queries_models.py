@@ -9,6 +9,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import functions as F
 
+from skein.functions.text import terms
 from skein.operators import multimodel as mm
 from skein.operators import prep
 from skein.operators import sentences as sn
@@ -133,7 +134,7 @@ def derived_models() -> list[mm.ModelSpec]:
             F.when(F.length(t) > 2000, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
             ((rid % 983) / 983.0).alias("score"))),
         mm.ModelSpec("writer", mm.GENERATE, expr=lambda t: F.struct(
-            F.substring(t, 1, 40).alias("generated_text"),
+            F.concat(F.size(terms(t)).cast("string"), F.lit(" terms")).alias("generated_text"),
             F.when(rid % 2 == 1, (rid % 101) / 101.0).alias("score"))),
     ]
 

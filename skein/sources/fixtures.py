@@ -113,7 +113,8 @@ def chunk_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (d.join(e, d.doc_id == e.vec_id, "left")
              .select(F.col("doc_id").alias("pk"), "text",
                      F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"),
-                     F.substring("text", 1, 120).alias("context"),
+                     F.concat_ws(" ", "source", "lang", F.lit("document"),
+                                 F.col("doc_id").cast("string")).alias("context"),
                      F.concat_ws(", ", "source", "lang").alias("metadata"),
                      F.col("embedding").alias("dense_vector")))
 
