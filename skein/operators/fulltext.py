@@ -48,8 +48,12 @@ def index_items(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def postings(items: DataFrame) -> DataFrame:
-    """(kind, item_id, term, tf, dl). Items without any term have no row."""
-    toks = items.select("kind", "item_id", terms("text").alias("toks"))
+    """(kind, item_id, term, tf, dl). Items without any term have no row.
+
+    Texts are hash-partitioned by item first (one shuffle of the texts, which
+    are smaller than their postings); the aggregation per (item, term) then
+    runs without another exchange."""
+    toks = items.repartition("item_id").select("kind", "item_id", terms("text").alias("toks"))
     toks = toks.select("kind", "item_id", F.size("toks").alias("dl"),
                        F.explode("toks").alias("term"))
     return toks.groupBy("kind", "item_id", "term").agg(
