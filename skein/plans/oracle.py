@@ -271,7 +271,10 @@ FROM vtf GROUP BY term""")
 cte("svec", """
 SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w
 FROM (SELECT t.id, t.term, t.tf * i.idf AS raw FROM vtf t JOIN vidf i ON i.term = t.term)""")
-cte("vq", "SELECT pk AS query_id, dense_vector FROM coll WHERE pk % 50 = 7 AND dense_vector IS NOT NULL")
+cte("vq", """
+SELECT c.pk AS query_id, c.dense_vector FROM coll c
+JOIN (SELECT split_part(metadata, ', ', 1) AS src, min(pk) AS first_pk FROM coll
+      WHERE dense_vector IS NOT NULL GROUP BY src) f ON f.first_pk = c.pk""")
 cte("dense_hits", """
 SELECT * FROM (
   SELECT query_id, pk, score,

@@ -120,9 +120,14 @@ def chunk_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_query_ids(collection: DataFrame) -> DataFrame:
-    """Query rows of V: documents with doc_id % 50 = 7 that have a vector."""
-    return (collection.where((F.col("pk") % 50 == 7) & F.col("dense_vector").isNotNull())
-                      .select(F.col("pk").alias("query_id"), "text", "dense_vector"))
+    """Query rows of V (a batch standing in for prompts): per source, the chunk
+    with the smallest key among those that have a vector. The source is the
+    first part of ``metadata``; one partial aggregation picks the batch."""
+    with_vec = collection.where(F.col("dense_vector").isNotNull())
+    firsts = (with_vec.groupBy(F.split("metadata", ", ").getItem(0).alias("src"))
+                      .agg(F.min("pk").alias("query_id")))
+    return (with_vec.join(firsts, with_vec.pk == firsts.query_id, "inner")
+                    .select("query_id", "text", "dense_vector"))
 
 
 # -------------------------------------------------------------- sentences (S)
