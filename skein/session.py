@@ -87,9 +87,25 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     import uuid
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(id(df.sparkSession.sparkContext), []).append(path)
     return df.sparkSession.read.parquet(path)
 
 
+_WRITTEN: dict = {}
+
+
+def drop_written_tables(spark: SparkSession) -> int:
+    """Delete the tables this session wrote with ``write_table`` (call it once
+    the DataFrames that read them are no longer needed). Returns the count."""
+    paths = _WRITTEN.pop(id(spark.sparkContext), [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -252,6 +252,19 @@ def test_collection_create_insert_and_length_rule(spark, tmp_path):
     assert (r.n_rows, r.n_sparse, r.n_dense) == (1, 1, 1)
 
 
+def test_written_tables_can_be_dropped(spark):
+    import os
+
+    from skein.session import _WRITTEN, drop_written_tables, write_table
+    before = len(_WRITTEN.get(id(spark.sparkContext), []))
+    t = write_table(spark.range(5), "tmp")
+    assert t.count() == 5
+    paths = list(_WRITTEN[id(spark.sparkContext)])
+    assert len(paths) == before + 1
+    assert drop_written_tables(spark) == before + 1
+    assert not any(os.path.exists(p) for p in paths)
+
+
 def test_row_index_is_global_and_grouped(spark):
     df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("v"), (F.col("id") % 3).alias("g"))
     idx = with_row_index(df, ["v"], "i", num_partitions=7).orderBy("v").collect()
