@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.operators import fulltext as ft
@@ -173,7 +173,6 @@ def q_edge_expansion(spark, sf_dir):
 @register("search_ordered")
 def q_search_ordered(spark, sf_dir):
     g = _retrieval(spark, sf_dir)
-    from pyspark.sql import Window
     w = Window.partitionBy("prompt_id", "kind").orderBy(F.desc("score"), F.asc("item_id"))
     rows = g.result_rows().withColumn("rank", F.row_number().over(w).cast("int"))
     return rows.select("prompt_id", "kind", "item_id", r6("score").alias("score"),
