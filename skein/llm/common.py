@@ -73,3 +73,67 @@ def unpack(packed: DataFrame, name: str = "__row") -> DataFrame:
 
 def unsigned(values: np.ndarray) -> np.ndarray:
     return values.astype(np.int64, copy=False).view(np.uint64)
+
+
+#: Distinct keys of a chunk of the frequent-key count (a chunk's threshold grows with the chunk).
+CHUNK_KEYS = 2_000_000
+#: Frequent keys that may be shipped to every worker; beyond it they are counted by a shuffle.
+MAX_CANDIDATES = 4_000_000
+
+
+def frequent(texts: DataFrame, counted: Callable[[list[bytes]], tuple[dict, int]], rate: float, key_type: str = "binary",
+             max_candidates: int = MAX_CANDIDATES, batch_rows: int = 512) -> tuple[dict, int]:
+    """({key: count}, total) of all keys whose count is at least ``rate`` times the total.
+
+    ``texts`` has one binary or string column; ``counted`` returns the counts of some texts and
+    what they add to the total. Exact in two passes: a key that reaches the rate over everything
+    reaches it in at least one chunk, so the first pass returns each chunk's own frequent keys (a
+    few rows, not the long tail), and the second counts these candidates everywhere. If the
+    candidates exceed ``max_candidates`` all keys are counted by a shuffle instead.
+    """
+    spark = texts.sparkSession
+    arrow = pa.binary() if key_type == "binary" else pa.int64()
+    schema = f"k {key_type}, c long"
+
+    def chunks(batches: Iterable[pa.RecordBatch], wanted: set | None) -> Iterator[tuple[dict, int]]:
+        acc: dict = {}
+        total = 0
+        for b in batches:
+            values = utf8(b.column(0))
+            for at in range(0, len(values), batch_rows):
+                part, weight = counted(values[at: at + batch_rows])
+                total += weight
+                for k, c in part.items():
+                    if wanted is None or k in wanted:
+                        acc[k] = acc.get(k, 0) + c
+                if len(acc) >= CHUNK_KEYS:
+                    yield acc, total
+                    acc, total = {}, 0
+        yield acc, total
+
+    def rows(acc: dict, total: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([*acc, None], arrow), pa.array([*acc.values(), total], pa.int64())], ["k", "c"])
+
+    def local(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for acc, total in chunks(batches, None):
+            yield rows({k: c for k, c in acc.items() if c >= rate * total}, total)
+
+    first = texts.mapInArrow(local, schema).groupBy("k").agg(F.sum("c").alias("c"))
+    got = first.limit(max_candidates + 2).collect()
+    total = next((r["c"] for r in got if r["k"] is None), 0)
+    if not total:
+        return {}, 0
+    if len(got) <= max_candidates + 1:
+        shipped = spark.sparkContext.broadcast({bytes(r["k"]) if key_type == "binary" else r["k"] for r in got if r["k"] is not None})
+
+        def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for acc, n in chunks(batches, shipped.value):
+                yield rows(acc, n)
+
+        counts = texts.mapInArrow(exact, schema)
+    else:
+        counts = texts.mapInArrow(lambda bs: (rows(*x) for x in chunks(bs, None)), schema)
+    summed = counts.groupBy("k").agg(F.sum("c").alias("c"))
+    total = summed.where("k is null").agg(F.sum("c")).first()[0]
+    kept = summed.where(F.col("k").isNotNull() & (F.col("c") >= F.lit(rate * total))).collect()
+    return {bytes(r["k"]) if key_type == "binary" else r["k"]: r["c"] for r in kept}, total

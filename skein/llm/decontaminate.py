@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import utf8
+from skein.llm.common import pack, unpack, utf8
 
 #: Bytes of item text per automaton (an automaton takes up to 500 times its items' bytes).
 SLICE_BYTES = 512 * 1024
@@ -173,3 +173,10 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
                          "items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "spans")
             # contaminated: hit words are a twentieth of all words or more
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))))
+
+
+def keep_uncontaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the contaminated rows."""
+    rows = pack(docs).select("__row", F.col(f"__row.`{text}`").alias("text"))
+    told = matches(rows, items, doc_id="__row", text="text", **options)
+    return unpack(told.where(~F.col("contaminated")).select("__row"))

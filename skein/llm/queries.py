@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.llm.common import held_out
 from skein.session import checkpoint_dir
 from skein.sources.tables import read_table
 
@@ -30,6 +31,20 @@ def op1_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, max_bits=3)
 
 
+@query
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.imatch import lexicon, robustness
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return robustness(docs, lexicon(docs.select("text")))
+
+
+@query
+def op3_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.backoff_lm import held_out_scores
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return held_out_scores(docs, held_out(F.col("doc_id"), 7, 2))
+
+
 @query
 def op4_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -49,6 +64,19 @@ def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.kn_quality import score
+    scored = score(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"), read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return scored.select("doc_id", "lang", "n_tokens", "perplexity", "smoothed", "threshold", "kept")
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.toxicity import held_out_scores
+    return held_out_scores(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 @query
 def op8_aho_corasick(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skein.llm.decontaminate import matches
