@@ -213,9 +213,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 
 def held_out_scores(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Scores of all rows from a model of those that are not held out; with the column held_out."""
-    train = docs.where(~held).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    scored = score(docs.select(F.struct(F.col(doc_id).alias("id"), held.alias("held")).alias("key"), F.col(text).alias("text")),
-                   Model(train, **options), "key", "text")
-    return scored.select(F.col("doc_id.id").alias("doc_id"), F.col("doc_id.held").alias("held_out"), "n_tokens", "n_known", "train_tokens",
-                         "base_score", "score")
+    """Scores of all rows from a model of those that are not held out; with the
+    column held_out. ``held`` is a condition on the column doc_id."""
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    model = Model(chosen.where(~held).select("text"), **options)
+    return score(chosen, model).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

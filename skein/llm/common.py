@@ -119,7 +119,7 @@ def frequent(texts: DataFrame, counted: Callable[[list[bytes]], tuple[dict, int]
             yield rows({k: c for k, c in acc.items() if c >= rate * total}, total)
 
     first = texts.mapInArrow(local, schema).groupBy("k").agg(F.sum("c").alias("c"))
-    got = first.limit(max_candidates + 2).collect()
+    got = first.orderBy(F.col("k").asc_nulls_first()).limit(max_candidates + 2).collect()  # the total is the null key
     total = next((r["c"] for r in got if r["k"] is None), 0)
     if not total:
         return {}, 0

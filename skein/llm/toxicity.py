@@ -236,8 +236,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     dense = write_table(rows.select("label", "fold", features_column(lexicons)(F.col("text"), F.col("fold")).alias("f"))
                         .select(F.col("label").cast("double").alias("label"), "fold", "f"), "toxicity-features")
     dense = dense.withColumn("__features", array_to_vector("f"))
-    classifier = GBTClassifier(featuresCol="__features", labelCol="label", predictionCol="__prediction", probabilityCol="__probability", rawPredictionCol="__raw",
-                               maxIter=trees, maxDepth=depth, stepSize=0.2, seed=42, maxBins=64)
+    classifier = (GBTClassifier(featuresCol="__features", labelCol="label", predictionCol="__prediction", maxIter=trees, maxDepth=depth, stepSize=0.2,
+                                seed=42, maxBins=64).setProbabilityCol("__probability").setRawPredictionCol("__raw"))
     part = dense.where(F.col("fold") != CALIBRATION).coalesce(4)
     one = part.agg(F.avg("label")).first()[0]
     if not one or one == 1:
