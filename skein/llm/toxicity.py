@@ -221,7 +221,7 @@ class Toxicity:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", label: str = "toxic", fit_rows: int = FIT_ROWS,
-        trees: int = 20, depth: int = 4) -> Toxicity:
+        trees: int = 30, depth: int = 3) -> Toxicity:
     """Fit on the labelled documents of ``docs`` (callers leave held-out rows out of ``labels``)."""
     marked = (labels.where(F.col(label).isin(0, 1)).select(F.col(label_id).cast("long").alias("label_id"), F.col(label).cast("int").alias("label"))
               .dropDuplicates(["label_id"]).orderBy(F.xxhash64("label_id"), "label_id").limit(fit_rows))
@@ -236,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     dense = write_table(rows.select("label", "fold", features_column(lexicons)(F.col("text"), F.col("fold")).alias("f"))
                         .select(F.col("label").cast("double").alias("label"), "fold", "f"), "toxicity-features")
     dense = dense.withColumn("__features", array_to_vector("f"))
-    classifier = (GBTClassifier(featuresCol="__features", labelCol="label", predictionCol="__prediction", maxIter=trees, maxDepth=depth, stepSize=0.2,
+    classifier = (GBTClassifier(featuresCol="__features", labelCol="label", predictionCol="__prediction", maxIter=trees, maxDepth=depth, stepSize=0.2, minInstancesPerNode=10,
                                 seed=42, maxBins=64).setProbabilityCol("__probability").setRawPredictionCol("__raw"))
     part = dense.where(F.col("fold") != CALIBRATION).coalesce(4)
     one = part.agg(F.avg("label")).first()[0]
