@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 #: Distinct chunks a worker keeps.
 TABLE_CHUNKS = 500_000
-#: Rows of a batch that goes back to Spark.
-OUT_ROWS = 1_000
+#: Rows that are segmented together and go back to Spark as one batch.
+OUT_ROWS = 500
 MARK = "▁"
 #: A run of spaces and the word behind it, or the spaces at the end.
 CHUNK = re.compile(r" *[^ ]+| +\Z")
@@ -69,25 +69,26 @@ class ChunkTable:
         return [c[1:] for c in CHUNK.findall(" " + text)] if text else []
 
     def add(self, chunks: list[str]) -> None:
-        if len(self.rows) + len(chunks) > self.size:
-            self.rows = {}
+        """Segment new chunks; one thread, as Spark runs a task per core."""
         ids = self.sp.encode(chunks, num_threads=1)
-        for chunk, own, text in zip(chunks, ids, self.sp.decode(ids) if chunks else []):
+        for chunk, own, text in zip(chunks, ids, self.sp.decode(ids, num_threads=1) if chunks else []):
             packed = np.array(own, dtype="<u4").tobytes() if chunk else self.marker
             self.rows[chunk] = (packed, text)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(packed ids with begin and end, decoded text) of each text."""
         first, last = (np.array([i], dtype="<u4").tobytes() for i in (self.sp.bos_id(), self.sp.eos_id()))
-        for text in texts:
-            chunks = self.split(text)
-            rows = self.rows
-            missing = {c for c in chunks if c not in rows}
-            if missing:
-                self.add(list(missing) if len(rows) + len(missing) <= self.size else list(set(chunks)))
-                rows = self.rows
-            got = [rows[c] for c in chunks]
-            yield first + b"".join([g[0] for g in got]) + last, " ".join([g[1] for g in got])
+        split = [self.split(text) for text in texts]
+        found = set().union(*split)
+        missing = [c for c in found if c not in self.rows]
+        if len(self.rows) + len(missing) > self.size:
+            self.rows, missing = {}, list(found)
+        self.add(missing)
+        out = []
+        for chunks in split:
+            got = [self.rows[c] for c in chunks]
+            out.append((first + b"".join([g[0] for g in got]) + last, " ".join([g[1] for g in got])))
+        return out
 
 
 def encode_decode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text",
@@ -101,7 +102,7 @@ def encode_decode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str
         for b in batches:
             for at in range(0, b.num_rows, OUT_ROWS):
                 part = b.slice(at, OUT_ROWS)
-                out = list(table.encode([t or "" for t in part.column(1).to_pylist()]))
+                out = table.encode([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.string())],
                     ["doc_id", "ids", "decoded"])
