@@ -182,8 +182,11 @@ def learn_lexicons(rows: DataFrame, folds: int = FOLDS) -> dict[int, dict[str, f
                                                    for f in range(folds) for v in (0, 1)])
     stats = write_table(stats, "toxicity-terms")
     row = stats.where("term is null").first()
-    toxic = sum((F.col(f"n{f}_1") for f in range(folds)), F.lit(0))
-    chosen = stats.where(F.col("term").isNotNull() & (toxic >= MIN_TOXIC)).collect()
+    both = [sum(row[f"n{f}_{v}"] for f in range(folds)) for v in (0, 1)]
+    clean, toxic = (sum((F.col(f"n{f}_{v}") for f in range(folds)), F.lit(0)) for v in (0, 1))
+    # a term that any of the lexicons may hold: its odds over all folds decide first
+    odds = F.log((toxic + 0.5) / (both[1] + 1)) - F.log((clean + 0.5) / (both[0] + 1))
+    chosen = stats.where(F.col("term").isNotNull() & (toxic >= MIN_TOXIC) & (odds >= MIN_ODDS)).collect()
     out: dict[int, dict[str, float]] = {}
     for left in (*range(folds), -1):
         use = [f for f in range(folds) if f != left]
