@@ -32,15 +32,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import BLOCK_BYTES, block_of, frequent, partial_counts, utf8, words
+from skein.llm.common import BLOCK_BYTES, block_of, partial_counts, utf8, words
 from skein.session import write_table
 
-TOKEN_RATE = 1e-5
+TOKEN_RATE = 1e-4
 ARC_RATE = 1e-6
 DISCOUNT = 0.75
 #: The end token; no word, since words hold no line end.
 END = b"\n"
 SHIFT = 20  # bits of a frequent token's number in an n-gram key
+HELD_KEYS = 4_000_000  # n-grams a worker holds before it counts them
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -61,22 +62,38 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def ngram_counter(numbers: dict[bytes, int]):
-    """Counts of 2- and 3-grams over numbered tokens, as keys (number + 1) in SHIFT-bit fields."""
+def ngram_counts(texts: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
+    """key, c of the 2- and 3-grams over numbered tokens; a key holds (number + 1) in SHIFT-bit fields."""
+    shipped = texts.sparkSession.sparkContext.broadcast(numbers)  # at most 1 / rate entries
 
-    def counted(texts: list[bytes]) -> tuple[dict, int]:
+    def keys_of(values: list[bytes]) -> np.ndarray:
         ids: list[int] = []
-        get, end = numbers.get, numbers.get(END, -1)
-        for t in texts:
+        get, end = shipped.value.get, shipped.value.get(END, -1)
+        for t in values:
             ids += [get(w, -1) for w in words(t)]
             ids += [end, -1]  # no n-gram reaches into the next text
         a = np.array(ids, dtype=np.int64) + 1
         two = (a[:-1] << SHIFT | a[1:])[(a[:-1] > 0) & (a[1:] > 0)]
         three = (a[:-2] << 2 * SHIFT | a[1:-1] << SHIFT | a[2:])[(a[:-2] > 0) & (a[1:-1] > 0) & (a[2:] > 0)]
-        keys, c = np.unique(np.concatenate([two, three]), return_counts=True)
-        return dict(zip(keys.tolist(), c.tolist())), len(ids) - len(texts)
+        return np.concatenate([two, three])
 
-    return counted
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for b in batches:
+            values = utf8(b.column(0))
+            for at in range(0, len(values), 512):
+                held.append(keys_of(values[at: at + 512]))
+                if sum(map(len, held)) >= HELD_KEYS:
+                    yield emit(held)
+                    held = []
+        if held:
+            yield emit(held)
+
+    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, c = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], ["key", "c"])
+
+    return texts.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
 class Automaton:
@@ -117,20 +134,18 @@ class Automaton:
         for at in range(1, len(self.state)):  # shorter histories come first
             self.chain[at] = self.weight[at] + self.chain[self.fail[at]]
 
-    def score(self, line: list[tuple[float, int]]) -> float:
-        """log10 probability of tokens given as (own log10 probability, number or -1)."""
+    def score(self, line: list[tuple[float, int, float]]) -> tuple[float, float]:
+        """(log10 probability, sum of the third fields) of tokens given as (own log10
+        probability, number or -1, another value)."""
         arcs, fail, weight, chain, start = self.arcs, self.fail, self.weight, self.chain, self.start
-        at, total = 0, 0.0
-        for own, number in line:
+        at, total, other = 0, 0.0, 0.0
+        for own, number, value in line:
+            other += value
             if number < 0:
                 total += chain[at] + own
                 at = 0
                 continue
-            while True:
-                if at == 0:
-                    total += own
-                    at = start.get(number, 0)
-                    break
+            while at:
                 arc = arcs[at].get(number)
                 if arc is not None:
                     at = arc[0]
@@ -138,7 +153,10 @@ class Automaton:
                     break
                 total += weight[at]
                 at = fail[at]
-        return total
+            else:
+                total += own
+                at = start.get(number, 0)
+        return total, other
 
 
 class Model:
@@ -156,7 +174,9 @@ class Model:
         self.numbers = {bytes(r["word"]): i for i, r in enumerate(often)}
         grams = {}
         if often:
-            grams, _ = frequent(train, ngram_counter(self.numbers), max(arc_rate, 1.5 / self.n), key_type="long")
+            # at most 1 / arc_rate rows of either order
+            kept = ngram_counts(train, self.numbers).where(F.col("c") >= F.lit(max(arc_rate * self.n, 1.5))).toPandas()
+            grams = dict(zip(kept["key"].tolist(), kept["c"].tolist()))
         self.automaton = Automaton({i: (r["c"], self.own(r["c"])) for i, r in enumerate(often)}, grams)
 
     def own(self, c: int) -> float:
@@ -178,7 +198,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     ends = model.tokens.where(F.col("word") == F.lit(END)).select("c").first()
     n_ends = ends["c"] if ends else 0
     floor = math.log10(n + v + 1)
-    unknown = (math.log10(model.own(0)) if model.own(0) > 0 else 0.0, -1, 0, -floor)
+    unknown = (math.log10(model.own(0)) if model.own(0) > 0 else 0.0, -1, -floor)
     discount = model.discount
 
     def block_words(table: pa.Table) -> pa.Table:
@@ -191,16 +211,19 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
     def traverse(texts: pa.Table, counts: pa.Table) -> pa.Table:
         automaton, numbers = shipped.value
-        known = dict(zip(counts.column("word").to_pylist(), counts.column("c").to_pylist()))
+        known = counts.column("word").to_pylist()
+        c = counts.column("c").to_numpy()
         if n_ends:
-            known[END] = n_ends
-        table = {w: (math.log10((c - discount) / n), numbers.get(w, -1), 1, math.log10(c + 1) - floor) for w, c in known.items()}
-        end = table.get(END) or unknown
-        out = []
+            known.append(END)
+            c = np.append(c, n_ends)
+        owns, bases = (np.log10((c - discount) / n), np.log10(c + 1) - floor) if len(c) else (c, c)
+        table = dict(zip(known, zip(owns.tolist(), [numbers.get(w, -1) for w in known], bases.tolist())))
+        get, end, out = table.get, table.get(END) or unknown, []
         for t in utf8(texts.column("text").combine_chunks()):
-            line = [table.get(w, unknown) for w in words(t)]
+            line = [get(w, unknown) for w in words(t)]
             line.append(end)
-            out.append((len(line), sum([x[2] for x in line]), math.fsum([x[3] for x in line]), automaton.score([x[:2] for x in line])))
+            total, base = automaton.score(line)
+            out.append((len(line), len(line) - line.count(unknown), base, total))
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
         cols = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
         return pa.table([texts.column("doc_id"), cols[0], cols[1], pa.array([n] * len(out), pa.int64()), cols[2], cols[3]],

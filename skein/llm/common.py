@@ -78,7 +78,7 @@ def unsigned(values: np.ndarray) -> np.ndarray:
 #: Distinct keys of a chunk of the frequent-key count (a chunk's threshold grows with the chunk).
 CHUNK_KEYS = 2_000_000
 #: Frequent keys that may be shipped to every worker; beyond it they are counted by a shuffle.
-MAX_CANDIDATES = 4_000_000
+MAX_CANDIDATES = 200_000
 
 
 def frequent(texts: DataFrame, counted: Callable[[list[bytes]], tuple[dict, int]], rate: float, key_type: str = "binary",
