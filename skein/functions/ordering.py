@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.session import cut_lineage
 
+MAX_OFFSETS = 200_000  # offset rows that are broadcast
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
 
@@ -48,8 +49,10 @@ def with_row_index(df: DataFrame, order_by: list, name: str = "row_idx",
     offsets = counts.withColumn(
         "_offset", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                               F.lit(0)))
-    # At most (partitions + groups) rows by construction: safe to broadcast.
-    offsets = F.broadcast(offsets.select("_pid", *groups, "_offset", "_first"))
+    # At most (partitions + groups) rows; many groups are joined by shuffle.
+    offsets = offsets.select("_pid", *groups, "_offset", "_first")
+    if counts.limit(MAX_OFFSETS + 1).count() <= MAX_OFFSETS:
+        offsets = F.broadcast(offsets)
     joined = ranged.join(offsets, on=["_pid", *groups], how="inner")
     return (joined.withColumn(name, (F.col("_offset") + F.col("_local") - F.col("_first")).cast("bigint"))
                   .drop("_mid", "_pid", "_local", "_offset", "_first"))

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms
-from skein.functions.lookup import restrict
 from skein.session import cut_lineage, write_table
 
 # Fixed values of the scoring model.
@@ -50,10 +49,9 @@ def index_items(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def postings(items: DataFrame) -> DataFrame:
     """(kind, item_id, term, tf, dl). Items without any term have no row.
 
-    Texts are hash-partitioned by item first (one shuffle of the texts, which
-    are smaller than their postings); the aggregation per (item, term) then
-    runs without another exchange."""
-    toks = items.repartition("item_id").select("kind", "item_id", terms("text").alias("toks"))
+    No text is shuffled: an item is one row, so the partial aggregation already
+    counts its terms and only (item, term, tf) goes through the exchange."""
+    toks = items.select("kind", "item_id", terms("text").alias("toks"))
     toks = toks.select("kind", "item_id", F.size("toks").alias("dl"),
                        F.explode("toks").alias("term"))
     return toks.groupBy("kind", "item_id", "term").agg(
@@ -84,8 +82,8 @@ class FullTextIndex:
         post = postings(index_items(nodes, edges))
         if not materialize:
             return cls(post, term_stats(post), corpus_stats(post))
-        # Parquet sorted by term inside each file: a batch's term filter is
-        # pushed into the scan and skips row groups by their min/max term.
+        # Parquet sorted by term inside each file: the runtime filter of a batch's
+        # terms skips row groups by their min/max term.
         post = write_table(post.sortWithinPartitions("kind", "term"), "postings")
         vocab = write_table(term_stats(post).sortWithinPartitions("kind", "term"), "vocab")
         return cls(post, vocab, cut_lineage(corpus_stats(post)))
@@ -118,71 +116,64 @@ def query_terms(prompts: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------- B3 fuzzy expand
 
-def _deletion_keys(col: str) -> F.Column:
-    """All strings made by deleting 0, 1 or 2 characters of ``col``."""
-    one = (f"transform(sequence(1, length({col})), "
-           f"i -> concat(substr({col}, 1, i - 1), substr({col}, i + 1)))")
-    two = (f"flatten(transform({one}, s -> CASE WHEN length(s) > 0 THEN "
-           f"transform(sequence(1, length(s)), j -> concat(substr(s, 1, j - 1), substr(s, j + 1))) "
-           f"ELSE cast(array() AS array<string>) END))")
-    return F.expr(f"array_distinct(concat(array({col}), {one}, {two}))")
-
-
-# Distinct fuzzy query terms up to which the band join below is used. The band
-# join costs about Q·V/5 bounded edit-distance checks (V = vocabulary, a term
-# meets the lengths within ±2 of it), the deletion-key join about 50·V keys; they
-# cross near Q = 250 (measured: 100 prompts, 30k terms: band 3.0 s, keys 6.1 s).
-MAX_BAND_QUERY_TERMS = 256
-
-
-def _band_candidates(fz: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Few query terms: every vocabulary term of a length within the edit
-    bound is a candidate. The query side is broadcast; its size was checked."""
-    q = fz.withColumn("len", F.explode(F.sequence(F.length("query_term") - MAX_EDITS,
-                                                  F.length("query_term") + MAX_EDITS)))
-    v = vocab.select("kind", "term").withColumn("len", F.length("term"))
-    return v.join(F.broadcast(q), "len").select("prompt_id", "kind", "pos", "query_term", "term")
-
-
-def _deletion_candidates(fz: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Many query terms: equi-join on deletion keys (exact for edit distance
-    <= 2: two strings within distance 2 share a string reachable by at most two
-    deletions from each). Work grows with the vocabulary, not with
-    vocabulary x queries."""
-    lengths = (fz.select(F.explode(F.sequence(F.length("query_term") - MAX_EDITS,
-                                              F.length("query_term") + MAX_EDITS)).alias("len"))
-                 .distinct())
-    v = vocab.select("kind", "term").withColumn("len", F.length("term"))
-    v = v.join(F.broadcast(lengths), "len", "left_semi")  # at most a few hundred integers
-    v_keys = v.select("kind", "term", F.explode(_deletion_keys("term")).alias("key"))
-    q_keys = fz.select("prompt_id", "pos", "query_term",
-                       F.explode(_deletion_keys("query_term")).alias("key"))
-    return q_keys.join(v_keys, "key").select("prompt_id", "kind", "pos", "query_term", "term") \
-                 .distinct()
+def _cuts(length: str, part: str, parts: str) -> str:
+    """SQL: 0-based start of the ``part``-th of ``parts`` even pieces of a word."""
+    return f"cast(floor({part} * {length} / ({parts})) as int)"
+
+
+def _piece_keys(vocabulary_side: bool) -> F.Column:
+    """Keys on which two terms within the edit bound must meet.
+
+    A query term of length n is cut into k + 1 even pieces, k = min(2, n - 1)
+    the edits that can count (a distance below the shorter length is needed).
+    k edits leave at least one piece whole, moved by at most k places. A key is
+    (query length, piece number, piece). The query side gives its k + 1 pieces,
+    the vocabulary side, for every query length within k of its own, its
+    substrings at the places where such a piece can lie: some 75 keys at most,
+    whatever the length of the term.
+    """
+    if vocabulary_side:
+        lengths, shifts = "sequence(greatest(length(term) - 2, 1), length(term) + 2)", "sequence(-2, 2)"
+    else:
+        lengths, shifts = "array(length(term))", "array(0)"
+    start = _cuts("n", "p", "least(2, n - 1) + 1")
+    end = _cuts("n", "(p + 1)", "least(2, n - 1) + 1")
+    return F.expr(f"""
+        array_distinct(flatten(transform({lengths}, n ->
+            flatten(transform(sequence(0, least(2, n - 1)), p ->
+                filter(transform({shifts}, s -> named_struct('n', n, 'p', p, 'at', {start} + s, 'piece', substr(term, {start} + s + 1, {end} - {start}))),
+                       x -> x.at >= 0 AND x.at + {end} - {start} <= length(term)))))))""")
+
+
+def _candidates(query: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(kind, query_term, term): an equi-join on piece keys; work grows with the
+    vocabulary and the distinct query terms, not with their product."""
+    def keyed(df: DataFrame, vocabulary_side: bool, *cols: str) -> DataFrame:
+        ex = df.select(*cols, F.explode(_piece_keys(vocabulary_side)).alias("k"))
+        return ex.select(*cols, F.concat_ws("/", "k.n", "k.p", "k.piece").alias("key")).distinct()
+
+    q = keyed(query.select(F.col("query_term").alias("term")), False, "term").withColumnRenamed("term", "query_term")
+    v = keyed(vocab.select("kind", "term"), True, "kind", "term")
+    return q.join(v, "key").select("kind", "query_term", "term").distinct()
 
 
 def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
                  max_expansions: int = MAX_EXPANSIONS) -> DataFrame:
     """(prompt_id, kind, pos, query_term, term, distance, weight) for fuzzy terms.
 
-    Candidates come from a length-band join (few query terms, checked by a
-    count) or a deletion-key join (beyond that); either way the true distance
-    is checked afterwards, so both give the same rows.
+    Expansion, distance check and the cut to ``max_expansions`` work on the
+    distinct query terms; only the kept expansions are joined back to the
+    prompts, so prompts that share a term cost one term.
     """
     fz = qterms.where("is_fuzzy").select("prompt_id", "pos", F.col("term").alias("query_term"))
-    n_terms = fz.select("query_term").distinct().count()
-    if n_terms <= MAX_BAND_QUERY_TERMS:
-        cand = _band_candidates(fz, vocab)
-    else:
-        cand = _deletion_candidates(fz, vocab)
-    d = F.levenshtein("term", "query_term", MAX_EDITS)
+    cand = _candidates(fz.select("query_term").distinct(), vocab)
     minlen = F.least(F.length("term"), F.length("query_term"))
-    scored = (cand.withColumn("distance", d)
+    scored = (cand.withColumn("distance", F.levenshtein("term", "query_term", MAX_EDITS))
                   .where((F.col("distance") >= 0) & (F.col("distance") < minlen))
                   .withColumn("weight", F.lit(1.0) - F.col("distance") / minlen))
-    w = Window.partitionBy("prompt_id", "kind", "pos").orderBy(F.desc("weight"), F.asc("term"))
-    return (scored.withColumn("_rn", F.row_number().over(w))
-                  .where(F.col("_rn") <= max_expansions).drop("_rn"))
+    w = Window.partitionBy("kind", "query_term").orderBy(F.desc("weight"), F.asc("term"))
+    kept = scored.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_expansions).drop("_rn")
+    return fz.join(kept, "query_term").select("prompt_id", "kind", "pos", "query_term", "term", "distance", "weight")
 
 
 def expanded_terms(qterms: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -197,13 +188,9 @@ def expanded_terms(qterms: DataFrame, vocab: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ B4 / B5 search
 
 def search(expanded: DataFrame, index: FullTextIndex) -> DataFrame:
-    """(prompt_id, kind, item_id, score) – BM25 summed over matched terms.
-
-    The postings are first restricted to the batch's terms (a bounded key
-    filter pushed into the index scan when the index is large)."""
-    q = expanded.join(restrict(index.terms, ["term"], expanded, "term"), ["kind", "term"])
-    post = restrict(index.postings, ["term"], expanded, "term")
-    hits = q.join(post, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")  # corpus: 1 row per kind
+    """(prompt_id, kind, item_id, score) – BM25 summed over matched terms."""
+    q = expanded.join(index.terms, ["kind", "term"])
+    hits = q.join(index.postings, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")  # corpus: 1 row per kind
     idf = F.log(F.lit(1.0) + (F.col("n_items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl")))
     return (hits.groupBy("prompt_id", "kind", "item_id")

@@ -4,9 +4,10 @@ Inputs are ``nodes(node_id, name, labeled, description, metadata)`` and
 directed ``edges(edge_id, src_id, dst_id, rel_type, description)``; matching
 is undirected. The cut hits are small (at most 40 per prompt and kind), so
 every join below is small side ⋈ graph table on an id, which AQE turns into a
-broadcast at run time when the hit side is small; hub nodes therefore never
-concentrate work in one task. Lists of the reference are kept as long rows;
-only the final text per prompt is assembled.
+broadcast at run time when the hit side is small and splits otherwise; hub
+nodes therefore never concentrate work in one task. Expansion carries ids only;
+texts are fetched once per distinct text of a prompt. Lists of the reference
+are kept as long rows; only the final text per prompt is assembled.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.lookup import restrict
+from skein.functions.ordering import with_row_index
 from skein.operators import fulltext as ft
 from skein.session import cut_lineage
 
@@ -37,15 +38,14 @@ def node_defaults(nodes: DataFrame) -> DataFrame:
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
-    """Undirected view: (node_id, edge_id, other_id, rel_type, description).
+    """Undirected view: (node_id, edge_id, other_id, rel_type), without texts.
 
     A self-loop appears once, parallel edges once each.
     """
     fwd = edges.select(F.col("src_id").alias("node_id"), "edge_id",
-                       F.col("dst_id").alias("other_id"), "rel_type", "description")
+                       F.col("dst_id").alias("other_id"), "rel_type")
     rev = edges.where(F.col("src_id") != F.col("dst_id")).select(
-        F.col("dst_id").alias("node_id"), "edge_id", F.col("src_id").alias("other_id"),
-        "rel_type", "description")
+        F.col("dst_id").alias("node_id"), "edge_id", F.col("src_id").alias("other_id"), "rel_type")
     return fwd.unionByName(rev)
 
 
@@ -57,19 +57,18 @@ def _hits(kept: DataFrame, kind: str) -> DataFrame:
 def neighbors_inner(node_hits: DataFrame, adj: DataFrame) -> DataFrame:
     """Hit node ⋈ its relationships; isolated hits vanish."""
     return node_hits.join(adj, node_hits.item_id == adj.node_id, "inner").select(
-        "prompt_id", "item_id", "score", "edge_id", F.col("other_id").alias("neighbor_id"),
-        "rel_type", F.col("description").alias("rel_description"))
+        "prompt_id", "item_id", "score", "edge_id", F.col("other_id").alias("neighbor_id"), "rel_type")
 
 
-def node_connections(conn: DataFrame) -> DataFrame:
-    """Per hit node the number of connections and an id checksum.
-
-    The list itself stays in long form (``neighbors_inner``); the checksum is a
-    sum of md5 prefixes, combined map-side like any sum.
-    """
-    ck = F.conv(F.substring(F.md5("edge_id"), 1, 8), 16, 10).cast("bigint")
-    return conn.groupBy("prompt_id", "item_id").agg(
-        F.count(F.lit(1)).alias("n_connections"), F.sum(ck).alias("edge_checksum"))
+def node_connections(conn: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The connections of each hit node as records (one row per connection):
+    the other node and the relationship's type and description, the neighbour's
+    metadata. A list per hit is never collected."""
+    e = edges.select("edge_id", F.coalesce("description", F.lit("")).alias("description"))
+    n = nodes.select(F.col("node_id").alias("neighbor_id"), F.coalesce("name", F.lit("")).alias("neighbor_name"),
+                     F.coalesce("metadata", F.lit("")).alias("neighbor_metadata"))
+    return conn.join(e, "edge_id").join(n, "neighbor_id", "left").select(
+        "prompt_id", "item_id", "edge_id", "neighbor_id", "neighbor_name", "rel_type", "description", "neighbor_metadata")
 
 
 def edge_endpoints(edge_hits: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -83,50 +82,47 @@ def edge_endpoints(edge_hits: DataFrame, edges: DataFrame, nodes: DataFrame) ->
 
 
 def edge_endpoint_set(edge_hits: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row per (hit relationship, distinct endpoint)."""
-    e = edge_hits.join(edges.select("edge_id", "src_id", "dst_id", F.col("description").alias("hit_description")),
-                       edge_hits.item_id == edges.edge_id, "inner")
-    return e.select("prompt_id", "item_id", "score", "src_id", "dst_id", "hit_description",
+    """One row per (hit relationship, distinct endpoint); ids only."""
+    e = edge_hits.join(edges.select("edge_id", "src_id", "dst_id"), edge_hits.item_id == edges.edge_id, "inner")
+    return e.select("prompt_id", "item_id", "score", "src_id", "dst_id",
                     F.explode(F.array_distinct(F.array("src_id", "dst_id"))).alias("endpoint_id"))
 
 
 def neighbors_optional(endpoints: DataFrame, adj: DataFrame, nodes: DataFrame,
                        excluded: tuple = EXCLUDED_LABELS) -> DataFrame:
-    """Optional expansion of every endpoint.
+    """Optional expansion of every endpoint; ids only.
 
     Neither endpoint nor neighbour may carry an excluded label (a missing label
-    fails the test), and the neighbour must not be an endpoint of the hit. All
-    predicates sit in the outer-join condition, so endpoints without a match
-    stay with NULL neighbour columns.
+    fails the test), and the neighbour must not be an endpoint of the hit.
+    Endpoints are joined with the adjacency first and labels are looked up for
+    what that leaves, so the whole adjacency never meets the node table.
+    Endpoints without an allowed match stay with NULL neighbour columns.
     """
-    lab = nodes.select("node_id", "labeled")
-    ep = endpoints.join(lab.withColumnRenamed("node_id", "endpoint_id")
-                           .withColumnRenamed("labeled", "endpoint_labeled"), "endpoint_id", "left")
-    nb = adj.join(lab.withColumnRenamed("node_id", "other_id")
-                     .withColumnRenamed("labeled", "neighbor_labeled"), "other_id", "left")
-    nb = nb.select(F.col("node_id").alias("nb_node"), F.col("edge_id").alias("nb_edge_id"),
-                   F.col("other_id").alias("neighbor_id"), "neighbor_labeled",
-                   F.col("description").alias("nb_description"))
-
     def allowed(c):
-        cond = F.lit(True)
+        cond = c.isNotNull()
         for label in excluded:
             cond = cond & (c != F.lit(label))
         return cond
 
-    cond = ((ep.endpoint_id == nb.nb_node) & allowed(ep.endpoint_labeled)
-            & allowed(nb.neighbor_labeled)
-            & (nb.neighbor_id != ep.src_id) & (nb.neighbor_id != ep.dst_id))
-    return ep.join(nb, cond, "left").drop("nb_node", "neighbor_labeled")
+    lab = nodes.where(allowed(F.col("labeled"))).select("node_id")
+    start = endpoints.join(lab.withColumnRenamed("node_id", "endpoint_id"), "endpoint_id", "left_semi")
+    nb = adj.select(F.col("node_id").alias("endpoint_id"), F.col("edge_id").alias("nb_edge_id"), F.col("other_id").alias("neighbor_id"))
+    met = start.join(nb, "endpoint_id").where((F.col("neighbor_id") != F.col("src_id")) & (F.col("neighbor_id") != F.col("dst_id")))
+    met = met.join(lab.withColumnRenamed("node_id", "neighbor_id"), "neighbor_id", "left_semi")
+    found = met.select("prompt_id", "item_id", "endpoint_id", "nb_edge_id", "neighbor_id")
+    return endpoints.join(found, ["prompt_id", "item_id", "endpoint_id"], "left")
 
 
-def edge_expansion(expanded: DataFrame) -> DataFrame:
-    """Per (hit relationship, endpoint) the expansion size and checksum."""
-    ck = F.conv(F.substring(F.md5("neighbor_id"), 1, 8), 16, 10).cast("bigint")
-    return expanded.groupBy("prompt_id", "item_id", "endpoint_id").agg(
-        F.count("neighbor_id").alias("n_neighbors"),
-        F.count("nb_edge_id").alias("n_additional"),
-        F.coalesce(F.sum(ck), F.lit(0)).cast("bigint").alias("neighbor_checksum"))
+def edge_expansion(expanded: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The expansion of each (hit relationship, endpoint) as records: the
+    neighbour's name, label and metadata and the additional relationship's type
+    and description; an endpoint without expansion keeps one row of NULLs."""
+    e = edges.select(F.col("edge_id").alias("nb_edge_id"), F.col("rel_type").alias("nb_type"), F.coalesce("description", F.lit("")).alias("nb_description"))
+    n = nodes.select(F.col("node_id").alias("neighbor_id"), F.coalesce("name", F.lit("")).alias("neighbor_name"),
+                     F.coalesce("labeled", F.lit("")).alias("neighbor_labeled"), F.coalesce("metadata", F.lit("")).alias("neighbor_metadata"))
+    return expanded.join(e, "nb_edge_id", "left").join(n, "neighbor_id", "left").select(
+        "prompt_id", "item_id", "endpoint_id", "nb_edge_id", "nb_type", "nb_description", "neighbor_id", "neighbor_name",
+        "neighbor_labeled", "neighbor_metadata")
 
 
 @dataclass
@@ -136,7 +132,7 @@ class GraphRetrieval:
     node_rows: DataFrame     # B10 (query 1 result rows, long form)
     endpoints: DataFrame     # B13
     expansion: DataFrame     # B14
-    nodes: DataFrame         # B17 defaults applied
+    nodes: DataFrame         # B17 defaults applied, all nodes
     edges: DataFrame
     raw_nodes: DataFrame
 
@@ -151,21 +147,12 @@ class GraphRetrieval:
         keep = cut_lineage if materialize else (lambda df: df)
         kept = keep(ft.kept_hits(prompts, index, top_k, std_multiplier))
         node_hits, edge_hits = _hits(kept, ft.NODE), _hits(kept, ft.EDGE)
-        # Each step reads only the graph rows its few keys can touch.
-        touching_hits = restrict(edges, ["src_id", "dst_id"], node_hits, "item_id")
-        node_rows = keep(neighbors_inner(node_hits, adjacency(touching_hits)))
-        endpoints = keep(edge_endpoint_set(edge_hits, restrict(edges, ["edge_id"], edge_hits, "item_id")))
-        ep_adj = adjacency(restrict(edges, ["src_id", "dst_id"], endpoints, "endpoint_id"))
-        label_ids = endpoints.select(F.col("endpoint_id").alias("id")).union(
-            ep_adj.select(F.col("other_id").alias("id")))
-        expansion = keep(neighbors_optional(endpoints, ep_adj, restrict(nodes, ["node_id"], label_ids, "id")))
-        seen = (node_rows.select(F.col("item_id").alias("id"))
-                .union(node_rows.select(F.col("neighbor_id").alias("id")))
-                .union(endpoints.select(F.col("src_id").alias("id")))
-                .union(endpoints.select(F.col("dst_id").alias("id")))
-                .union(expansion.select(F.col("neighbor_id").alias("id"))))
-        seen_nodes = node_defaults(restrict(nodes, ["node_id"], seen, "id"))
-        return cls(kept, node_rows, endpoints, expansion, seen_nodes, edges, nodes)
+        # Ids only: no step below carries a text, whatever the degree of a node.
+        adj = adjacency(edges)
+        node_rows = keep(neighbors_inner(node_hits, adj))
+        endpoints = keep(edge_endpoint_set(edge_hits, edges))
+        expansion = keep(neighbors_optional(endpoints, adj, nodes))
+        return cls(kept, node_rows, endpoints, expansion, node_defaults(nodes), edges, nodes)
 
     # ---- B16
     def result_rows(self) -> DataFrame:
@@ -198,24 +185,32 @@ class GraphRetrieval:
             "score", "item_id", F.lit(2).alias("role"))
         occ = q1_hit.unionByName(q1_conn).unionByName(q2_start).unionByName(q2_end) \
                     .unionByName(q2_nb)
-        return occ.join(self.nodes, "node_id", "inner")
+        return occ
+
+    def _fetched(self, ids: DataFrame, id_col: str, rows: DataFrame, parts: list[str], text: str) -> DataFrame:
+        """Distinct (prompt_id, parts, text) of the rows with the given ids: made
+        distinct by a digest of the text, so each text is fetched once."""
+        digest = rows.select(id_col, *parts, F.md5(F.col(text)).alias("_d"))
+        first = (ids.select("prompt_id", id_col).distinct().join(digest, id_col)
+                 .groupBy("prompt_id", *parts, "_d").agg(F.min(id_col).alias(id_col)))
+        return first.join(rows.select(id_col, text), id_col).select("prompt_id", *parts, text)
 
     # ---- B18
     def context_nodes(self) -> DataFrame:
-        return self.node_occurrences().select("prompt_id", "name", "labeled", "description") \
-                   .distinct()
+        return self._fetched(self.node_occurrences(), "node_id", self.nodes, ["name", "labeled"], "description")
 
     # ---- B19
     def context_relations(self) -> DataFrame:
-        a = self.node_rows.select("prompt_id", F.col("rel_description").alias("description"))
-        b = self.endpoints.select("prompt_id", F.col("hit_description").alias("description"))
-        c = self.expansion.select("prompt_id", F.col("nb_description").alias("description"))
-        return (a.unionByName(b).unionByName(c)
-                 .where(F.coalesce(F.col("description"), F.lit("")) != "").distinct())
+        ids = (self.node_rows.select("prompt_id", "edge_id")
+               .unionByName(self.endpoints.select("prompt_id", F.col("item_id").alias("edge_id")))
+               .unionByName(self.expansion.select("prompt_id", F.col("nb_edge_id").alias("edge_id"))))
+        filled = self.edges.where(F.coalesce("description", F.lit("")) != "")
+        return self._fetched(ids, "edge_id", filled, [], "description")
 
     # ---- B20
     def metadata_last_wins(self) -> DataFrame:
-        occ = self.node_occurrences().where(F.col("metadata") != "")
+        told = self.nodes.where(F.col("metadata") != "").select("node_id", "name", "metadata")
+        occ = self.node_occurrences().join(told, "node_id")
         order = F.struct(F.col("phase"), -F.col("score"), F.col("item_id"), F.col("role"),
                          F.col("node_id"))
         return occ.groupBy("prompt_id", "name").agg(F.max_by("metadata", order).alias("metadata"))
@@ -243,6 +238,11 @@ class GraphRetrieval:
                    .withColumn("section", F.lit("relationships"))
         return nodes.unionByName(rels).select("prompt_id", "section", "line")
 
+    def numbered_lines(self) -> DataFrame:
+        """``context_lines`` with ``position``: a line's place in its section
+        (sorted by text, equal lines in any order), numbered in many tasks."""
+        return with_row_index(self.context_lines(), ["line"], "position", group_by=["prompt_id", "section"])
+
     def contexts(self) -> DataFrame:
         """(prompt_id, node_block, rel_block) for prompts with at least one
         node or relation: the sorted lines of each section joined into text."""

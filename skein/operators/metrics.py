@@ -16,8 +16,9 @@ def argmax(scores) -> F.Column:
 
 def softmax(scores) -> F.Column:
     s = scores if isinstance(scores, F.Column) else F.col(scores)
-    total = F.aggregate(F.transform(s, lambda x: F.exp(x)), F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(s, lambda x: F.exp(x) / total)
+    top = F.array_max(s)  # scores far from 0 must not overflow
+    total = F.aggregate(F.transform(s, lambda x: F.exp(x - top)), F.lit(0.0), lambda acc, x: acc + x)
+    return F.transform(s, lambda x: F.exp(x - top) / total)
 
 
 def _ratio(num, den) -> F.Column:

@@ -5,8 +5,9 @@ A model is one of
   struct(generated_text, score), evaluated JVM-side;
 * a fitted Spark ML ``PipelineModel`` (classification);
 * a pandas batch function ``fn(pd.Series) -> pd.DataFrame`` run with
-  ``mapInPandas`` (Arrow batches). A failing batch is retried row by row so
-  one bad row only sets that row's ``error``.
+  ``mapInPandas`` (Arrow batches). A failing batch is halved until the failing
+  rows stand alone, so one bad row only sets that row's ``error``; a function
+  may instead return an ``error`` column of its own.
 
 All results land in one long table ``(row_id, model, task, label, score,
 generated_text, output, error)``.
@@ -87,24 +88,29 @@ def normalize_label(label: F.Column, mapping: dict) -> tuple[F.Column, F.Column]
     return out, err
 
 
-def _from_expr(df: DataFrame, spec: ModelSpec) -> DataFrame:
+def _null(kind: str = "string") -> F.Column:
+    return F.lit(None).cast(kind)
+
+
+def _expr_result(spec: ModelSpec) -> F.Column:
+    """Result struct of an expression model over ``text``."""
     r = spec.expr(F.col("text"))
-    base = df.select("row_id", r.alias("r"))
+    label, score, generated, output, error = _null(), _null("double"), _null(), _null(), _null()
     if spec.task == CLASSIFY:
-        label, err = normalize_label(F.col("r.label"), spec.label_mapping)
-        return base.select("row_id", F.lit(spec.name).alias("model"), F.lit(spec.task).alias("task"),
-                           label.alias("label"), F.when(err.isNull(), F.col("r.score")).alias("score"),
-                           F.lit(None).cast("string").alias("generated_text"),
-                           F.lit(None).cast("string").alias("output"), err.alias("error"))
-    if spec.task == GENERATE:
-        return base.select("row_id", F.lit(spec.name).alias("model"), F.lit(spec.task).alias("task"),
-                           F.lit(None).cast("string").alias("label"), F.col("r.score").cast("double").alias("score"),
-                           F.col("r.generated_text").alias("generated_text"),
-                           F.lit(None).cast("string").alias("output"), F.lit(None).cast("string").alias("error"))
-    return base.select("row_id", F.lit(spec.name).alias("model"), F.lit(spec.task).alias("task"),
-                       F.lit(None).cast("string").alias("label"), F.lit(None).cast("double").alias("score"),
-                       F.lit(None).cast("string").alias("generated_text"),
-                       F.col("r").cast("string").alias("output"), F.lit(None).cast("string").alias("error"))
+        label, error = normalize_label(r["label"], spec.label_mapping)
+        score = F.when(error.isNull(), r["score"].cast("double"))
+    elif spec.task == GENERATE:
+        score, generated = r["score"].cast("double"), r["generated_text"]
+    else:
+        output = r.cast("string")
+    return F.struct(F.lit(spec.name).alias("model"), F.lit(spec.task).alias("task"), label.cast("string").alias("label"),
+                    score.alias("score"), generated.cast("string").alias("generated_text"), output.alias("output"),
+                    error.cast("string").alias("error"))
+
+
+def _from_exprs(df: DataFrame, specs: list[ModelSpec]) -> DataFrame:
+    """All expression models in one scan."""
+    return df.select("row_id", F.explode(F.array(*[_expr_result(s) for s in specs])).alias("r")).select("row_id", "r.*")
 
 
 def _from_spark_model(df: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -120,26 +126,28 @@ def _from_spark_model(df: DataFrame, spec: ModelSpec) -> DataFrame:
 def _from_batch(df: DataFrame, spec: ModelSpec) -> DataFrame:
     fn, name, task = spec.batch_fn, spec.name, spec.task
 
+    def attempt(values: pd.Series) -> tuple[list[dict], list]:
+        """Rows and errors; a failing batch is halved until the failing rows
+        stand alone. A batch function may also return its own ``error`` column."""
+        try:
+            res = fn(values)
+            rows = res.to_dict("records")
+            return rows, [None if pd.isna(r.get("error")) else str(r.get("error")) for r in rows]
+        except Exception as exc:  # noqa: BLE001 - isolate the failing rows
+            if len(values) == 1:
+                return [{}], [str(exc)]
+        middle = len(values) // 2
+        a, b = (attempt(part.reset_index(drop=True)) for part in (values.iloc[:middle], values.iloc[middle:]))
+        return a[0] + b[0], a[1] + b[1]
+
     def run(batches):
         for pdf in batches:
-            try:
-                res = fn(pdf["text"]).reset_index(drop=True)
-                err = pd.Series([None] * len(pdf), dtype=object)
-            except Exception:  # noqa: BLE001 - isolate the failing rows
-                rows, errs = [], []
-                for t in pdf["text"]:
-                    try:
-                        rows.append(fn(pd.Series([t])).iloc[0].to_dict())
-                        errs.append(None)
-                    except Exception as exc:  # noqa: BLE001
-                        rows.append({})
-                        errs.append(str(exc))
-                res, err = pd.DataFrame(rows, index=range(len(pdf))), pd.Series(errs, dtype=object)
+            rows, errors = attempt(pdf["text"]) if len(pdf) else ([], [])
             out = pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "model": name, "task": task})
             for c in ("label", "score", "generated_text", "output"):
-                out[c] = res[c].to_numpy() if c in res else None
+                out[c] = pd.Series([r.get(c) if e is None else None for r, e in zip(rows, errors)], dtype=object)
             out["score"] = pd.to_numeric(out["score"], errors="coerce")
-            out["error"] = err.to_numpy()
+            out["error"] = pd.Series(errors, dtype=object)
             yield out
 
     scored = df.select("row_id", "text").mapInPandas(run, RESULT_SCHEMA)
@@ -152,11 +160,12 @@ def _from_batch(df: DataFrame, spec: ModelSpec) -> DataFrame:
 
 def score_all(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
     """G1 + G3: every row (row_id, text) through every model, one long table."""
-    parts = []
+    exprs = [m for m in models if m.expr is not None]
+    parts = [_from_exprs(df, exprs)] if exprs else []
     for spec in models:
         if spec.expr is not None:
-            parts.append(_from_expr(df, spec))
-        elif spec.spark_model is not None:
+            continue
+        if spec.spark_model is not None:
             parts.append(_from_spark_model(df, spec))
         elif spec.batch_fn is not None:
             parts.append(_from_batch(df, spec))
@@ -169,8 +178,9 @@ def score_all(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
 
 
 def result_lines(results: DataFrame) -> DataFrame:
-    """One printable line per (row, model)."""
-    score_text = F.coalesce(F.col("score").cast("string"), F.lit("N/A"))
+    """One printable line per (row, model). A generator without a score
+    prints ``None``."""
+    score_text = F.coalesce(F.col("score").cast("string"), F.lit("None"))
     line = (F.when(F.col("error").isNotNull(), F.concat(F.col("model"), F.lit(": Error - "), F.col("error")))
              .when(F.col("label").isNotNull(),
                    F.concat(F.col("model"), F.lit(": "), F.col("label"), F.lit(" (Confidence: "),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.ordering import with_row_index
 from skein.functions.text import SEP_MARK, md5_bucket, pair_text, py_strip, terms
+from skein.session import cut_lineage
 
 # Label mapping of the binary trainer, pandas' text for a missing value.
 FIXED_LABELS = {"unnecessary": 0, "necessary": 1}
@@ -61,16 +62,26 @@ def map_fixed_labels(df: DataFrame, mapping: dict | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- E5 - E7
 
+# Classes up to which a per-class table is broadcast and numbered in one task;
+# free-text labels beyond it take the shuffled way.
+MAX_CLASSES = 100_000
+
+
+def per_class(table: DataFrame) -> DataFrame:
+    """A table of one row per class, marked for broadcast if its count allows it."""
+    return F.broadcast(table) if table.limit(MAX_CLASSES + 1).count() <= MAX_CLASSES else table
+
+
 def label_table(df: DataFrame, label_col: str = "label") -> DataFrame:
     """E5: (label, label_id) for the sorted distinct labels (a tiny table)."""
     d = df.select(F.col(label_col).alias("label")).distinct()
-    return d.withColumn("label_id", (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int"))
+    return with_row_index(d, ["label"], "label_id").withColumn("label_id", F.col("label_id").cast("int"))
 
 
 def encode_labels(df: DataFrame, label_col: str = "label") -> tuple[DataFrame, DataFrame]:
     """Adds ``label_id``; returns (encoded rows, label table for decoding)."""
     table = label_table(df, label_col)
-    return df.join(F.broadcast(table.withColumnRenamed("label", label_col)), label_col, "inner"), table
+    return df.join(per_class(table.withColumnRenamed("label", label_col)), label_col, "inner"), table
 
 
 def class_counts(df: DataFrame, label_col: str = "label_id") -> DataFrame:
@@ -108,7 +119,7 @@ def oversample(df: DataFrame, label_col: str = "label_id", id_col: str = "row_id
     rest = with_row_index(parts.where(F.col("part") == "rest").drop("part"), [id_col], "_ridx")
     picks = spark.range(n_major).select(
         F.col("id").alias("copy_id"),
-        (md5_bucket(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))) % F.lit(n_rest))
+        (md5_bucket(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 15) % F.lit(n_rest))
         .alias("_ridx"))
     drawn = picks.join(rest, "_ridx", "inner").drop("_ridx")
     return major.unionByName(drawn)
@@ -153,7 +164,7 @@ def stratified_split(df: DataFrame, label_col: str = "label_id", id_col: str = "
         if small:
             raise ValueError(f"class {small[0][label_col]!r} has only {small[0]['n']} row; "
                              "a stratified split needs at least 2 per class")
-    quotas = F.broadcast(split_quotas(df, label_col, test_size).select(label_col, "n_test"))
+    quotas = per_class(cut_lineage(split_quotas(df, label_col, test_size).select(label_col, "n_test")))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     ranked = with_row_index(df.withColumn("_key", key), ["_key", id_col], "_cidx", group_by=[label_col])
     return (ranked.join(quotas, label_col, "inner")
@@ -193,7 +204,7 @@ def class_weights(train: DataFrame, label_col: str = "label_id") -> DataFrame:
 
 
 def with_class_weights(train: DataFrame, label_col: str = "label_id") -> DataFrame:
-    w = F.broadcast(class_weights(train, label_col).select(label_col, "weight"))  # one row per class
+    w = per_class(cut_lineage(class_weights(train, label_col).select(label_col, "weight")))
     return train.join(w, label_col, "inner")
 
 
@@ -210,11 +221,10 @@ def encode_fixed_length(df: DataFrame, vocab: DataFrame, id_col: str = "row_id",
                         text_col: str = "input_text", max_length: int = 128) -> DataFrame:
     """(id, input_ids, attention_mask), truncated / padded to ``max_length``.
 
-    Only the first ``max_length`` terms of a row are looked up (filter before
-    the join), so long texts cost no more than short ones.
+    Only the first ``max_length`` terms of a row are looked up (the array is cut
+    before it is exploded), so long texts cost no more than short ones.
     """
-    toks = df.select(id_col, F.posexplode_outer(terms(text_col)).alias("pos", "term"))
-    toks = toks.where(F.col("pos").isNull() | (F.col("pos") < max_length))
+    toks = df.select(id_col, F.posexplode_outer(F.slice(terms(text_col), 1, max_length)).alias("pos", "term"))
     ids = toks.join(vocab, "term", "left").withColumn(
         "tid", F.when(F.col("term").isNull(), F.lit(None)).otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
     per_row = ids.groupBy(id_col).agg(

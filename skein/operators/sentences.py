@@ -48,8 +48,13 @@ def rule_scorer(prompt, sentence, min_terms: int = 8) -> F.Column:
     term with the prompt or has at least ``min_terms`` terms, else 0."""
     p = prompt if isinstance(prompt, F.Column) else F.col(prompt)
     s = sentence if isinstance(sentence, F.Column) else F.col(sentence)
-    st = terms(s)
-    shared = F.size(F.array_intersect(F.array_distinct(st), terms(p))) > 0
+    return scored_by_terms(terms(p), s, min_terms)
+
+
+def scored_by_terms(prompt_terms: F.Column, sentence: F.Column, min_terms: int = 8) -> F.Column:
+    """``rule_scorer`` for a prompt whose terms are already extracted."""
+    st = terms(sentence)
+    shared = F.arrays_overlap(st, prompt_terms)
     return F.when(shared | (F.size(st) >= min_terms), F.lit(1)).otherwise(F.lit(0))
 
 
@@ -83,21 +88,23 @@ def keep_necessary(sentences: DataFrame, scorer=None, model=None) -> DataFrame:
 
 
 def check_pairing(prompts: DataFrame, lists: DataFrame, key: str) -> None:
-    """D8 guard: every sentence list needs a prompt and vice versa."""
-    a = lists.select(key).distinct().join(prompts.select(key), key, "left_anti").limit(1).count()
-    b = prompts.select(key).join(lists.select(key).distinct(), key, "left_anti")
-    if a:
-        raise ValueError("sentence lists without a prompt")
-    return b  # prompts without sentences are legal: they get an empty list
+    """D8 guard: every list needs a prompt and every prompt a list (which may
+    be empty: ``lists`` has a row per list, not per sentence). One job."""
+    both = (prompts.select(key).distinct().withColumn("_p", F.lit(1))
+            .join(lists.select(key).distinct().withColumn("_l", F.lit(1)), key, "full"))
+    row = both.agg(F.count_if(F.col("_p").isNull()).alias("no_prompt"), F.count_if(F.col("_l").isNull()).alias("no_list")).first()
+    if row["no_prompt"] or row["no_list"]:
+        raise ValueError(f"{row['no_prompt']} sentence lists without a prompt, {row['no_list']} prompts without a list")
 
 
 def predict_nested(prompts: DataFrame, sentences: DataFrame, key: str, order_cols: list,
-                   scorer=None, model=None) -> DataFrame:
+                   scorer=None, model=None, lists: DataFrame | None = None) -> DataFrame:
     """Per prompt its sentences with labels, in ``order_cols`` order.
 
-    Prompts without sentences keep one row with NULL sentence and label.
+    ``lists`` names the sentence lists by key (default: those with a sentence);
+    a prompt with an empty list keeps one row with NULL sentence and label.
     """
-    check_pairing(prompts, sentences, key)
+    check_pairing(prompts, sentences if lists is None else lists, key)
     j = prompts.join(sentences, key, "left")
     scored = predict_pairs(j.where(F.col("sentence").isNotNull()), scorer, model)
     empty = j.where(F.col("sentence").isNull()).withColumn("label", F.lit(None).cast("string"))

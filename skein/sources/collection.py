@@ -16,11 +16,12 @@ COLLECTION_DDL = ("pk BIGINT, text STRING, path STRING, context STRING, metadata
                   "dense_vector ARRAY<FLOAT>")
 
 
-def assign_pk(rows: DataFrame) -> DataFrame:
-    """Stable auto key: 60-bit prefix of md5(path ‖ text); no global sort needed."""
-    return rows.withColumn("pk", F.conv(F.substring(F.md5(F.concat(F.coalesce("path", F.lit("")),
-                                                                  F.coalesce("text", F.lit("")))), 1, 15),
-                                        16, 10).cast("bigint"))
+def assign_pk(rows: DataFrame, discriminator: str | None = None) -> DataFrame:
+    """Stable auto key: 60-bit prefix of md5 over path, text and, if rows may be
+    equal in both, a ``discriminator`` column; no global sort needed. The parts
+    are separated by a line end, so "a" + "bc" and "ab" + "c" differ."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("path", "text", *([discriminator] if discriminator else []))]
+    return rows.withColumn("pk", F.conv(F.substring(F.md5(F.concat_ws("\n", *parts)), 1, 15), 16, 10).cast("bigint"))
 
 
 def length_check(rows: DataFrame) -> DataFrame:

@@ -34,6 +34,10 @@ DOC_LABELS = {0: "person", 1: "organization", 2: "event"}
 SENTENCE_EXTRA = [(-1, ""), (-2, "..."), (-3, "This is a test. This is another test.")]
 
 
+# Evaluation scores: sums of this many consecutive embedding values.
+SCORE_BLOCKS = 4
+
+
 def _doc_id_str(c) -> F.Column:
     return F.concat(F.lit("doc"), c.cast("string"))
 
@@ -47,7 +51,8 @@ def _docs_named(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nodes(node_id, name, labeled, description, metadata)."""
+    """nodes(node_id, name, labeled, description, metadata): documents, sources
+    and, as nodes without any edge, benchmark items."""
     d = _docs_named(spark, sf_dir)
     labeled = F.when(F.col("doc_id") % 4 == 0, F.lit(DOC_LABELS[0])) \
                .when(F.col("doc_id") % 4 == 1, F.lit(DOC_LABELS[1])) \
@@ -63,12 +68,16 @@ def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit("place").alias("labeled"),
                           F.concat_ws(" ", "source", "langs").alias("description"),
                           F.lit(None).cast("string").alias("metadata")))
-    return doc_nodes.unionByName(src_nodes)
+    item_id = F.concat(F.lit("item"), F.col("item_id").cast("string"))
+    item_nodes = read_table(spark, sf_dir, "benchmark", "item_id", "text").select(
+        item_id.alias("node_id"), item_id.alias("name"), F.lit("event").alias("labeled"),
+        F.col("text").alias("description"), F.lit(None).cast("string").alias("metadata"))
+    return doc_nodes.unionByName(src_nodes).unionByName(item_nodes)
 
 
 def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """edges(edge_id, src_id, dst_id, rel_type, description), directed."""
-    d = _docs_named(spark, sf_dir).where(F.col("doc_id") % 23 != 5)
+    d = _docs_named(spark, sf_dir)
     src_node = F.concat(F.lit("src:"), F.col("source"))
     published = d.select(F.concat(F.lit("pub:"), F.col("doc_id").cast("string")).alias("edge_id"),
                          F.col("node_id").alias("src_id"), src_node.alias("dst_id"),
@@ -76,12 +85,14 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat_ws(" published in ", "name", "source").alias("description"))
     # "next document of the same source": number documents per source with the
     # range-partitioned index (no single-task window per source), then an
-    # equi-join of position i with position i + 1.
-    ordered = with_row_index(d.select("doc_id", "source", "node_id", "text"),
+    # equi-join of position i with position i + 1, all on thin rows; the text
+    # is joined to the finished pairs.
+    ordered = with_row_index(d.select("doc_id", "source", "node_id"),
                              order_by=["doc_id"], group_by=["source"], name="pos")
     nxt = ordered.select("source", (F.col("pos") - 1).alias("pos"),
                          F.col("node_id").alias("next_node"))
-    follows = (ordered.join(nxt, on=["source", "pos"], how="inner")
+    pairs = ordered.join(nxt, on=["source", "pos"], how="inner").select("doc_id", "node_id", "next_node")
+    follows = (pairs.join(d.select("doc_id", "text"), "doc_id")
                       .select(F.concat(F.lit("fol:"), F.col("doc_id").cast("string")).alias("edge_id"),
                               F.col("node_id").alias("src_id"), F.col("next_node").alias("dst_id"),
                               F.lit("follows").alias("rel_type"),
@@ -99,9 +110,26 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published.unionByName(follows).unionByName(cites).unionByName(mentions)
 
 
-def prompts(spark: SparkSession) -> DataFrame:
-    """Q: prompt_id INT, prompt STRING."""
-    return spark.createDataFrame(PROMPTS, "prompt_id int, prompt string")
+def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q: prompt_id LONG, prompt STRING: the benchmark items' texts (ids from
+    1000) and the ten literal prompts, which reach the edge cases."""
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    literal = spark.createDataFrame(PROMPTS, "prompt_id long, prompt string")
+    return literal.unionByName(items.select((F.col("item_id") + 1000).alias("prompt_id"), F.col("text").alias("prompt")))
+
+
+def turn_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``prompts`` and the first user turn of every conversation (ids from 1e9)."""
+    turns = conversation_prompts(spark, sf_dir).select((F.col("conv_id") + 1_000_000_000).alias("prompt_id"), "prompt")
+    return prompts(spark, sf_dir).unionByName(turns)
+
+
+def prompt_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q with a vector: prompt i carries the embedding with ``vec_id`` i (none: NULL)."""
+    e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    q = prompts(spark, sf_dir).withColumn("vec_id", F.when(F.col("prompt_id") >= 1000, F.col("prompt_id") - 1000)
+                                          .otherwise(F.col("prompt_id") + 100))
+    return q.join(e, "vec_id", "left").select("prompt_id", "prompt", F.col("embedding").alias("dense_vector"))
 
 
 # ---------------------------------------------------------------- vectors (V)
@@ -120,14 +148,11 @@ def chunk_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_query_ids(collection: DataFrame) -> DataFrame:
-    """Query rows of V (a batch standing in for prompts): per source, the chunk
-    with the smallest key among those that have a vector. The source is the
-    first part of ``metadata``; one partial aggregation picks the batch."""
-    with_vec = collection.where(F.col("dense_vector").isNotNull())
-    firsts = (with_vec.groupBy(F.split("metadata", ", ").getItem(0).alias("src"))
-                      .agg(F.min("pk").alias("query_id")))
-    return (with_vec.join(firsts, with_vec.pk == firsts.query_id, "inner")
-                    .select("query_id", "text", "dense_vector"))
+    """Query rows of V (a batch standing in for prompts): every chunk whose key
+    is divisible by 100 and that has a vector, so the batch grows with the
+    collection."""
+    return (collection.where((F.col("pk") % 100 == 0) & F.col("dense_vector").isNotNull())
+                      .select(F.col("pk").alias("query_id"), "text", "dense_vector"))
 
 
 # -------------------------------------------------------------- sentences (S)
@@ -156,7 +181,9 @@ def conversation_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ training (P, E)
 
 def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P: row_id, prompt, sentence, label (raw, dirty) from labels ⋈ documents."""
+    """P: row_id, prompt, sentence, label (raw, dirty) from labels ⋈ documents:
+    one row per sentence of every labelled document. ``row_id`` = doc_id * 1e9
+    + position (a text of at most 2^31 bytes has fewer sentences than 1e9)."""
     lab = read_table(spark, sf_dir, "labels", "doc_id", "quality")
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
     j = lab.join(d, "doc_id", "inner")
@@ -167,13 +194,13 @@ def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(i % 11 == 0, F.lit("maybe"))
               .when(i % 5 == 0, styled)
               .otherwise(base))
-    first_sentence = F.regexp_extract("text", sentence_pattern(), 0)
+    j = j.select("doc_id", "quality", "source", F.posexplode_outer(F.regexp_extract_all("text", F.lit(sentence_pattern()), 0)).alias("pos", "s"))
     return j.select(
-        i.alias("row_id"),
+        (i * 1_000_000_000 + F.coalesce("pos", F.lit(0))).alias("row_id"),
         F.when(i % 17 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("Is this passage from "), F.col("source"), F.lit(" useful?")))
          .alias("prompt"),
-        F.when(i % 13 == 0, F.lit(None).cast("string")).otherwise(first_sentence).alias("sentence"),
+        F.when(i % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("s")).alias("sentence"),
         label.alias("label"))
 
 
@@ -191,7 +218,14 @@ def eval_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E multiclass: row_id, label = label % 4, scores = first four embedding values."""
+    """E multiclass: row_id, label = label % 4, scores = sums over four equal
+    blocks of all embedding values, rounded to 6 places."""
     e = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    width = (F.size("embedding") / SCORE_BLOCKS).cast("int")
+
+    def block(k: int):
+        part = F.slice("embedding", F.lit(k) * width + 1, width)
+        return F.round(F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x.cast("double")), 6)
+
     return e.select(F.col("vec_id").alias("row_id"), (F.col("label") % 4).alias("label"),
-                    F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("scores"))
+                    F.array(*[block(k) for k in range(SCORE_BLOCKS)]).alias("scores"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from skein.plans.ask import Sources, ask
 from skein.session import checkpoint_dir
 
-PROMPT_SCHEMA = "prompt_id int, prompt string"
+PROMPT_SCHEMA = "prompt_id long, prompt string"
 
 
 def start(spark: SparkSession, prompt_dir: str, out_dir: str, config: dict, sources: Sources,

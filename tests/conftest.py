@@ -33,3 +33,28 @@ def duck():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_SMALL
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shared_tables():
+    """Queries of one session share the derived graph, index, collection and
+    models, which every query would otherwise build anew."""
+    from skein.plans import queries_models, registry
+    made, old = {}, []
+
+    def once(name, build):
+        def get(spark, sf_dir, **options):
+            key = (name, sf_dir, str(options))
+            if key not in made:
+                made[key] = build(spark, sf_dir, **options)
+            return made[key]
+        return get
+
+    for module, names in ((registry, ("_graph", "_index", "_collection", "_retrieval")), (queries_models, ("_index", "_sources", "_binary_model", "_multiclass"))):
+        for name in names:
+            build = getattr(module, name)
+            old.append((module, name, build))
+            setattr(module, name, once(name, build))
+    yield
+    for module, name, build in old:
+        setattr(module, name, build)

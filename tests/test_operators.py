@@ -61,25 +61,53 @@ def test_label_decode_unknown(spark):
 
 # ----------------------------------------------------------------- full text
 
-def test_fuzzy_weights_and_paths_agree(spark):
+def test_fuzzy_weights(spark):
     vocab = spark.createDataFrame([("node", t, 1) for t in
                                    ["cat", "cart", "cast", "dog", "at", "catalog", "scat", "cta"]],
                                   "kind string, term string, df long")
     q = spark.createDataFrame([(1, 0, "cat", True)], "prompt_id int, pos int, term string, is_fuzzy boolean")
     band = {(r.term, r.distance, round(r.weight, 6)) for r in ft.fuzzy_expand(q, vocab).collect()}
-    old = ft.MAX_BAND_QUERY_TERMS
-    ft.MAX_BAND_QUERY_TERMS = -1
-    try:
-        dele = {(r.term, r.distance, round(r.weight, 6)) for r in ft.fuzzy_expand(q, vocab).collect()}
-    finally:
-        ft.MAX_BAND_QUERY_TERMS = old
-    assert band == dele
     # weight = 1 - d / min(len); 'at' (d=1, min len 2) -> 0.5; 'cta' is a transposition: d=2 -> 1/3
     assert ("cat", 0, 1.0) in band and ("cart", 1, round(1 - 1 / 3, 6)) in band
     assert ("at", 1, 0.5) in band and ("cta", 2, round(1 - 2 / 3, 6)) in band
     assert not any(t == "dog" or t == "catalog" for t, _, _ in band)
 
 
+def _edits(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_fuzzy_candidates_lose_no_term(spark):
+    """Every pair within the bound, over short, long and repetitive words."""
+    import random
+    rnd = random.Random(5)
+    words = {"".join(rnd.choice("abé") for _ in range(rnd.randint(1, 7))) for _ in range(250)}
+    words |= {w + "x" * 40 for w in list(words)[:10]} | {"y" + w + "x" * 39 for w in list(words)[:10]}
+    vocab = spark.createDataFrame([("node", w, 1) for w in sorted(words)], "kind string, term string, df long")
+    asked = sorted(words)[::6] + ["x" * 41, "abab"]
+    q = spark.createDataFrame([(i, 0, w, True) for i, w in enumerate(asked)], "prompt_id int, pos int, term string, is_fuzzy boolean")
+    got = {(r.query_term, r.term, r.distance) for r in ft.fuzzy_expand(q, vocab, max_expansions=10_000).collect()}
+    want = {(a, b, d) for a in asked for b in words if (d := _edits(a, b)) <= 2 and d < min(len(a), len(b))}
+    assert got == want
+
+
+def test_prompts_that_share_a_term_cost_one(spark):
+    """2,000 prompts with the same last word: the candidates are those of one."""
+    vocab = spark.createDataFrame([("node", f"word{i}", 1) for i in range(300)], "kind string, term string, df long")
+    q = spark.range(2000).selectExpr("cast(id as int) as prompt_id", "0 as pos", "concat('word', cast(id % 1 + 7 as string)) as term", "true as is_fuzzy")
+    one = ft._candidates(q.limit(1).selectExpr("term as query_term").distinct(), vocab).count()
+    assert ft._candidates(q.selectExpr("term as query_term").distinct(), vocab).count() == one
+    out = ft.fuzzy_expand(q, vocab)
+    assert out.count() == 2000 * 50
+    assert "BroadcastNestedLoopJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cut_keeps_single_hit_and_uses_population_std(spark):
     hits = spark.createDataFrame([(1, "node", "a", 3.0), (2, "node", "x", 2.0), (2, "node", "y", 4.0),
                                   (2, "node", "z", 6.0)], "prompt_id int, kind string, item_id string, score double")
@@ -188,6 +216,89 @@ def test_dense_topk_paths_agree(spark):
     assert a == b and len(a) == 30
 
 
+def _vectors(spark, rows):
+    return spark.createDataFrame(rows, "pk long, dense_vector array<float>")
+
+
+def test_dense_topk_skips_scores_that_are_not_finite(spark):
+    chunks = _vectors(spark, [(1, [1.0, 0.0]), (2, [float("nan"), 1.0]), (3, [0.5, 0.0]), (4, [float("inf"), 0.0])]).coalesce(1)
+    q = chunks.where("pk = 1").select(F.col("pk").alias("query_id"), "dense_vector")
+    for bound in (vec.MAX_BROADCAST_BYTES, 0):
+        got = [(r.pk, r.score) for r in vec.dense_topk(q, chunks, 3, max_broadcast_bytes=bound).orderBy("rank").collect()]
+        assert got == [(1, 1.0), (3, 0.5)]
+
+
+def test_dense_vectors_of_unequal_length_are_an_error(spark):
+    import pytest
+    chunks = _vectors(spark, [(1, [1.0, 0.0]), (2, [1.0])])
+    with pytest.raises(ValueError, match="components"):
+        vec.dense_topk(chunks.withColumnRenamed("pk", "query_id"), chunks, 1)
+    with pytest.raises(Exception, match="2 components"):
+        vec.dense_topk(chunks.where("pk = 1").withColumnRenamed("pk", "query_id"), chunks, 1).collect()
+
+
+def test_dense_kernel_is_exact_over_many_tiles():
+    """Ties included, whatever the tiles; temporary arrays stay at a tile's size."""
+    import tracemalloc
+
+    import numpy as np
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(9000, 4)), 1)
+    ids, q = np.arange(2100), x[:2100]
+    tracemalloc.start()
+    got = vec._local_topk(ids, q, np.arange(9000), x, 4, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * 8 * vec.TILE_QUERIES * vec.TILE_CHUNKS + 64 * x.size
+    for i in (0, 1023, 1024, 2099):
+        s = x @ q[i]
+        s[i] = -np.inf
+        kth = np.sort(s)[-4]
+        want = set(np.flatnonzero(s >= kth - 1e-9).tolist())
+        mine = got[got.query_id == i]
+        assert set(mine.pk) == want and np.allclose(mine.score, s[mine.pk])
+
+
+def test_softmax_of_far_scores(spark):
+    df = spark.createDataFrame([([800.0, 1.0],), ([-800.0, -800.0],)], "scores array<double>")
+    assert [r[0] for r in df.select(mt.softmax("scores")).collect()] == [[1.0, 0.0], [0.5, 0.5]]
+
+
+def test_collection_keys_separate_their_parts(spark):
+    from skein.sources import collection as colx
+    rows = spark.createDataFrame([("a", "bc", 1), ("ab", "c", 2), ("ab", "c", 3)], "path string, text string, n long")
+    assert colx.assign_pk(rows).select("pk").distinct().count() == 2
+    assert colx.assign_pk(rows, "n").select("pk").distinct().count() == 3
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    import pytest
+
+    from skein.session import checkpoint_dir
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Fake())
+
+
+def test_pairing_checks_both_sides(spark):
+    import pytest
+    prompts = spark.createDataFrame([(1, "p"), (2, "q")], "k long, prompt string")
+    lists = spark.createDataFrame([(1,), (2,)], "k long")
+    sn.check_pairing(prompts, lists, "k")
+    for a, b in ((prompts.where("k = 1"), lists), (prompts, lists.where("k = 1"))):
+        with pytest.raises(ValueError):
+            sn.check_pairing(a, b, "k")
+    sents = spark.createDataFrame([(1, 0, "a sentence")], "k long, pos int, sentence string")
+    out = {r.k: r.label for r in sn.predict_nested(prompts, sents, "k", ["pos"], lists=lists).collect()}
+    assert out[2] is None and out[1] is not None
+
+
 # ------------------------------------------------------------- preparation
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

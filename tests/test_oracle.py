@@ -6,9 +6,8 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
-
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+from skein.plans.oracle import ORACLE
+from skein.plans.registry import QUERIES
 
 
 def _norm(v):
@@ -46,12 +45,13 @@ def test_matches_oracle(spark, duck, sf_dir, key):
 
 
 def test_every_key_has_a_callable():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) == set(QUERIES)  # no key without an oracle
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
     rows = df.collect()
-    assert len(rows) == 10
+    assert len(rows) == 50  # ten literal prompts, forty benchmark items
     assert df.columns == ["prompt_id", "context", "metadata"]
     assert all(r.context.startswith("*** Nodes:") for r in rows)

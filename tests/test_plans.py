@@ -2,12 +2,10 @@
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from skein.plans.registry import QUERIES
 from skein.operators import fulltext as ft
 from skein.sources import fixtures as fx
 
-QUERIES = entry.queries()
-
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -45,27 +43,42 @@ def test_scan_reads_only_needed_columns(spark, sf_dir):
     assert "ReadSchema: struct<quality:int,toxic:int>" in p
 
 
-def test_key_lookup_is_pushed_into_parquet_scan(spark, sf_dir):
-    from skein.functions.lookup import restrict
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    keys = spark.createDataFrame([(5,), (7,)], "k long")
-    p = plan(restrict(docs, ["doc_id"], keys, "k", min_bytes=0))
-    assert "PushedFilters: [In(doc_id, [5,7])]" in p or "In(doc_id, [5,7])" in p
-    # small tables (under the size gate) are left alone: the join plans itself
-    assert restrict(docs, ["doc_id"], keys, "k") is docs
+def test_index_builds_move_no_texts(spark, sf_dir):
+    """Exchanges of the term counts hold ids, terms and counts, never a text."""
+    import re
+
+    from skein.operators import vectors as vec
+    nodes, edges = fx.graph_nodes(spark, sf_dir), fx.graph_edges(spark, sf_dir)
+    items = ft.index_items(spark.createDataFrame(nodes.limit(5).collect(), nodes.schema), spark.createDataFrame(edges.limit(5).collect(), edges.schema))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("pk"), "text")
+    for df in (ft.postings(items), vec.term_frequencies(docs)):
+        p = df._jdf.queryExecution().executedPlan().toString()
+        moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+        assert moved and not any("text" in m or "toks" in m for m in moved), p
+        assert "partial_count" in p
+
+
+def test_graph_expansion_carries_no_texts(spark, sf_dir):
+    from skein.operators import graph as gr
+    g = gr.GraphRetrieval.run(fx.prompts(spark, sf_dir), *_graph(spark, sf_dir))
+    for df in (g.node_rows, g.endpoints, g.expansion):
+        assert not any("description" in c or c == "text" for c in df.columns), df.columns
+
+
+def _graph(spark, sf_dir):
+    from skein.session import write_table
+    return write_table(fx.graph_nodes(spark, sf_dir), "nodes"), write_table(fx.graph_edges(spark, sf_dir), "edges")
 
 
-def test_restrict_above_key_bound_is_plain_table(spark, sf_dir):
-    from skein.functions.lookup import restrict
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    keys = spark.range(0, 20).withColumnRenamed("id", "k")
-    assert restrict(docs, ["doc_id"], keys, "k", max_keys=10, min_bytes=0) is docs
+def test_expression_models_share_one_scan(spark, sf_dir):
+    p = plan(QUERIES["multi_model_score"](spark, sf_dir))
+    assert p.count("FileScan parquet") == 1
 
 
 def test_search_filter_is_pushed_to_postings_join(spark, sf_dir):
     nodes, edges = fx.graph_nodes(spark, sf_dir), fx.graph_edges(spark, sf_dir)
     idx = ft.FullTextIndex.build(nodes, edges)
-    exp = ft.expanded_terms(ft.query_terms(fx.prompts(spark)), idx.terms)
+    exp = ft.expanded_terms(ft.query_terms(fx.prompts(spark, sf_dir)), idx.terms)
     df = ft.search(exp, idx).where(F.col("kind") == "edge")
     p = plan(df)
     assert "CartesianProduct" not in p

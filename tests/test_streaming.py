@@ -35,17 +35,32 @@ def test_answer_step_and_failure_gives_null(spark):
     def broken(s):
         raise RuntimeError("server down")
     bad = ak.answer(with_text, broken).collect()
-    assert all(r.llm_response is None for r in bad)
+    assert all(r.llm_response is None and r.llm_error == "server down" for r in bad)
+
+    def some(s):
+        if s.str.contains("what").any():
+            raise RuntimeError("no answer to that")
+        return s.str.len().astype(str)
+    mixed = {r.prompt_id: r for r in ak.answer(with_text.coalesce(1), some).collect()}
+    assert mixed[1].llm_response == str(len(mixed[1].prompt_text)) and mixed[1].llm_error is None
+    assert mixed[2].llm_response is None and mixed[2].llm_error == "no answer to that"
+
+
+def test_dense_weight_needs_vectors(spark, sf_dir):
+    import pytest
+    prompts = spark.createDataFrame([(1, "the")], "prompt_id long, prompt string")
+    with pytest.raises(ValueError):
+        ak.vector_contexts(prompts, ak.Sources())
 
 
 def test_stream_matches_batch(spark, sf_dir):
     base = tempfile.mkdtemp(prefix="stream-", dir=os.path.dirname(sp.checkpoint_dir(spark)) or None)
     inbox, out = os.path.join(base, "in"), os.path.join(base, "out")
-    prompts = fx.prompts(spark)
+    prompts = fx.prompts(spark, sf_dir).where("prompt_id <= 10")
     prompts.where("prompt_id <= 5").write.parquet(os.path.join(inbox, "part1"))
     prompts.where("prompt_id > 5").write.parquet(os.path.join(inbox, "part2"))
     src = qm._sources(spark, sf_dir)
-    config = {"pipeline": {"graph_retriever": True, "vector_retriever": True}}
+    config = {"pipeline": {"graph_retriever": True, "vector_retriever": True}, "components": {"vector_retriever": {"dense_weight": 0}}}
     q = sp.start(spark, os.path.join(inbox, "*"), out, config, src, name="t" + os.path.basename(base)[-6:])
     q.awaitTermination(600)
     got = spark.read.parquet(out).drop("batch_id")
