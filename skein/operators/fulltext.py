@@ -146,15 +146,17 @@ def _piece_keys(vocabulary_side: bool) -> F.Column:
 
 
 def _candidates(query: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(kind, query_term, term): an equi-join on piece keys; work grows with the
-    vocabulary and the distinct query terms, not with their product."""
-    def keyed(df: DataFrame, vocabulary_side: bool, *cols: str) -> DataFrame:
-        ex = df.select(*cols, F.explode(_piece_keys(vocabulary_side)).alias("k"))
-        return ex.select(*cols, F.concat_ws("/", "k.n", "k.p", "k.piece").alias("key")).distinct()
+    """(query_term, term): an equi-join on piece keys; work grows with the
+    vocabulary and the distinct query terms, not with their product. Only the
+    query side is made distinct, so a small batch is broadcast by Spark and the
+    vocabulary's keys are probed as they are generated."""
+    def keyed(df: DataFrame, vocabulary_side: bool) -> DataFrame:
+        ex = df.select("term", F.explode(_piece_keys(vocabulary_side)).alias("k"))
+        return ex.select("term", F.concat_ws("/", "k.n", "k.p", "k.piece").alias("key"))
 
-    q = keyed(query.select(F.col("query_term").alias("term")), False, "term").withColumnRenamed("term", "query_term")
-    v = keyed(vocab.select("kind", "term"), True, "kind", "term")
-    return q.join(v, "key").select("kind", "query_term", "term").distinct()
+    q = keyed(query.select(F.col("query_term").alias("term")), False).withColumnRenamed("term", "query_term").distinct()
+    v = keyed(vocab.select("term").distinct(), True)
+    return v.join(q, "key").select("query_term", "term").distinct()
 
 
 def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
@@ -168,9 +170,10 @@ def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
     fz = qterms.where("is_fuzzy").select("prompt_id", "pos", F.col("term").alias("query_term"))
     cand = _candidates(fz.select("query_term").distinct(), vocab)
     minlen = F.least(F.length("term"), F.length("query_term"))
-    scored = (cand.withColumn("distance", F.levenshtein("term", "query_term", MAX_EDITS))
-                  .where((F.col("distance") >= 0) & (F.col("distance") < minlen))
-                  .withColumn("weight", F.lit(1.0) - F.col("distance") / minlen))
+    near = (cand.withColumn("distance", F.levenshtein("term", "query_term", MAX_EDITS))
+                .where((F.col("distance") >= 0) & (F.col("distance") < minlen))
+                .withColumn("weight", F.lit(1.0) - F.col("distance") / minlen))
+    scored = near.join(vocab.select("kind", "term"), "term")
     w = Window.partitionBy("kind", "query_term").orderBy(F.desc("weight"), F.asc("term"))
     kept = scored.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_expansions).drop("_rn")
     return fz.join(kept, "query_term").select("prompt_id", "kind", "pos", "query_term", "term", "distance", "weight")
