@@ -9,7 +9,7 @@ WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS data FROM pages),
 d AS (SELECT page_id, octet_length(data) AS payload_bytes, sha1(data) AS h FROM p),
 f AS (SELECT h, min(page_id) AS first FROM d GROUP BY h)
 SELECT d.page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            CAST(1 + ((CAST('0x' || substr(d.h, CAST(1 + 10 * (i // 8) AS INT), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) AS INT), 1)), '') AS payload_digest,
        CASE WHEN d.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN d.page_id = f.first THEN NULL ELSE f.first END AS refers_to
@@ -23,8 +23,8 @@ win AS (SELECT DISTINCT item_id, least(len(w), 13) AS k, list_slice(w, i, i + le
         FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT k FROM win),
 dw AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-at AS (SELECT doc_id, k, i, list_slice(w, i, i + k - 1) AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, sizes)),
-hit AS (SELECT at.doc_id, at.i, at.k, win.item_id FROM at JOIN win ON at.g = win.g),
+spot AS (SELECT doc_id, k, i, list_slice(w, i, i + k - 1) AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, sizes)),
+hit AS (SELECT spot.doc_id, spot.i, spot.k, win.item_id FROM spot JOIN win ON spot.g = win.g),
 words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
           FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
