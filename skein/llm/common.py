@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -29,6 +32,16 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def give_back() -> None:
+    """Return a finished task's memory to the system: Spark keeps Python workers for later tasks,
+    and what their allocators hold counts against the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text modulo ``modulus`` equals ``remainder`` (a null id counts as '')."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
@@ -81,41 +94,42 @@ CHUNK_KEYS = 2_000_000
 MAX_CANDIDATES = 200_000
 
 
-def frequent(texts: DataFrame, counted: Callable[[list[bytes]], tuple[dict, int]], rate: float, key_type: str = "binary",
-             max_candidates: int = MAX_CANDIDATES, batch_rows: int = 512) -> tuple[dict, int]:
+def frequent(texts: DataFrame, add: Callable[[Counter, list[bytes]], int], rate: float, finish: Callable[[Counter], None] | None = None,
+             max_candidates: int = MAX_CANDIDATES, chunk_keys: int = CHUNK_KEYS, batch_rows: int = 512) -> tuple[dict, int]:
     """({key: count}, total) of all keys whose count is at least ``rate`` times the total.
 
-    ``texts`` has one binary or string column; ``counted`` returns the counts of some texts and
-    what they add to the total. Exact in two passes: a key that reaches the rate over everything
-    reaches it in at least one chunk, so the first pass returns each chunk's own frequent keys (a
-    few rows, not the long tail), and the second counts these candidates everywhere. If the
-    candidates exceed ``max_candidates`` all keys are counted by a shuffle instead.
+    ``texts`` has one text column; ``add`` adds the counts of some texts and returns what they add
+    to the total; ``finish`` adds keys that derive from a chunk's counts. Exact in two passes: a
+    key that reaches the rate over everything reaches it in at least one chunk, so the first pass
+    returns each chunk's own frequent keys (a few rows, not the long tail), and the second counts
+    these candidates everywhere. If the candidates exceed ``max_candidates`` all keys are counted
+    by a shuffle instead.
     """
     spark = texts.sparkSession
-    arrow = pa.binary() if key_type == "binary" else pa.int64()
-    schema = f"k {key_type}, c long"
+    schema = "k binary, c long"
 
-    def chunks(batches: Iterable[pa.RecordBatch], wanted: set | None) -> Iterator[tuple[dict, int]]:
-        acc: dict = {}
+    def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[Counter, int]]:
+        acc: Counter = Counter()
         total = 0
         for b in batches:
-            values = utf8(b.column(0))
-            for at in range(0, len(values), batch_rows):
-                part, weight = counted(values[at: at + batch_rows])
-                total += weight
-                for k, c in part.items():
-                    if wanted is None or k in wanted:
-                        acc[k] = acc.get(k, 0) + c
-                if len(acc) >= CHUNK_KEYS:
+            for at in range(0, b.num_rows, batch_rows):
+                total += add(acc, utf8(b.column(0).slice(at, batch_rows)))
+                if len(acc) >= chunk_keys:
+                    if finish:
+                        finish(acc)
                     yield acc, total
-                    acc, total = {}, 0
+                    acc, total = Counter(), 0
+        if finish:
+            finish(acc)
         yield acc, total
+        del acc
+        give_back()
 
     def rows(acc: dict, total: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([*acc, None], arrow), pa.array([*acc.values(), total], pa.int64())], ["k", "c"])
+        return pa.RecordBatch.from_arrays([pa.array([*acc, None], pa.binary()), pa.array([*acc.values(), total], pa.int64())], ["k", "c"])
 
     def local(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for acc, total in chunks(batches, None):
+        for acc, total in chunks(batches):
             yield rows({k: c for k, c in acc.items() if c >= rate * total}, total)
 
     first = texts.mapInArrow(local, schema).groupBy("k").agg(F.sum("c").alias("c"))
@@ -124,16 +138,15 @@ def frequent(texts: DataFrame, counted: Callable[[list[bytes]], tuple[dict, int]
     if not total:
         return {}, 0
     if len(got) <= max_candidates + 1:
-        shipped = spark.sparkContext.broadcast({bytes(r["k"]) if key_type == "binary" else r["k"] for r in got if r["k"] is not None})
+        shipped = spark.sparkContext.broadcast({bytes(r["k"]) for r in got if r["k"] is not None})
 
         def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for acc, n in chunks(batches, shipped.value):
-                yield rows(acc, n)
+            for acc, n in chunks(batches):
+                yield rows({k: acc[k] for k in shipped.value if k in acc}, n)
 
         counts = texts.mapInArrow(exact, schema)
     else:
-        counts = texts.mapInArrow(lambda bs: (rows(*x) for x in chunks(bs, None)), schema)
+        counts = texts.mapInArrow(lambda bs: (rows(*x) for x in chunks(bs)), schema)
     summed = counts.groupBy("k").agg(F.sum("c").alias("c"))
-    total = summed.where("k is null").agg(F.sum("c")).first()[0]
     kept = summed.where(F.col("k").isNotNull() & (F.col("c") >= F.lit(rate * total))).collect()
-    return {bytes(r["k"]) if key_type == "binary" else r["k"]: r["c"] for r in kept}, total
+    return {bytes(r["k"]): r["c"] for r in kept}, total

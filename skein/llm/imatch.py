@@ -40,16 +40,15 @@ EMPTY = "...."
 SEED = 1
 
 
-def _document_terms(texts: list[bytes]) -> tuple[dict, int]:
-    own: Counter = Counter()
+def _add_documents(acc: Counter, texts: list[bytes]) -> int:
     for t in texts:
-        own.update(set(words(t)))
-    return own, len(texts)
+        acc.update(set(words(t)))
+    return len(texts)
 
 
 def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> set[bytes]:
     """Terms of one text column whose share of the documents lies in the band."""
-    found, n = frequent(texts, _document_terms, low)
+    found, n = frequent(texts, _add_documents, low)
     kept = {t for t, c in found.items() if c <= high * n}
     if len(kept) > MAX_LEXICON:
         raise ValueError(f"{len(kept)} terms in the band: choose a narrower one")

@@ -89,8 +89,8 @@ def test_lexicon_does_not_depend_on_partitions(spark):
 def test_shuffled_count_equals_the_two_pass_count(spark, monkeypatch):
     from skein.llm import common
     docs = edge_docs(spark).select("text").withColumn("text", F.coalesce("text", F.lit("")))
-    a = common.frequent(docs, I._document_terms, 0.1)
-    assert a == common.frequent(docs, I._document_terms, 0.1, max_candidates=1) and a[1] == 13
+    a = common.frequent(docs, I._add_documents, 0.1)
+    assert a == common.frequent(docs, I._add_documents, 0.1, max_candidates=1) and a[1] == 13
 
 
 @pytest.mark.parametrize("a,b,want", [("00" + "...." * 64, "00" + "...." * 64, 1.0), ("00" + "abcd" * 64, "00" + "...." * 64, 0.0),
