@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from skein.llm.common import BLOCK_BYTES, block_of, partial_counts, utf8, words
 from skein.session import write_table
 
-TOKEN_RATE = 1e-4
+TOKEN_RATE = 1e-5
 ARC_RATE = 1e-6
 DISCOUNT = 0.75
 #: The end token; no word, since words hold no line end.
@@ -62,20 +62,27 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def ngram_counts(texts: DataFrame, numbers: dict[bytes, int]) -> DataFrame:
-    """key, c of the 2- and 3-grams over numbered tokens; a key holds (number + 1) in SHIFT-bit fields."""
-    shipped = texts.sparkSession.sparkContext.broadcast(numbers)  # at most 1 / rate entries
+def ngram_counts(texts: DataFrame, numbers: dict[bytes, int], pairs: np.ndarray | None = None) -> DataFrame:
+    """key, c of the 2-grams over numbered tokens or, with ``pairs`` (the sorted keys of the 2-grams
+    that are kept), of the 3-grams both of whose 2-grams are kept: no other can be as frequent. A
+    key holds (number + 1) in SHIFT-bit fields."""
+    shipped = texts.sparkSession.sparkContext.broadcast((numbers, pairs))  # at most 1 / rate entries each
 
     def keys_of(values: list[bytes]) -> np.ndarray:
         ids: list[int] = []
-        get, end = shipped.value.get, shipped.value.get(END, -1)
+        known, kept = shipped.value
+        get, end = known.get, known.get(END, -1)
         for t in values:
             ids += [get(w, -1) for w in words(t)]
             ids += [end, -1]  # no n-gram reaches into the next text
         a = np.array(ids, dtype=np.int64) + 1
-        two = (a[:-1] << SHIFT | a[1:])[(a[:-1] > 0) & (a[1:] > 0)]
-        three = (a[:-2] << 2 * SHIFT | a[1:-1] << SHIFT | a[2:])[(a[:-2] > 0) & (a[1:-1] > 0) & (a[2:] > 0)]
-        return np.concatenate([two, three])
+        two = np.where((a[:-1] > 0) & (a[1:] > 0), a[:-1] << SHIFT | a[1:], 0)
+        if kept is None:
+            return two[two > 0]
+        if not len(kept):
+            return two[:0]
+        there = kept[np.minimum(np.searchsorted(kept, two), len(kept) - 1)] == two
+        return (a[:-2] << 2 * SHIFT | two[1:])[there[:-1] & there[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -175,8 +182,11 @@ class Model:
         grams = {}
         if often:
             # at most 1 / arc_rate rows of either order
-            kept = ngram_counts(train, self.numbers).where(F.col("c") >= F.lit(max(arc_rate * self.n, 1.5))).toPandas()
-            grams = dict(zip(kept["key"].tolist(), kept["c"].tolist()))
+            pairs = None
+            for _ in (2, 3):
+                kept = ngram_counts(train, self.numbers, pairs).where(F.col("c") >= F.lit(max(arc_rate * self.n, 1.5))).toPandas()
+                grams |= dict(zip(kept["key"].tolist(), kept["c"].tolist()))
+                pairs = np.sort(kept["key"].to_numpy(dtype=np.int64))
         self.automaton = Automaton({i: (r["c"], self.own(r["c"])) for i, r in enumerate(often)}, grams)
 
     def own(self, c: int) -> float:
