@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import pack, unpack, utf8
+from skein.llm.common import give_back, pack, unpack, utf8
 
 #: Bytes of item text per automaton (an automaton takes up to 500 times its items' bytes).
 SLICE_BYTES = 512 * 1024
@@ -126,6 +126,7 @@ def _scanned(docs: DataFrame, part: list[tuple[str | None, bytes]], width: int)
             dicts = [[dict(zip(("first_word", "end_word", "start", "end"), x)) for x in row] for row in spans]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(dicts, pa.list_(_SPAN)),
                                               pa.array(ids, pa.list_(pa.string()))], ["key", "n_words", "spans", "items"])
+        give_back()
 
     kind = docs.schema["key"].dataType.simpleString()
     return docs.select("key", "text").mapInArrow(run, f"key {kind}, n_words long, spans {HITS}, items array<string>")

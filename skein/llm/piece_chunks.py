@@ -25,8 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.llm.common import give_back
+
 #: Distinct chunks a worker keeps.
-TABLE_CHUNKS = 500_000
+TABLE_CHUNKS = 100_000
 #: Rows that are segmented together and go back to Spark as one batch.
 OUT_ROWS = 500
 MARK = "▁"
@@ -106,6 +108,8 @@ def encode_decode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.string())],
                     ["doc_id", "ids", "decoded"])
+        del table
+        give_back()
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = chosen.schema["doc_id"].dataType.simpleString()

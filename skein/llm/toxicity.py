@@ -32,7 +32,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import held_out, pack, unpack, utf8
+from skein.llm.common import give_back, held_out, pack, unpack, utf8
 from skein.session import write_table
 
 #: Labelled documents that a fit uses at most.
@@ -113,7 +113,7 @@ class Scanner:
 
     def features(self, text: str) -> list[float]:
         words = text.split()
-        if len(self.known) > 500_000:
+        if len(self.known) > 100_000:
             self.known = {}
         known = self.known
         codes = [known.get(w, -1) for w in words]
@@ -156,6 +156,8 @@ def features_column(lexicons: dict[int, dict[str, float]]):
                     scanners[own] = Scanner(lexicons.get(own, lexicons[-1]))
                 out.append(scanners[own].features(value or ""))
             yield pd.Series(out)
+        scanners.clear()
+        give_back()
 
     return features
 
