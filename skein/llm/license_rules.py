@@ -2,7 +2,8 @@
 
 A text is cut into sentences, each is normalised (lower case, punctuation and white space
 folded to single spaces) and looked up among the known licence sentences; what is left of a
-document is the sequence of identifiers with their positions. A listed sentence that the
+document is the sequence of identifiers with their positions. A sentence may be wrapped at
+any word, with comment marks before each line. A listed sentence that the
 splitter cuts (at a semicolon, say) is known by each of its pieces. A rule is an ordered list of
 sentences and matches when the document's sequence holds their pieces in that order (others may
 lie between). Every matching rule is reported, also one that is part of a longer one.
@@ -90,6 +91,8 @@ RULES = [
 #: next line goes on (begins with a small letter, a bracket or quote, or with capitals after capitals).
 SENTENCE_END = (r"(?<=[.:;!?])[ \t\r\n\x0B\f]+|(?<![A-Z,\r\n])[\r\n]+(?![ \t]*[a-z(\"])"
                 r"|(?<=[A-Z,])[\r\n]+(?![ \t]*(?:[a-z(\"]|[A-Z]{2}))")
+#: A line end that may lie inside a sentence, with the comment marks, indentation and blank lines around it.
+GAP = r"[ \t*]*[\r\n][^A-Za-z0-9]{0,200}"
 #: What normalisation folds to one space.
 FOLD = r"[^a-z0-9]+"
 
@@ -105,6 +108,27 @@ def sentence_parts(sentence: str) -> list[str]:
     return [k for k in (sentence_key(p) for p in re.split(SENTENCE_END, sentence)) if k]
 
 
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else "[\"'`‘’“”]" if c == '"' else re.escape(c) for c in word)
+
+
+def wrapping(sentences: dict[str, str] = SENTENCES) -> str:
+    """Pattern of the line ends (``GAP``) between words that are neighbours in a known sentence."""
+    after: dict[str, set[str]] = {}
+    for text in sentences.values():
+        for part in re.split(SENTENCE_END, text):
+            for m in re.finditer(r"(?<![A-Za-z0-9])([A-Za-z0-9]+)(?=([^A-Za-z0-9]+)([A-Za-z0-9]+))", part):
+                # the word and what follows it before a line end
+                after.setdefault((m[1] + m[2].split(" ")[0]).lower(), set()).add(m[3].lower())
+    by_last: dict[str, list[str]] = {}
+    for word, following in sorted(after.items()):
+        by_last.setdefault(word[-1], []).append(
+            rf"(?<=(?<![A-Za-z0-9]){_any_case(word)}){GAP}(?=(?:{'|'.join(map(_any_case, sorted(following)))})(?![A-Za-z0-9]))")
+    pairs = "|".join(f"(?<={_any_case(last)})(?:{'|'.join(group)})" for last, group in by_last.items())
+    # cheap tests first: most places are no line end
+    return rf"(?=[ \t*]*[\r\n])(?<![ \t*\r\n])(?:{pairs or '(?!)'})"
+
+
 def known(sentences: dict[str, str] = SENTENCES) -> dict[str, int]:
     """Normalised piece -> number, from 1, in the order of first appearance."""
     out: dict[str, int] = {}
@@ -134,9 +158,10 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(lowered, FOLD, " "))
 
 
-def sequence_of(text: Column, numbers: dict[str, int]) -> Column:
-    """Array of (number, position, sentence) of a text's known sentences, in order."""
-    sentences = F.split(F.coalesce(text, F.lit("")), SENTENCE_END)
+def sequence_of(text: Column, numbers: dict[str, int], wrapped: str) -> Column:
+    """Array of (number, position, sentence) of a text's known sentences, in order; ``wrapped`` is
+    the pattern of their line ends."""
+    sentences = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), wrapped, " "), SENTENCE_END)
     keys = F.transform(sentences, normalised)
     places = F.transform(keys, lambda k, i: F.struct(k.alias("key"), i.alias("position")))
     hits = F.filter(places, lambda p: p["key"].isin(list(numbers)))
@@ -149,7 +174,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sentences:
     """doc_id, n_known (licence sentences), sequence (their identifiers in order), positions (their
     sentence numbers), rules (matching rules, sorted), licenses (their licences, sorted), licensed."""
     numbers = known(sentences)
-    found = docs.select(F.col(doc_id).alias("doc_id"), sequence_of(F.col(text), numbers).alias("__hits"))
+    found = docs.select(F.col(doc_id).alias("doc_id"), sequence_of(F.col(text), numbers, wrapping(sentences)).alias("__hits"))
     found = found.withColumn("__line", F.concat(F.lit(","), F.array_join(F.transform("__hits", lambda h: h["number"].cast("string")), ",,"), F.lit(",")))
     matches = [F.when(F.col("__line").rlike(".*".join(f",{n}," for n in rule_numbers(ids, sentences))), F.struct(F.lit(rule).alias("rule"), F.lit(lic).alias("license")))
                for rule, lic, ids in sorted(rules)]

@@ -66,3 +66,96 @@ def test_edges_and_plan(spark):
     assert L.scan(empty_docs(spark)).count() == 0
     plan = L.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+#: Headers as their licences print them.
+HEADERS = {
+    "MIT": """MIT License
+
+Copyright (c) 2024 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE.""",
+    "Apache-2.0": """Copyright 2024 Jane Doe
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "GPL-2.0-or-later": """Copyright (C) 2024 Jane Doe
+
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "GPL-3.0-or-later": """Copyright (C) 2024 Jane Doe
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "LGPL-2.1-or-later": """Copyright (C) 2024 Jane Doe
+
+This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.""",
+}
+WHOLE = {"MIT": {"mit-text", "mit-title-short"}, "Apache-2.0": {"apache-2.0-header"}, "GPL-2.0-or-later": {"gpl-2.0-header"},
+         "GPL-3.0-or-later": {"gpl-3.0-header"}, "LGPL-2.1-or-later": {"lgpl-2.1-header"}}
+
+
+def test_wrapped_headers(spark):
+    import textwrap
+    rows = []
+    for lic, text in HEADERS.items():
+        for mark in ("", "# ", "// ", " * "):
+            lines = [(mark + x).rstrip() for x in text.split("\n")]
+            rows += [(lic, "\n".join(lines)), (lic, "\r\n".join(lines)), (lic, "  \n".join(lines))]
+            for width in (24, 47, 71):
+                parts = [textwrap.wrap(p, width, break_on_hyphens=False, break_long_words=False) or [""] for p in text.split("\n\n")]
+                rows.append((lic, "\n".join((mark + x).rstrip() for p in parts for x in [*p, ""])))
+    got = L.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows)
+    wrong = [(r["doc_id"], t) for r, (_, t) in zip(got, rows) if r["licenses"] != r["doc_id"] or not WHOLE[r["doc_id"]] <= set(r["rules"].split(","))]
+    assert not wrong, wrong[:3]
+
+
+def test_titles_and_other_lines_stay_apart(spark):
+    text = "Apache License\nVersion 2.0, January 2004\n\nMIT License\nSome project\nAll rights reserved.\n"
+    row = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row["sequence"] == "apache-2.0-title,mit-title-short,all-rights-reserved"
