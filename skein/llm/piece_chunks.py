@@ -2,13 +2,14 @@
 
 When no piece of a vocabulary holds a whitespace marker after another character, merges never
 cross the point where a word ends and the next run of markers begins. A text is then the
-concatenation of its chunks (a run of markers and the word behind it), each distinct chunk is
-segmented by the library once, and a document's ids are its chunks' ids joined by position.
+concatenation of its chunks (a run of markers and the word behind it), a chunk is segmented by
+the library when a table does not hold it, and a document's ids are its chunks' ids joined by position.
 Decoding goes through the same table. ``checked_model`` verifies the property (and the normaliser
 settings it rests on) for the model at hand and refuses others.
 
-The table of distinct chunks belongs to a worker and is carried over its batches; at
-``TABLE_CHUNKS`` entries it starts anew, so memory is bounded. Rows stay where they are: no
+The table of distinct chunks belongs to a task and is carried over its batches; above
+``TABLE_CHUNKS`` entries it starts anew, so memory is bounded, and a chunk is segmented once a
+task and again after each restart. Rows stay where they are: no
 shuffle, and a lost task is recomputed from its input alone.
 
 Null and empty texts encode to the begin and end ids and decode to an empty text. A literal
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import give_back
 
-#: Distinct chunks a worker keeps.
+#: Distinct chunks a task keeps.
 TABLE_CHUNKS = 100_000
 #: Rows that are segmented together and go back to Spark as one batch.
 OUT_ROWS = 500
