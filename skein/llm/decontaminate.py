@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.common import give_back, pack, unpack, utf8
+from skein.session import write_table
 
 #: Bytes of item text per automaton (an automaton takes up to 500 times its items' bytes).
 SLICE_BYTES = 512 * 1024
@@ -94,15 +95,18 @@ def byte_spans(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, in
     return [(int(starts[a]), int(ends[b - 1])) for a, b in ranges]
 
 
-def _slices(items: DataFrame, item_id: str, text: str, slice_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The items in parts of about ``slice_bytes``, one in the driver's memory at a time."""
+def _slices(items: DataFrame, item_id: str, text: str, slice_bytes: int) -> tuple[int, Iterator[list[tuple[str | None, bytes]]]]:
+    """Number of parts of about ``slice_bytes``, and the parts, one in the driver's memory at a time."""
     chosen = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).distinct()
     total = chosen.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = max(1, -(-int(total) // slice_bytes))
     part = F.pmod(F.xxhash64("id", "t"), F.lit(n))
-    for i in range(n):
-        rows = chosen.where(part == i).collect()  # about slice_bytes by the count above
-        yield sorted(((r["id"], r["t"].encode()) for r in rows), key=lambda x: (x[0] is not None, x))
+
+    def rows(i: int) -> list[tuple[str | None, bytes]]:
+        got = chosen.where(part == i).collect()  # about slice_bytes by the count above
+        return sorted(((r["id"], r["t"].encode()) for r in got), key=lambda x: (x[0] is not None, x))
+
+    return n, (rows(i) for i in range(n))
 
 
 HITS = "array<struct<first_word:long,end_word:long,start:long,end:long>>"
@@ -151,16 +155,18 @@ def matches(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     """doc_id, n_words, n_hit, n_items, items (ids with an occurring window, sorted), items_sha256, spans
     (word and byte ranges that are hit) and contaminated for every row of ``docs``.
 
-    Items of one slice need no shuffle. With more slices each scans the documents in turn, and
+    Items of one slice need no shuffle. With more slices each is read, scans the documents and is
+    let go before the next; the number of scans grows with the items (one for each slice), and
     what they hit (rows with hits only) meets by row content.
     """
-    parts = list(_slices(items, item_id, item_text, slice_bytes))
+    n_parts, parts = _slices(items, item_id, item_text, slice_bytes)
     keyed = docs.select(F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h")).alias("key"), F.col(text).alias("text"))
-    found = _scanned(keyed, parts[0], width)
-    if len(parts) > 1:
+    found = _scanned(keyed, next(parts) if n_parts == 1 else [], width)  # several slices: no items, for n_words
+    if n_parts > 1:
         hits = None
         for part in parts:
             one = _scanned(keyed, part, width).where(F.size("spans") > 0).dropDuplicates(["key"]).select("key", "spans", "items")
+            one = write_table(one, "hits")  # its slice is not needed any more
             hits = one if hits is None else hits.union(one)
         # per document at most its own words and the items that occur in it
         both = hits.groupBy("key").agg(merged(F.flatten(F.collect_list("spans"))).alias("spans"),

@@ -62,3 +62,23 @@ def test_no_items(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     got = D.matches(edge_docs(spark), none).select(COLUMNS).collect()
     assert len(got) == 13 and not any(r["contaminated"] or r["n_hit"] for r in got)
+
+
+def test_a_slice_is_scanned_before_the_next_is_read(spark, sf_dir, monkeypatch):
+    from skein.llm import decontaminate
+    from skein.sources.tables import read_table
+    docs, items = read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    events, slices, write = [], decontaminate._slices, decontaminate.write_table
+
+    def read(*args):
+        n, parts = slices(*args)
+        return n, (events.append("read") or p for p in parts)
+
+    monkeypatch.setattr(decontaminate, "_slices", read)
+    monkeypatch.setattr(decontaminate, "write_table", lambda df, name: events.append("scan") or write(df, name))
+    whole = decontaminate.matches(docs, items).drop("spans")
+    assert events == ["read"]
+    size = items.selectExpr("sum(octet_length(text) + 16)").first()[0]
+    cut = decontaminate.matches(docs, items, slice_bytes=size // 3 + 1).drop("spans")
+    assert events[1:] == ["read", "scan"] * 3
+    assert sorted(cut.collect(), key=str) == sorted(whole.collect(), key=str)
