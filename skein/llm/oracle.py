@@ -33,4 +33,21 @@ SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op5_warc_bundles": _OP5, "op8_aho_corasick": _OP8}
+_OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+                  sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS c2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+p AS (SELECT *, array_to_string(list_slice(u, 1, least(c1, c2)), '') AS prefix,
+             array_to_string(list_slice(u, least(c1, c2) + 1, greatest(c1, c2)), '') AS middle, array_to_string(list_slice(u, greatest(c1, c2) + 1, n), '') AS suffix,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                  WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM x)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+ORACLE: dict[str, str] = {"op5_warc_bundles": _OP5, "op8_aho_corasick": _OP8, "op13_counted_fill": _OP13}

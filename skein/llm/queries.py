@@ -94,3 +94,24 @@ def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from skein.llm.license_rules import scan
     return scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_polarisation_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.whitening import whiten
+    return whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=32)
+
+
+@query
+def op12_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from skein.llm.swap_packing import pack
+    packed = pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), max_tokens=4096, end_id=1)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op13_counted_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from skein.llm.fill_in_middle import digests
+    return digests(read_table(spark, sf_dir, "documents", "doc_id", "text"), seed=42, rate=50, spm_rate=80)
