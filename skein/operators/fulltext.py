@@ -8,7 +8,7 @@ The index is a set of plain tables:
 * ``corpus_stats(kind, n_items, avgdl)`` – one row per kind.
 
 A query is a table of prompts. Non-final prompt terms match exactly; the
-final term is fuzzy (edit distance <= 2, weight ``1 - d / min(len)``, at most
+final term is fuzzy (edit distance <= 2 with swaps of neighbours as one edit, weight ``1 - d / min(len)``, at most
 50 expansions). Scores are BM25 (k1 = 1.2, b = 0.75), summed per item and
 rounded to 9 places before any ranking or cut.
 """
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms
+from skein.operators import topk
 from skein.session import cut_lineage, write_table
 
 # Fixed values of the scoring model.
@@ -73,6 +74,21 @@ class FullTextIndex:
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
+    levels: DataFrame | None = None  # stored by ``save``; otherwise counted for a batch's terms
+
+    def weighted(self) -> DataFrame:
+        """(kind, term, item_id, w, level): the part of a term's BM25 weight that depends on the item."""
+        norm = F.col("tf") / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl")))
+        rows = self.postings.join(F.broadcast(self.corpus.select("kind", "avgdl")), "kind")  # 1 row per kind
+        return rows.select("kind", "term", "item_id", norm.alias("w"), topk.level_of(norm).alias("level"))
+
+    def levels_of(self, query: DataFrame) -> DataFrame:
+        """(kind, term, level, n, ub) of a batch's terms: from the stored table, or counted here
+        (the postings of these terms meet a partial aggregate and never an exchange)."""
+        if self.levels is not None:
+            return self.levels
+        asked = query.select("kind", "term").distinct()
+        return topk.levels_table(self.weighted().join(asked, ["kind", "term"], "left_semi"), ["kind", "term"])
 
     @classmethod
     def build(cls, nodes: DataFrame, edges: DataFrame, materialize: bool = True) -> "FullTextIndex":
@@ -85,8 +101,11 @@ class FullTextIndex:
         # Parquet sorted by term inside each file: the runtime filter of a batch's
         # terms skips row groups by their min/max term.
         post = write_table(post.sortWithinPartitions("kind", "term"), "postings")
-        vocab = write_table(term_stats(post).sortWithinPartitions("kind", "term"), "vocab")
-        return cls(post, vocab, cut_lineage(corpus_stats(post)))
+        index = cls(post, None, cut_lineage(corpus_stats(post)))
+        # one pass counts the levels, and the vocabulary is their sum
+        index.levels = write_table(topk.levels_table(index.weighted(), ["kind", "term"]), "levels")
+        index.terms = write_table(index.levels.groupBy("kind", "term").agg(F.sum("n").alias("df")).sortWithinPartitions("kind", "term"), "vocab")
+        return index
 
     def save(self, path: str) -> None:
         """Persist the index as parquet tables, partitioned by kind and sorted
@@ -96,12 +115,15 @@ class FullTextIndex:
         self.terms.sortWithinPartitions("kind", "term").write.mode("overwrite").partitionBy("kind") \
             .parquet(f"{path}/terms")
         self.corpus.write.mode("overwrite").parquet(f"{path}/corpus")
+        topk.levels_table(self.weighted(), ["kind", "term"]).sortWithinPartitions("kind", "term") \
+            .write.mode("overwrite").partitionBy("kind").parquet(f"{path}/levels")
 
     @classmethod
     def load(cls, spark, path: str) -> "FullTextIndex":
         return cls(spark.read.parquet(f"{path}/postings"),
                    spark.read.parquet(f"{path}/terms"),
-                   spark.read.parquet(f"{path}/corpus"))
+                   spark.read.parquet(f"{path}/corpus"),
+                   spark.read.parquet(f"{path}/levels"))
 
 
 # ------------------------------------------------------------ B2 query terms
@@ -116,47 +138,83 @@ def query_terms(prompts: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------- B3 fuzzy expand
 
-def _cuts(length: str, part: str, parts: str) -> str:
-    """SQL: 0-based start of the ``part``-th of ``parts`` even pieces of a word."""
-    return f"cast(floor({part} * {length} / ({parts})) as int)"
+def _cut(part: str) -> str:
+    """SQL: 0-based start of the ``part``-th even piece of a word of ``m`` characters.
+
+    A distance below the shorter length is needed, so at most ``min(2, m - 1)`` edits
+    count and the word has one piece more than that."""
+    return f"cast(floor({part} * m / (least({MAX_EDITS}, m - 1) + 1)) as int)"
+
+
+#: Pieces of an index term: (its length, piece number, piece), at most three.
+_TERM_PIECES = f"""
+    transform(sequence(0, least({MAX_EDITS}, m - 1)),
+              p -> concat_ws('/', m, p, substr(term, {_cut('p')} + 1, {_cut('(p + 1)')} - {_cut('p')})))"""
+
+#: Where a piece of an index term can show in a query term of length n, for every term length
+#: m within the bound. Of k + 1 pieces with k edits there is a whole one, number p, with at most
+#: p edits before and k - p behind it, so it is moved by s with |s| <= p and |n - m - s| <= k - p.
+_PLACES = f"""
+    flatten(transform(sequence(greatest(n - {MAX_EDITS}, 1), n + {MAX_EDITS}), m ->
+        flatten(transform(sequence(0, least({MAX_EDITS}, m - 1)), p ->
+            filter(transform(filter(sequence(-p, p), s -> abs(n - m - s) <= least({MAX_EDITS}, m - 1) - p),
+                             s -> named_struct('m', m, 'p', p, 'at', {_cut('p')} + s, 'len', {_cut('(p + 1)')} - {_cut('p')})),
+                   x -> x.at >= 0 AND x.at + x.len <= n)))))"""
+
+#: The query term's characters there: as they are, or with the first, the last or both
+#: taken from beyond the piece, which undoes a swap across the piece's ends.
+_QUERY_PIECES = f"""
+    array_distinct(flatten(transform({_PLACES}, x -> transform(
+        filter(array(substr(term, x.at + 1, x.len),
+                     if(x.at >= 1, concat(substr(term, x.at, 1), substr(term, x.at + 2, x.len - 1)), null),
+                     if(x.at + x.len < n, concat(substr(term, x.at + 1, x.len - 1), substr(term, x.at + x.len + 1, 1)), null),
+                     if(x.at >= 1 AND x.at + x.len < n AND x.len >= 2,
+                        concat(substr(term, x.at, 1), substr(term, x.at + 2, x.len - 2), substr(term, x.at + x.len + 1, 1)), null)),
+               y -> y is not null),
+        y -> concat_ws('/', x.m, x.p, y)))))"""
 
 
-def _piece_keys(vocabulary_side: bool) -> F.Column:
-    """Keys on which two terms within the edit bound must meet.
+def _candidates(query: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(query_term, term): an equi-join on pieces of the index terms.
+
+    Two edits leave one of a term's three pieces whole, moved by at most two places; a swap
+    across a piece's end leaves the piece as one of the query side's widened keys. An index
+    term has at most three keys; the many places where a piece can lie are generated from the
+    distinct query terms, the small side, which Spark broadcasts when a batch allows it."""
+    q = query.select("query_term", F.col("query_term").alias("term"), F.length("query_term").alias("n"))
+    q = q.select("query_term", F.explode(F.expr(_QUERY_PIECES)).alias("key"))
+    v = vocab.select("term").distinct().withColumn("m", F.length("term"))
+    v = v.select("term", F.explode(F.expr(_TERM_PIECES)).alias("key"))
+    return v.join(q, "key").select("query_term", "term").distinct()
 
-    A query term of length n is cut into k + 1 even pieces, k = min(2, n - 1)
-    the edits that can count (a distance below the shorter length is needed).
-    k edits leave at least one piece whole, moved by at most k places. A key is
-    (query length, piece number, piece). The query side gives its k + 1 pieces,
-    the vocabulary side, for every query length within k of its own, its
-    substrings at the places where such a piece can lie: some 75 keys at most,
-    whatever the length of the term.
-    """
-    if vocabulary_side:
-        lengths, shifts = "sequence(greatest(length(term) - 2, 1), length(term) + 2)", "sequence(-2, 2)"
-    else:
-        lengths, shifts = "array(length(term))", "array(0)"
-    start = _cuts("n", "p", "least(2, n - 1) + 1")
-    end = _cuts("n", "(p + 1)", "least(2, n - 1) + 1")
-    return F.expr(f"""
-        array_distinct(flatten(transform({lengths}, n ->
-            flatten(transform(sequence(0, least(2, n - 1)), p ->
-                filter(transform({shifts}, s -> named_struct('n', n, 'p', p, 'at', {start} + s, 'piece', substr(term, {start} + s + 1, {end} - {start}))),
-                       x -> x.at >= 0 AND x.at + {end} - {start} <= length(term)))))))""")
 
+def _one_swap(a: str, b: str) -> str:
+    """SQL: ``b`` is ``a`` with two neighbours swapped."""
+    return f"""(length({a}) = length({b}) AND {a} <> {b} AND exists(sequence(1, greatest(length({a}) - 1, 1)),
+        j -> {b} = concat(substr({a}, 1, j - 1), substr({a}, j + 1, 1), substr({a}, j, 1), substr({a}, j + 2))))"""
 
-def _candidates(query: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(query_term, term): an equi-join on piece keys; work grows with the
-    vocabulary and the distinct query terms, not with their product. Only the
-    query side is made distinct, so a small batch is broadcast by Spark and the
-    vocabulary's keys are probed as they are generated."""
-    def keyed(df: DataFrame, vocabulary_side: bool) -> DataFrame:
-        ex = df.select("term", F.explode(_piece_keys(vocabulary_side)).alias("k"))
-        return ex.select("term", F.concat_ws("/", "k.n", "k.p", "k.piece").alias("key"))
-
-    q = keyed(query.select(F.col("query_term").alias("term")), False).withColumnRenamed("term", "query_term").distinct()
-    v = keyed(vocab.select("term").distinct(), True)
-    return v.join(q, "key").select("query_term", "term").distinct()
+
+def edit_distance(a: str, b: str) -> F.Column:
+    """Optimal string alignment distance of two string columns: insertions, deletions,
+    substitutions and swaps of neighbours count 1 and no part is edited twice. Exact up to
+    ``MAX_EDITS`` (2); a greater distance gives 3.
+
+    The plain distance (built in, banded) decides first: 0 and 1 are final, and above 4 two
+    swaps can't do it. In between, a swap at i splits ``a`` in two: the pair must stand in ``b``
+    behind the same beginning or before the same end, and the other side may have one edit."""
+    head, pair, tail = f"substr({a}, 1, i - 1)", f"concat(substr({a}, i + 1, 1), substr({a}, i, 1))", f"substr({a}, i + 2)"
+    rest, front = f"substr({b}, i + 2)", f"substr({b}, 1, greatest(length({b}) - length({a}) + i - 1, 0))"
+
+    def near(x: str, y: str) -> str:
+        return f"(levenshtein({x}, {y}, 1) >= 0 OR {_one_swap(x, y)})"
+
+    swapped = f"""exists(sequence(1, greatest(length({a}) - 1, 1)), i ->
+        (startswith({b}, concat({head}, {pair})) AND {near(tail, rest)}) OR (endswith({b}, concat({pair}, {tail})) AND {near(head, front)}))"""
+    # the plain distance is an argument of a lambda, so it is computed once a pair
+    return F.expr(f"""
+        get(transform(array(levenshtein({a}, {b}, {2 * MAX_EDITS})), d ->
+            CASE WHEN d < 0 THEN 3 WHEN d < 2 THEN d WHEN d = 2 THEN if({_one_swap(a, b)}, 1, 2)
+                 WHEN length({a}) >= 2 AND {swapped} THEN 2 ELSE 3 END), 0)""")
 
 
 def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
@@ -170,8 +228,8 @@ def fuzzy_expand(qterms: DataFrame, vocab: DataFrame,
     fz = qterms.where("is_fuzzy").select("prompt_id", "pos", F.col("term").alias("query_term"))
     cand = _candidates(fz.select("query_term").distinct(), vocab)
     minlen = F.least(F.length("term"), F.length("query_term"))
-    near = (cand.withColumn("distance", F.levenshtein("term", "query_term", MAX_EDITS))
-                .where((F.col("distance") >= 0) & (F.col("distance") < minlen))
+    near = (cand.withColumn("distance", edit_distance("term", "query_term"))
+                .where(F.col("distance") < F.least(minlen, F.lit(MAX_EDITS + 1)))
                 .withColumn("weight", F.lit(1.0) - F.col("distance") / minlen))
     scored = near.join(vocab.select("kind", "term"), "term")
     w = Window.partitionBy("kind", "query_term").orderBy(F.desc("weight"), F.asc("term"))
@@ -190,22 +248,32 @@ def expanded_terms(qterms: DataFrame, vocab: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ B4 / B5 search
 
-def search(expanded: DataFrame, index: FullTextIndex) -> DataFrame:
-    """(prompt_id, kind, item_id, score) – BM25 summed over matched terms."""
-    q = expanded.join(index.terms, ["kind", "term"])
-    hits = q.join(index.postings, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")  # corpus: 1 row per kind
+def weigh_query(expanded: DataFrame, index: FullTextIndex) -> DataFrame:
+    """(prompt_id, kind, term, wq): each prompt's distinct terms with the part of their BM25 weight
+    that does not depend on the item (a term at several places counts as often)."""
+    q = expanded.groupBy("prompt_id", "kind", "term").agg(F.sum("weight").alias("weight"))
+    q = q.join(index.terms, ["kind", "term"]).join(F.broadcast(index.corpus), "kind")  # corpus: 1 row per kind
     idf = F.log(F.lit(1.0) + (F.col("n_items") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") / (F.col("tf") + BM25_K1 * (1 - BM25_B + BM25_B * F.col("dl") / F.col("avgdl")))
+    return q.select("prompt_id", "kind", "term", (F.col("weight") * idf).alias("wq"))
+
+
+def search(expanded: DataFrame, index: FullTextIndex) -> DataFrame:
+    """(prompt_id, kind, item_id, score) – BM25 summed over matched terms, for every hit."""
+    hits = weigh_query(expanded, index).join(index.weighted(), ["kind", "term"])
     return (hits.groupBy("prompt_id", "kind", "item_id")
-                .agg(F.sum(F.col("weight") * idf * norm).alias("raw"))
-                .select("prompt_id", "kind", "item_id",
-                        F.round("raw", SCORE_DIGITS).alias("score")))
+                .agg(F.round(F.sum(F.col("wq") * F.col("w")), SCORE_DIGITS).alias("score")))
+
+
+def best_hits(expanded: DataFrame, index: FullTextIndex, k: int = TOP_HITS, **options) -> topk.TopK:
+    """The k best hits per (prompt, kind), without scoring all: see ``operators.topk``."""
+    query = cut_lineage(weigh_query(expanded, index))
+    return topk.run(query, index.weighted(), index.levels_of(query), k, ["prompt_id", "kind"], ["kind", "term"], "item_id", SCORE_DIGITS, **options)
 
 
 # ---------------------------------------------------- B6-B9 top, stats, cut
 
 def top_hits(hits: DataFrame, k: int = TOP_HITS) -> DataFrame:
-    """Best k per (prompt, kind) by score desc, item id asc (WindowGroupLimit)."""
+    """Best k per (prompt, kind) of scored hits by score desc, item id asc (WindowGroupLimit)."""
     w = Window.partitionBy("prompt_id", "kind").orderBy(F.desc("score"), F.asc("item_id"))
     return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -229,5 +297,5 @@ def cluster_cut(stats: DataFrame) -> DataFrame:
 def kept_hits(prompts: DataFrame, index: FullTextIndex, top_k: int = TOP_HITS,
               std_multiplier: float = 1.0) -> DataFrame:
     """Prompts to cut hits of both kinds: B2 -> B3 -> B4/B5 -> B6 -> B7 -> B8 -> B9."""
-    exp = cut_lineage(expanded_terms(query_terms(prompts), index.terms))  # small: read twice
-    return cluster_cut(score_stats(top_hits(search(exp, index), top_k), std_multiplier))
+    exp = expanded_terms(query_terms(prompts), index.terms)
+    return cluster_cut(score_stats(best_hits(exp, index, top_k).hits, std_multiplier))

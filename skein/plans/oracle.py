@@ -40,16 +40,18 @@ def build(final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in used) + "\n" + final
 
 
-# Character-level Levenshtein distance (DuckDB's built-in counts bytes).
-def lev(a: str, b: str) -> str:
+# Optimal string alignment distance by characters: rows of the table, two of them carried.
+def osa(a: str, b: str) -> str:
     return f"""list_reduce(
   range(1, length({a}) + 1),
-  lambda prev, i: list_reduce(
+  lambda st, i: [st[2], list_reduce(
       range(1, length({b}) + 1),
-      lambda acc, j: list_append(acc, least(prev[j + 1] + 1, acc[-1] + 1,
-                      prev[j] + CASE WHEN substr({a}, i, 1) = substr({b}, j, 1) THEN 0 ELSE 1 END)),
-      [i]),
-  range(0, length({b}) + 1))[-1]"""
+      lambda acc, j: list_append(acc, least(st[2][j + 1] + 1, acc[-1] + 1,
+                      st[2][j] + CASE WHEN substr({a}, i, 1) = substr({b}, j, 1) THEN 0 ELSE 1 END,
+                      CASE WHEN i > 1 AND j > 1 AND substr({a}, i, 1) = substr({b}, j - 1, 1) AND substr({a}, i - 1, 1) = substr({b}, j, 1)
+                           THEN st[1][j - 1] + 1 ELSE 1000000 END)),
+      [i])],
+  [range(0, length({b}) + 1), range(0, length({b}) + 1)])[2][-1]"""
 
 
 TERMS_RE = r"'[\p{L}\p{N}]+'"
@@ -112,10 +114,11 @@ cte("qterms", f"""
 SELECT prompt_id, CAST(i - 1 AS INTEGER) AS pos, t[i] AS term, i = len(t) AS is_fuzzy
 FROM (SELECT prompt_id, t, unnest(generate_series(1, len(t))) AS i
       FROM (SELECT prompt_id, regexp_extract_all(lower(prompt), {TERMS_RE}) AS t FROM prompts))""")
+# Unrestricted Damerau-Levenshtein (built in, counts bytes) is never above the wanted distance.
 cte("fz_cand", f"""
 SELECT q.prompt_id, v.kind, q.pos, q.term AS query_term, v.term,
-       CASE WHEN strlen(v.term) = length(v.term) AND strlen(q.term) = length(q.term)
-            THEN levenshtein(v.term, q.term) ELSE {lev('v.term', 'q.term')} END AS distance
+       CASE WHEN strlen(v.term) = length(v.term) AND strlen(q.term) = length(q.term) AND damerau_levenshtein(v.term, q.term) > 2
+            THEN 9 ELSE {osa('v.term', 'q.term')} END AS distance
 FROM qterms q JOIN vocab v ON abs(length(v.term) - length(q.term)) <= 2
 WHERE q.is_fuzzy""")
 cte("fuzzy", """

@@ -83,10 +83,17 @@ def q_ft_fuzzy_expand(spark, sf_dir):
                      F.col("distance").cast("int").alias("distance"), r6("weight").alias("weight"))
 
 
-def _hits(spark, sf_dir):
+def _expanded(spark, sf_dir):
     _, _, index = _index(spark, sf_dir)
-    exp = cut_lineage(ft.expanded_terms(ft.query_terms(fx.prompts(spark, sf_dir)), index.terms))  # read twice
-    return ft.search(exp, index)
+    return ft.expanded_terms(ft.query_terms(fx.prompts(spark, sf_dir)), index.terms), index
+
+
+def _hits(spark, sf_dir):
+    return ft.search(*_expanded(spark, sf_dir))
+
+
+def _top40(spark, sf_dir):
+    return ft.best_hits(*_expanded(spark, sf_dir)).hits
 
 
 @register("ft_search_nodes")
@@ -103,14 +110,14 @@ def q_ft_search_edges(spark, sf_dir):
 
 @register("ft_top40")
 def q_ft_top40(spark, sf_dir):
-    t = ft.top_hits(_hits(spark, sf_dir))
+    t = _top40(spark, sf_dir)
     return t.select("prompt_id", "kind", "item_id", "score",
                     F.col("rank").cast("int").alias("rank"))
 
 
 @register("score_stats")
 def q_score_stats(spark, sf_dir):
-    s = ft.score_stats(ft.top_hits(_hits(spark, sf_dir)))
+    s = ft.score_stats(_top40(spark, sf_dir))
     return (s.groupBy("prompt_id", "kind")
              .agg(F.count(F.lit(1)).alias("n_top"),
                   F.first("max_score").alias("max_score"),
@@ -120,14 +127,14 @@ def q_score_stats(spark, sf_dir):
 
 @register("score_cluster_cut")
 def q_score_cluster_cut(spark, sf_dir):
-    k = ft.cluster_cut(ft.score_stats(ft.top_hits(_hits(spark, sf_dir))))
+    k = ft.cluster_cut(ft.score_stats(_top40(spark, sf_dir)))
     return k.select("prompt_id", "kind", "item_id", "score",
                     "threshold")
 
 
 @register("relative_score")
 def q_relative_score(spark, sf_dir):
-    k = ft.cluster_cut(ft.score_stats(ft.top_hits(_hits(spark, sf_dir))))
+    k = ft.cluster_cut(ft.score_stats(_top40(spark, sf_dir)))
     return k.select("prompt_id", "kind", "item_id", r6("relative_score").alias("relative_score"),
                     "max_score", "threshold")
 

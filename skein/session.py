@@ -8,6 +8,9 @@ lineage-cut helper that uses the cluster's shared checkpoint folder.
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -87,20 +90,33 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: the lineage is cut, and the scan has real file sizes for the
     optimizer and pushes filters into parquet."""
-    import uuid
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.setdefault(id(df.sparkSession.sparkContext), []).append(path)
+    track(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)
 
 
+#: Folders written by each session, in the order of writing.
 _WRITTEN: dict = {}
 
 
-def drop_written_tables(spark: SparkSession) -> int:
-    """Delete the tables this session wrote with ``write_table`` (call it once
-    the DataFrames that read them are no longer needed). Returns the count."""
-    paths = _WRITTEN.pop(id(spark.sparkContext), [])
+def track(spark: SparkSession, path: str) -> None:
+    """Count a folder that the caller wrote among those that ``drop_written_tables`` removes."""
+    _WRITTEN.setdefault(id(spark.sparkContext), []).append(path)
+
+
+def drop_written_tables(spark: SparkSession, *tables: DataFrame | str) -> int:
+    """Delete written tables and return their count: those given by path, those that a given
+    DataFrame reads, or, without any, all that this session wrote. Tables that are not named
+    stay, so what other DataFrames read is safe."""
+    written = _WRITTEN.get(id(spark.sparkContext), [])
+    if tables:
+        read = [f.split(":", 1)[-1].replace("///", "/") for t in tables if isinstance(t, DataFrame) for f in t.inputFiles()]
+        named = {t.rstrip("/") for t in tables if isinstance(t, str)}
+        paths = [p for p in written if p in named or any(f"{p.split(':', 1)[-1].replace('///', '/')}/" in f for f in read)]
+    else:
+        paths = list(written)
+    _WRITTEN[id(spark.sparkContext)] = [p for p in written if p not in paths]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
@@ -109,7 +125,21 @@ def drop_written_tables(spark: SparkSession) -> int:
     return len(paths)
 
 
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside the ``with`` block are deleted at its end; the results must be
+    written out or collected by then."""
+    before = len(_WRITTEN.get(id(spark.sparkContext), []))
+    try:
+        yield
+    finally:
+        own = _WRITTEN.get(id(spark.sparkContext), [])[before:]
+        if own:
+            drop_written_tables(spark, *own)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder and read again: later steps don't recompute ``df`` and it
+    survives lost executors. An eager ``checkpoint()`` would compute its input twice, once to
+    count it and once to write it."""
+    return write_table(df, "cut")

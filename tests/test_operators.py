@@ -67,20 +67,32 @@ def test_fuzzy_weights(spark):
                                   "kind string, term string, df long")
     q = spark.createDataFrame([(1, 0, "cat", True)], "prompt_id int, pos int, term string, is_fuzzy boolean")
     band = {(r.term, r.distance, round(r.weight, 6)) for r in ft.fuzzy_expand(q, vocab).collect()}
-    # weight = 1 - d / min(len); 'at' (d=1, min len 2) -> 0.5; 'cta' is a transposition: d=2 -> 1/3
+    # weight = 1 - d / min(len); 'at' (d=1, min len 2) -> 0.5; 'cta' is a swap of neighbours: d=1 -> 2/3
     assert ("cat", 0, 1.0) in band and ("cart", 1, round(1 - 1 / 3, 6)) in band
-    assert ("at", 1, 0.5) in band and ("cta", 2, round(1 - 2 / 3, 6)) in band
+    assert ("at", 1, 0.5) in band and ("cta", 1, round(1 - 1 / 3, 6)) in band
     assert not any(t == "dog" or t == "catalog" for t, _, _ in band)
 
 
 def _edits(a: str, b: str) -> int:
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
+    """Optimal string alignment distance, by its table."""
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i in range(len(a)):
+        for j in range(len(b)):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i] != b[j]))
+            if i and j and a[i] == b[j - 1] and a[i - 1] == b[j]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
+
+
+def test_edit_distance_with_swaps(spark):
+    import random
+    rnd = random.Random(9)
+    words = sorted({"".join(rnd.choice("abcé") for _ in range(rnd.randint(0, 7))) for _ in range(260)})
+    pairs = [(a, b) for a in words for b in words[::4]] + [("ab", "ba"), ("ca", "abc"), ("abcd", "badc"), ("x" * 40 + "ab", "x" * 40 + "ba")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select("a", "b", ft.edit_distance("a", "b").alias("d")).collect()
+    assert [(r.a, r.b, r.d) for r in got] == [(a, b, min(3, _edits(a, b))) for a, b in pairs]
+    assert [r.d for r in got[-4:]] == [1, 3, 2, 1]
 
 
 def test_fuzzy_candidates_lose_no_term(spark):
@@ -364,16 +376,23 @@ def test_collection_create_insert_and_length_rule(spark, tmp_path):
 
 
 def test_written_tables_can_be_dropped(spark):
+    """Only the named tables go; a table that another frame reads stays."""
     import os
 
-    from skein.session import _WRITTEN, drop_written_tables, write_table
+    from skein.session import _WRITTEN, drop_written_tables, table_scope, write_table
     before = len(_WRITTEN.get(id(spark.sparkContext), []))
-    t = write_table(spark.range(5), "tmp")
-    assert t.count() == 5
-    paths = list(_WRITTEN[id(spark.sparkContext)])
-    assert len(paths) == before + 1
-    assert drop_written_tables(spark) == before + 1
-    assert not any(os.path.exists(p) for p in paths)
+    live = write_table(spark.range(7), "live")
+    one, two = write_table(spark.range(5), "one"), write_table(spark.range(6), "two")
+    path_one, path_two = list(_WRITTEN[id(spark.sparkContext)])[-2:]
+    assert drop_written_tables(spark, one.where("id > 2"), path_two) == 2
+    assert not os.path.exists(path_one) and not os.path.exists(path_two)
+    assert live.count() == 7 and len(_WRITTEN[id(spark.sparkContext)]) == before + 1
+    with table_scope(spark):
+        inner = write_table(spark.range(3), "inner")
+        path = _WRITTEN[id(spark.sparkContext)][-1]
+        assert inner.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path) and live.count() == 7
+    assert drop_written_tables(spark, live) == 1
 
 
 def test_row_index_is_global_and_grouped(spark):
