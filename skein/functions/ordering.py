@@ -19,22 +19,43 @@ MAX_OFFSETS = 200_000  # offset rows that are broadcast
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
 
+#: Common beginnings are looked at this many times as far.
+LONGER = 16
+
+
+def _range_by_beginnings(df: DataFrame, n: int, groups: list, key: str, chars: int) -> DataFrame:
+    """Range partitions by the beginnings of ``key``, the longer ones where many rows share one."""
+    short = F.substring(key, 1, chars)
+    counts = cut_lineage(df.groupBy(short.alias("_begin")).agg(F.count(F.lit(1)).alias("_n")))
+    common = counts.where(F.col("_n") * 4 * n > (counts.agg(F.sum("_n")).first()[0] or 0))  # fewer than 4 n rows
+    marked = df.withColumn("_begin", short).join(F.broadcast(common.select("_begin", F.lit(True).alias("_common"))), "_begin", "left")
+    begin = F.when(F.col("_common"), F.substring(key, 1, LONGER * chars)).otherwise(F.col("_begin"))
+    return marked.withColumn("_begin", begin).repartitionByRange(n, *groups, "_begin").drop("_begin", "_common")
+
+
 def with_row_index(df: DataFrame, order_by: list, name: str = "row_idx",
                    group_by: list | None = None,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None,
+                   boundary_chars: int | None = None) -> DataFrame:
     """Add ``name``: 0-based position of the row in ``order_by`` order,
     restarting per ``group_by`` (meant for few groups: classes, sources).
 
     ``order_by`` must make the order total (end it with a unique key), so the
     result does not depend on partitioning and is recomputed identically after
     an executor loss.
+
+    Spark samples range keys on the driver. For long string keys ``boundary_chars`` bounds what
+    is sampled: boundaries are found on the first key's beginning alone, rows with an equal
+    beginning share a partition, and the full keys order the rows inside it. (Beginnings are
+    ordered as the keys are, so partitions stay in order; no tie lies across a boundary. Beginnings
+    that a large part of a group shares are counted first and looked at ``LONGER`` times as far.)
     """
     spark = df.sparkSession
     groups = list(group_by or [])
     keys = groups + list(order_by)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(n, *keys) if boundary_chars is None else _range_by_beginnings(df, n, groups, order_by[0], boundary_chars)
+    ranged = (ranged.sortWithinPartitions(*keys)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
                 .withColumn("_local", F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.ordering import with_row_index
@@ -29,6 +29,9 @@ NODES_HEADING = "*** Nodes:"
 RELATIONS_HEADING = "*** Relationships"
 ITEM_RULE = "-----"
 
+# Characters of a line that range boundaries look at.
+BOUNDARY_CHARS = 128
+
 _PROPS = ("name", "labeled", "description", "metadata")
 
 
@@ -88,15 +91,14 @@ def edge_endpoint_set(edge_hits: DataFrame, edges: DataFrame) -> DataFrame:
                     F.explode(F.array_distinct(F.array("src_id", "dst_id"))).alias("endpoint_id"))
 
 
-def neighbors_optional(endpoints: DataFrame, adj: DataFrame, nodes: DataFrame,
-                       excluded: tuple = EXCLUDED_LABELS) -> DataFrame:
-    """Optional expansion of every endpoint; ids only.
+def neighborhoods(endpoints: DataFrame, adj: DataFrame, nodes: DataFrame,
+                  excluded: tuple = EXCLUDED_LABELS) -> DataFrame:
+    """(prompt_id, endpoint_id, nb_edge_id, neighbor_id): the allowed neighbours of each endpoint,
+    once per prompt however many hits touch it (a hub's neighbourhood is not repeated per hit).
 
-    Neither endpoint nor neighbour may carry an excluded label (a missing label
-    fails the test), and the neighbour must not be an endpoint of the hit.
-    Endpoints are joined with the adjacency first and labels are looked up for
-    what that leaves, so the whole adjacency never meets the node table.
-    Endpoints without an allowed match stay with NULL neighbour columns.
+    Neither endpoint nor neighbour may carry an excluded label (a missing label fails the test).
+    Endpoints are joined with the adjacency first and labels are looked up for what that leaves,
+    so the whole adjacency never meets the node table.
     """
     def allowed(c):
         cond = c.isNotNull()
@@ -105,14 +107,52 @@ def neighbors_optional(endpoints: DataFrame, adj: DataFrame, nodes: DataFrame,
         return cond
 
     lab = nodes.where(allowed(F.col("labeled"))).select("node_id")
-    start = endpoints.join(lab.withColumnRenamed("node_id", "endpoint_id"), "endpoint_id", "left_semi")
+    start = endpoints.select("prompt_id", "endpoint_id").distinct().join(lab.withColumnRenamed("node_id", "endpoint_id"), "endpoint_id", "left_semi")
     nb = adj.select(F.col("node_id").alias("endpoint_id"), F.col("edge_id").alias("nb_edge_id"), F.col("other_id").alias("neighbor_id"))
-    met = start.join(nb, "endpoint_id").where((F.col("neighbor_id") != F.col("src_id")) & (F.col("neighbor_id") != F.col("dst_id")))
-    met = met.join(lab.withColumnRenamed("node_id", "neighbor_id"), "neighbor_id", "left_semi")
+    met = start.join(nb, "endpoint_id").where(F.col("neighbor_id") != F.col("endpoint_id"))
+    return met.join(lab.withColumnRenamed("node_id", "neighbor_id"), "neighbor_id", "left_semi") \
+              .select("prompt_id", "endpoint_id", "nb_edge_id", "neighbor_id")
+
+
+def last_hits(endpoints: DataFrame) -> DataFrame:
+    """(prompt_id, endpoint_id, other_end, last, but_one): what an endpoint's hits mean for any
+    neighbour. A hit shows all neighbours but its own other end. ``last`` is the last hit in write
+    order (score descending, then item) and ``other_end`` its other end; ``but_one`` is the last of
+    the hits with another other end (NULL without one). So the neighbour ``other_end`` was last
+    written by ``but_one`` and every other one by ``last``. One row per (prompt, endpoint)."""
+    other = F.when(F.col("endpoint_id") == F.col("src_id"), F.col("dst_id")).otherwise(F.col("src_id"))
+    per_end = endpoints.groupBy("prompt_id", "endpoint_id", other.alias("other_end")) \
+                       .agg(F.max(F.struct((-F.col("score")).alias("neg_score"), "item_id")).alias("hit"))
+    w = Window.partitionBy("prompt_id", "endpoint_id").orderBy(F.desc("hit"))
+    two = per_end.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
+    return two.groupBy("prompt_id", "endpoint_id").agg(F.max(F.when(F.col("_r") == 1, F.col("other_end"))).alias("other_end"),
+                                                       F.max(F.when(F.col("_r") == 1, F.col("hit"))).alias("last"),
+                                                       F.max(F.when(F.col("_r") == 2, F.col("hit"))).alias("but_one"))
+
+
+def shown_neighbors(hoods: DataFrame, endpoints: DataFrame) -> DataFrame:
+    """``hoods`` rows that some hit shows, with the last such hit (score, item_id)."""
+    seen = hoods.join(last_hits(endpoints), ["prompt_id", "endpoint_id"])
+    hit = F.when(F.col("neighbor_id") == F.col("other_end"), F.col("but_one")).otherwise(F.col("last"))
+    return seen.withColumn("hit", hit).where(F.col("hit").isNotNull()).select(
+        "prompt_id", "endpoint_id", "nb_edge_id", "neighbor_id", (-F.col("hit.neg_score")).alias("score"), F.col("hit.item_id").alias("item_id"))
+
+
+def per_hit(endpoints: DataFrame, hoods: DataFrame) -> DataFrame:
+    """B14 as the reference returns it: each hit's endpoint with each neighbour that is no end of
+    the hit; an endpoint without one stays with NULL neighbour columns. This is the product of
+    hits and neighbourhoods, built only for outputs that are per hit."""
+    met = endpoints.join(hoods, ["prompt_id", "endpoint_id"]).where((F.col("neighbor_id") != F.col("src_id")) & (F.col("neighbor_id") != F.col("dst_id")))
     found = met.select("prompt_id", "item_id", "endpoint_id", "nb_edge_id", "neighbor_id")
     return endpoints.join(found, ["prompt_id", "item_id", "endpoint_id"], "left")
 
 
+def neighbors_optional(endpoints: DataFrame, adj: DataFrame, nodes: DataFrame,
+                       excluded: tuple = EXCLUDED_LABELS) -> DataFrame:
+    """Optional expansion of every endpoint of every hit; ids only."""
+    return per_hit(endpoints, neighborhoods(endpoints, adj, nodes, excluded))
+
+
 def edge_expansion(expanded: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """The expansion of each (hit relationship, endpoint) as records: the
     neighbour's name, label and metadata and the additional relationship's type
@@ -131,7 +171,7 @@ class GraphRetrieval:
     kept: DataFrame          # B9 output, both kinds
     node_rows: DataFrame     # B10 (query 1 result rows, long form)
     endpoints: DataFrame     # B13
-    expansion: DataFrame     # B14
+    hoods: DataFrame         # neighbourhoods of the endpoints, once per prompt
     nodes: DataFrame         # B17 defaults applied, all nodes
     edges: DataFrame
     raw_nodes: DataFrame
@@ -151,8 +191,13 @@ class GraphRetrieval:
         adj = adjacency(edges)
         node_rows = keep(neighbors_inner(node_hits, adj))
         endpoints = keep(edge_endpoint_set(edge_hits, edges))
-        expansion = keep(neighbors_optional(endpoints, adj, nodes))
-        return cls(kept, node_rows, endpoints, expansion, node_defaults(nodes), edges, nodes)
+        hoods = keep(neighborhoods(endpoints, adj, nodes))
+        return cls(kept, node_rows, endpoints, hoods, node_defaults(nodes), edges, nodes)
+
+    @property
+    def expansion(self) -> DataFrame:
+        """B14, multiplied out per hit."""
+        return per_hit(self.endpoints, self.hoods)
 
     # ---- B16
     def result_rows(self) -> DataFrame:
@@ -180,7 +225,9 @@ class GraphRetrieval:
         q2_end = self.endpoints.select("prompt_id", F.col("dst_id").alias("node_id"),
                                        F.lit(2).alias("phase"), "score", "item_id",
                                        F.lit(1).alias("role"))
-        q2_nb = self.expansion.where(F.col("neighbor_id").isNotNull()).select(
+        # of the hits that show a neighbour the last one stands for all: every reader takes
+        # either distinct nodes or the last write
+        q2_nb = shown_neighbors(self.hoods, self.endpoints).select(
             "prompt_id", F.col("neighbor_id").alias("node_id"), F.lit(2).alias("phase"),
             "score", "item_id", F.lit(2).alias("role"))
         occ = q1_hit.unionByName(q1_conn).unionByName(q2_start).unionByName(q2_end) \
@@ -203,7 +250,7 @@ class GraphRetrieval:
     def context_relations(self) -> DataFrame:
         ids = (self.node_rows.select("prompt_id", "edge_id")
                .unionByName(self.endpoints.select("prompt_id", F.col("item_id").alias("edge_id")))
-               .unionByName(self.expansion.select("prompt_id", F.col("nb_edge_id").alias("edge_id"))))
+               .unionByName(shown_neighbors(self.hoods, self.endpoints).select("prompt_id", F.col("nb_edge_id").alias("edge_id"))))
         filled = self.edges.where(F.coalesce("description", F.lit("")) != "")
         return self._fetched(ids, "edge_id", filled, [], "description")
 
@@ -240,8 +287,9 @@ class GraphRetrieval:
 
     def numbered_lines(self) -> DataFrame:
         """``context_lines`` with ``position``: a line's place in its section
-        (sorted by text, equal lines in any order), numbered in many tasks."""
-        return with_row_index(self.context_lines(), ["line"], "position", group_by=["prompt_id", "section"])
+        (sorted by text, equal lines in any order), numbered in many tasks. Range boundaries
+        come from the lines' beginnings, so no whole line is sampled to the driver."""
+        return with_row_index(self.context_lines(), ["line"], "position", group_by=["prompt_id", "section"], boundary_chars=BOUNDARY_CHARS)
 
     def contexts(self) -> DataFrame:
         """(prompt_id, node_block, rel_block) for prompts with at least one

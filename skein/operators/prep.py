@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.ordering import with_row_index
 from skein.functions.text import SEP_MARK, md5_bucket, pair_text, py_strip, terms
-from skein.session import cut_lineage
+from skein.session import cut_lineage, write_table
 
 # Label mapping of the binary trainer, pandas' text for a missing value.
 FIXED_LABELS = {"unnecessary": 0, "necessary": 1}
@@ -109,20 +109,23 @@ def oversample(df: DataFrame, label_col: str = "label_id", id_col: str = "row_id
     appended to the majority. Draw i picks rest row ``md5(seed:i) mod n_rest``
     in ``id_col`` order. Adds ``copy_id`` (-1 for majority rows)."""
     spark = df.sparkSession
-    parts = majority_split(df, label_col)
-    sizes = parts.groupBy("part").count().collect()  # two row counts
-    n = {r["part"]: r["count"] for r in sizes}
-    n_major, n_rest = n.get("majority", 0), n.get("rest", 0)
-    major = parts.where(F.col("part") == "majority").drop("part").withColumn("copy_id", F.lit(-1).cast("long"))
+    # All counting and numbering runs on ids and classes, written once; the rows themselves are
+    # read once and meet the finished draws.
+    thin = write_table(df.select(label_col, id_col), "oversample")
+    parts = majority_split(thin, label_col)
+    maj = F.lit(majority_class(thin, label_col).first()["majority"])
+    sizes = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}  # two row counts
+    n_major, n_rest = sizes.get("majority", 0), sizes.get("rest", 0)
+    major = df.where(F.col(label_col) == maj).withColumn("copy_id", F.lit(-1).cast("long"))
     if n_rest == 0:
         return major
-    rest = with_row_index(parts.where(F.col("part") == "rest").drop("part"), [id_col], "_ridx")
+    rest = with_row_index(parts.where(F.col("part") == "rest").select(id_col), [id_col], "_ridx")
     picks = spark.range(n_major).select(
         F.col("id").alias("copy_id"),
         (md5_bucket(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 15) % F.lit(n_rest))
         .alias("_ridx"))
-    drawn = picks.join(rest, "_ridx", "inner").drop("_ridx")
-    return major.unionByName(drawn)
+    drawn = picks.join(rest, "_ridx", "inner").select(id_col, "copy_id")
+    return major.unionByName(df.where(F.col(label_col) != maj).join(drawn, id_col, "inner"))
 
 
 # ---------------------------------------------------------------------- E9
@@ -149,28 +152,61 @@ def split_quotas(df: DataFrame, label_col: str = "label_id", test_size: float =
                     .cast("long").alias("n_test"))
 
 
+# Rows of a class's boundary bucket that are ranked by a window.
+MAX_BUCKET = 50_000
+# Hex digits by which a refinement lengthens the key prefix: 4096 buckets each.
+PREFIX_DIGITS = 3
+
+
+def quota_cutoffs(keys: DataFrame, quotas: DataFrame, label_col: str = "label_id", id_col: str = "row_id", max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """(label, cut_key, cut_id): the last row that is within its class's quota, in the order of
+    ``_key``, then id. Classes with quota 0 have no row.
+
+    A distributed selection instead of a sort: the keys of a class are counted by a prefix, the
+    running count finds the bucket that holds the boundary, and that bucket alone is counted by a
+    longer prefix, until it is small enough to rank. Each pass reads thin rows and moves one
+    partial count per bucket; a class with a third of all rows is as cheap as any other."""
+    bound = quotas.where(F.col("n_test") > 0).select(label_col, F.lit("").alias("_prefix"), F.col("n_test").alias("_left"))
+    digits = 0
+    while True:
+        inside = keys.join(per_class(bound), [F.col(label_col) == F.col("_label"), F.substring("_key", 1, digits) == F.col("_prefix")]) if digits else \
+            keys.join(per_class(bound.drop("_prefix").withColumnRenamed(label_col, "_label")), F.col(label_col) == F.col("_label"))
+        if digits and (largest <= max_bucket or digits >= 32):
+            break
+        digits += PREFIX_DIGITS
+        counts = inside.groupBy(label_col, F.substring("_key", 1, digits).alias("_prefix"), "_left").agg(F.count(F.lit(1)).alias("_n"))
+        running = F.sum("_n").over(Window.partitionBy(label_col).orderBy("_prefix"))
+        at = counts.withColumn("_upto", running).where((F.col("_upto") >= F.col("_left")) & (F.col("_upto") - F.col("_n") < F.col("_left")))
+        bound = cut_lineage(at.select(F.col(label_col).alias("_label"), "_prefix", (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_left"), "_n"))
+        largest = bound.agg(F.max("_n")).first()[0] or 0  # one number
+    rank = F.row_number().over(Window.partitionBy(label_col).orderBy("_key", id_col))
+    last = inside.withColumn("_rank", rank).where(F.col("_rank") == F.col("_left"))
+    return last.select(label_col, F.col("_key").alias("cut_key"), F.col(id_col).alias("cut_id"))
+
+
 def stratified_split(df: DataFrame, label_col: str = "label_id", id_col: str = "row_id",
                      test_size: float = TEST_SIZE, seed: int = SEED,
                      check_min_class: bool = True) -> DataFrame:
     """Adds ``split`` ('train'/'test') with exact per-class test quotas.
 
-    Within a class rows are ranked by md5(seed:id) then id; the first
-    ``n_test`` go to test. As in the reference, a class with fewer than two
-    rows is an error unless ``check_min_class`` is off (then such a class is
-    split by the same quota rule).
+    Within a class rows are ranked by md5(seed:id) then id (unique); the first ``n_test`` go to
+    test. The quota boundary of each class is selected on thin rows, and the rows themselves only
+    compare their own key with it: no row is sorted or moved. As in the reference, a class with
+    fewer than two rows is an error unless ``check_min_class`` is off (then such a class is split
+    by the same quota rule).
     """
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    thin = write_table(df.select(label_col, id_col), "split-keys")
     if check_min_class:
-        small = class_counts(df, label_col).where(F.col("n") < 2).limit(1).collect()  # <= 1 row
+        small = class_counts(thin, label_col).where(F.col("n") < 2).limit(1).collect()  # <= 1 row
         if small:
             raise ValueError(f"class {small[0][label_col]!r} has only {small[0]['n']} row; "
                              "a stratified split needs at least 2 per class")
-    quotas = per_class(cut_lineage(split_quotas(df, label_col, test_size).select(label_col, "n_test")))
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-    ranked = with_row_index(df.withColumn("_key", key), ["_key", id_col], "_cidx", group_by=[label_col])
-    return (ranked.join(quotas, label_col, "inner")
-                  .withColumn("split", F.when(F.col("_cidx") < F.col("n_test"), F.lit("test"))
-                              .otherwise(F.lit("train")))
-                  .drop("_key", "_cidx", "n_test"))
+    quotas = cut_lineage(split_quotas(thin, label_col, test_size).select(label_col, "n_test"))
+    cutoffs = cut_lineage(quota_cutoffs(thin.withColumn("_key", key), quotas, label_col, id_col))
+    marked = df.withColumn("_key", key).join(per_class(cutoffs), label_col, "left")
+    within = (F.col("_key") < F.col("cut_key")) | ((F.col("_key") == F.col("cut_key")) & (F.col(id_col) <= F.col("cut_id")))
+    return marked.withColumn("split", F.when(within, F.lit("test")).otherwise(F.lit("train"))).drop("_key", "cut_key", "cut_id")
 
 
 def balance_and_split(df: DataFrame, order: str = "split_then_balance", label_col: str = "label_id",
@@ -210,6 +246,10 @@ def with_class_weights(train: DataFrame, label_col: str = "label_id") -> DataFra
 
 # ------------------------------------------------------------- E11 - E12
 
+# Terms up to which the vocabulary is broadcast (some 100 bytes a row).
+MAX_VOCABULARY = 500_000
+
+
 def build_vocabulary(df: DataFrame, text_col: str = "input_text") -> DataFrame:
     """(term, token_id): ids from 2 by frequency desc, then term (0 pad, 1 unknown)."""
     counts = df.select(F.explode(terms(text_col)).alias("term")).groupBy("term").count()
@@ -225,11 +265,11 @@ def encode_fixed_length(df: DataFrame, vocab: DataFrame, id_col: str = "row_id",
     before it is exploded), so long texts cost no more than short ones.
     """
     toks = df.select(id_col, F.posexplode_outer(F.slice(terms(text_col), 1, max_length)).alias("pos", "term"))
-    ids = toks.join(vocab, "term", "left").withColumn(
-        "tid", F.when(F.col("term").isNull(), F.lit(None)).otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
-    per_row = ids.groupBy(id_col).agg(
-        F.transform(F.sort_array(F.collect_list(F.when(F.col("tid").isNotNull(), F.struct("pos", "tid")))),
-                    lambda x: x["tid"]).alias("ids"))
+    if vocab.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY:
+        vocab = F.broadcast(vocab)  # checked: no occurrence moves before its id is known
+    ids = toks.join(vocab, "term", "left").select(
+        id_col, F.when(F.col("term").isNotNull(), F.struct("pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("tid"))).alias("at"))
+    per_row = ids.groupBy(id_col).agg(F.transform(F.sort_array(F.collect_list("at")), lambda x: x["tid"]).alias("ids"))
     pad = F.array_repeat(F.lit(PAD_ID), max_length)
     return per_row.select(
         id_col,

@@ -8,6 +8,7 @@ from skein.operators import metrics as mt
 from skein.operators import prep
 from skein.operators import sentences as sn
 from skein.plans.registry import r6, register
+from skein.session import write_table
 from skein.sources import fixtures as fx
 
 # --------------------------------------------------------------- sentences
@@ -146,7 +147,7 @@ def q_class_weights(spark, sf_dir):
 
 
 def _fixed_length(spark, sf_dir):
-    rows = _encoded(spark, sf_dir)
+    rows = write_table(_encoded(spark, sf_dir).select("row_id", "label_id", "input_text"), "encode")  # read three times
     vocab = prep.build_vocabulary(rows)
     return rows, prep.encode_fixed_length(rows, vocab, max_length=128)
 

@@ -95,6 +95,60 @@ def test_edit_distance_with_swaps(spark):
     assert [r.d for r in got[-4:]] == [1, 3, 2, 1]
 
 
+def _top_by_full_sums(spark, query, postings, k):
+    import collections
+    weights, sums = collections.defaultdict(list), collections.defaultdict(float)
+    for t, i, w in postings:
+        weights[t].append((i, w))
+    for q, t, wq in query:
+        for i, w in weights[t]:
+            sums[q, i] += wq * w
+    out = {}
+    for (q, i), s in sums.items():
+        out.setdefault(q, []).append((-round(s, 9), i))
+    return {q: [(i, -s) for s, i in sorted(v)[:k]] for q, v in out.items()}
+
+
+def test_top_k_with_bounds_is_exact_and_reads_less(spark):
+    """Zipf-like terms, ties, queries with few hits and one without: the same rows as full sums."""
+    import random
+
+    from skein.operators import topk
+    rnd = random.Random(11)
+    df = {f"t{j}": max(2, 3000 // (j + 1)) for j in range(120)}
+    postings = [(t, i, round(rnd.choice([1, 0.9, 0.5, 0.3, 0.1]) * rnd.random() + 1e-3, 3)) for t, n in df.items() for i in rnd.sample(range(3000), n)]
+    postings += [("same", i, 0.25) for i in range(500)] + [("rare", 7, 0.5), ("rare", 3, 0.5)]
+    idf = {t: math.log(1 + 3000 / n) for t, n in df.items()} | {"same": 1.0, "rare": 4.0}
+    queries = {q: rnd.sample(sorted(df), n) for q, n in enumerate((1, 2, 5, 20, 60))} | {90: ["t0", "t1", "t100"], 91: ["same"], 92: ["rare"], 93: ["rare", "same", "t0"]}
+    query = [(q, t, idf[t]) for q, ts in queries.items() for t in ts]
+    q = spark.createDataFrame(query, "q long, term string, wq double")
+    p = spark.createDataFrame(postings, "term string, item long, w double").withColumn("level", topk.level_of(F.col("w")))
+    for k in (1, 10, 40):
+        run = topk.run(q, p, topk.levels_table(p, ["term"]), k, ["q"], ["term"], "item", count_read=True)
+        got = {}
+        for r in run.hits.orderBy("q", "rank").collect():
+            got.setdefault(r.q, []).append((r.item, r.score))
+        want = _top_by_full_sums(spark, query, postings, k)
+        assert got.keys() == want.keys()
+        for key in want:
+            assert [i for i, _ in got[key]] == [i for i, _ in want[key]], key
+            assert all(abs(a - b) < 2e-9 for (_, a), (_, b) in zip(got[key], want[key]))
+        total = sum(len([1 for x in postings if x[0] == t]) for _, t, _ in query)
+        assert run.read < 0.8 * total, (k, run.read, total)
+
+
+def test_search_reads_fewer_postings_than_it_has(spark, sf_dir):
+    from skein.plans import registry
+    from skein.sources import fixtures as fx
+    _, _, index = registry._index(spark, sf_dir)
+    exp = ft.expanded_terms(ft.query_terms(fx.prompts(spark, sf_dir)), index.terms)
+    run = ft.best_hits(exp, index, k=10, count_read=True)
+    total = exp.select("prompt_id", "kind", "term").distinct().join(index.terms, ["kind", "term"]).agg(F.sum("df")).first()[0]
+    assert run.read < total
+    full = {(r.prompt_id, r.kind, r.item_id, r.rank) for r in ft.top_hits(ft.search(exp, index), 10).collect()}
+    assert full == {(r.prompt_id, r.kind, r.item_id, r.rank) for r in run.hits.collect()}
+
+
 def test_fuzzy_candidates_lose_no_term(spark):
     """Every pair within the bound, over short, long and repetitive words."""
     import random
@@ -395,6 +449,52 @@ def test_written_tables_can_be_dropped(spark):
     assert drop_written_tables(spark, live) == 1
 
 
+def _hub_graph(spark, leaves, hits):
+    """A hub 'h' with ``leaves`` neighbours and ``hits`` hit relationships, all at the hub."""
+    nodes = spark.createDataFrame([("h", "h", "place", "d", "m")] + [(f"n{i}", f"n{i}", "person", f"d{i}", f"m{i}") for i in range(leaves)], NODE_SCHEMA)
+    edges = spark.createDataFrame([(f"e{i}", f"n{i}", "h", "t", f"x{i}") for i in range(leaves)] + [("e0b", "h", "n0", "t", "y"), ("loop", "h", "h", "t", "z")], EDGE_SCHEMA)
+    rows = [(1, f"e{i}", float(i % 3)) for i in range(hits)]
+    return nodes, edges, spark.createDataFrame(rows, "prompt_id long, item_id string, score double")
+
+
+def test_hub_neighbourhood_is_stored_once(spark):
+    nodes, edges, hits = _hub_graph(spark, 300, 40)
+    ends = gr.edge_endpoint_set(hits, edges)
+    hoods = gr.neighborhoods(ends, gr.adjacency(edges), nodes)
+    assert hoods.count() == 301 + 41  # the hub's edges once; those of 40 leaves
+    out = gr.neighbors_optional(ends, gr.adjacency(edges), nodes)
+    assert out.where("endpoint_id = 'h' and neighbor_id is not null").count() == 39 * 300 + 299  # every hit at the hub, without its own leaf
+
+
+def test_last_hits_stand_for_all_hits(spark):
+    """Distinct neighbours and the last write per neighbour equal those of the full product."""
+    for hits in (1, 2, 5):
+        nodes, edges, rows = _hub_graph(spark, 6, hits)
+        rows = rows.unionByName(spark.createDataFrame([(1, "loop", 1.0), (1, "e0b", 0.0), (2, "e0", 1.0), (2, "e0b", 2.0), (3, "loop", 1.0)], rows.schema))
+        ends = gr.edge_endpoint_set(rows, edges)
+        adj = gr.adjacency(edges)
+        product = gr.neighbors_optional(ends, adj, nodes).where("neighbor_id is not null").collect()
+        want = {}
+        for r in product:
+            key = (r.prompt_id, r.endpoint_id, r.nb_edge_id, r.neighbor_id)
+            want[key] = max(want.get(key, (-9.0, "")), (-r.score, r.item_id))
+        got = gr.shown_neighbors(gr.neighborhoods(ends, adj, nodes), ends).collect()
+        assert {(r.prompt_id, r.endpoint_id, r.nb_edge_id, r.neighbor_id): (-r.score, r.item_id) for r in got} == want
+        assert len(got) == len(want)
+
+
+def test_row_index_by_beginnings(spark):
+    import random
+    rnd = random.Random(3)
+    lines = [rnd.choice(["", "a" * 50, "a" * 50 + "b", "é"]) + rnd.choice("xyzé") * rnd.randrange(30) for _ in range(400)]
+    df = spark.createDataFrame([(i % 2, t) for i, t in enumerate(lines)], "g long, line string")
+    got = with_row_index(df, ["line"], "i", group_by=["g"], num_partitions=6, boundary_chars=4).collect()
+    for g in (0, 1):
+        own = sorted((r.i, r.line) for r in got if r.g == g)
+        assert [i for i, _ in own] == list(range(200))
+        assert [t for _, t in own] == sorted((t for i, t in enumerate(lines) if i % 2 == g), key=lambda t: t.encode())
+
+
 def test_row_index_is_global_and_grouped(spark):
     df = spark.range(0, 500).select((F.col("id") * 7 % 500).alias("v"), (F.col("id") % 3).alias("g"))
     idx = with_row_index(df, ["v"], "i", num_partitions=7).orderBy("v").collect()
@@ -405,6 +505,34 @@ def test_row_index_is_global_and_grouped(spark):
         assert [i for _, i in vals] == list(range(len(vals)))
 
 
+def test_quota_boundary_by_refinement(spark):
+    """Every class's quota exactly, however often the boundary bucket is refined."""
+    import hashlib
+    df = spark.range(6000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 3 < 2, 0).when(F.col("id") < 2900, 1).otherwise(F.col("id") % 7 + 2).alias("label_id"))
+    rows = [(r.row_id, r.label_id) for r in df.collect()]
+    keyed = df.withColumn("_key", F.md5(F.concat(F.lit("42:"), F.col("row_id").cast("string"))))
+    by_class = {}
+    for i, c in rows:
+        by_class.setdefault(c, []).append((hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+    quota = {c: (0 if c == 5 else 1 if c == 6 else len(v) if c == 7 else len(v) // 3) for c, v in by_class.items()}
+    quotas = spark.createDataFrame(list(quota.items()), "label_id long, n_test long")
+    want = {c: sorted(v)[quota[c] - 1] for c, v in by_class.items() if quota[c]}
+    for most in (1, 40, 10 ** 6):
+        got = prep.quota_cutoffs(keyed.repartition(3), quotas, max_bucket=most).collect()
+        assert {r.label_id: (r.cut_key, r.cut_id) for r in got} == want
+
+
+def test_split_and_oversample_move_no_text(spark):
+    from skein.session import write_table
+    rows = write_table(spark.createDataFrame([(i, i % 5 // 4, f"text {i}") for i in range(200)], "row_id long, label_id int, input_text string"), "pairs")
+    split = prep.stratified_split(rows)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    assert split.where("split = 'test'").count() == 40
+    drawn = prep.oversample(rows).select("row_id", "label_id", "copy_id")
+    assert "input_text" not in drawn._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fixed_length_encoding(spark):
     df = spark.createDataFrame([(1, "b a b"), (2, "c " * 10)], "row_id long, input_text string")
     vocab = prep.build_vocabulary(df)
