@@ -113,14 +113,43 @@ def _from_exprs(df: DataFrame, specs: list[ModelSpec]) -> DataFrame:
     return df.select("row_id", F.explode(F.array(*[_expr_result(s) for s in specs])).alias("r")).select("row_id", "r.*")
 
 
-def _from_spark_model(df: DataFrame, spec: ModelSpec) -> DataFrame:
-    out = spec.spark_model.transform(df)
-    raw = F.col("prediction").cast("int").cast("string")
-    label, err = normalize_label(raw, spec.label_mapping)
-    return out.select("row_id", F.lit(spec.name).alias("model"), F.lit(CLASSIFY).alias("task"),
-                      label.alias("label"), F.array_max(vector_to_array("probability")).alias("score"),
-                      F.lit(None).cast("string").alias("generated_text"),
-                      F.lit(None).cast("string").alias("output"), err.alias("error"))
+def _text_stages(model) -> tuple[list, tuple]:
+    """The tokenizer and term-frequency stages a pipeline starts with, and what identifies them."""
+    kinds = [type(st).__name__ for st in model.stages[:2]]
+    if kinds != ["RegexTokenizer", "HashingTF"]:
+        return [], ()
+    words, tf = model.stages[:2]
+    return [words, tf], (words.getInputCol(), words.getOutputCol(), words.getPattern(), words.getGaps(), words.getMinTokenLength(), words.getToLowercase(),
+                         tf.getInputCol(), tf.getOutputCol(), tf.getNumFeatures(), tf.getBinary())
+
+
+def _from_spark_models(df: DataFrame, specs: list[ModelSpec]) -> DataFrame:
+    """All fitted pipelines in one scan. Each adds one struct (its prediction and probability) to
+    the row and the next pipeline goes on from there. Pipelines that start with the same tokenizer
+    and term frequencies share them, so a text is cut and hashed once per such group."""
+    out, base, done = df, df.columns, []
+    groups: dict[tuple, list[ModelSpec]] = {}
+    for spec in specs:
+        shared = _text_stages(spec.spark_model)[1]
+        groups.setdefault(shared if shared else (spec.name, id(spec)), []).append(spec)
+    for members in groups.values():
+        shared = _text_stages(members[0].spark_model)[0]
+        for stage in shared:
+            out = stage.transform(out)
+        ready = [stage.getOutputCol() for stage in shared]
+        for spec in members:
+            name = f"__model{len(done)}"
+            for stage in spec.spark_model.stages[len(shared):]:
+                out = stage.transform(out)
+            raw = F.col("prediction").cast("int").cast("string")
+            label, err = normalize_label(raw, spec.label_mapping)
+            result = F.struct(F.lit(spec.name).alias("model"), F.lit(CLASSIFY).alias("task"), label.alias("label"),
+                              F.array_max(vector_to_array("probability")).alias("score"), _null().alias("generated_text"),
+                              _null().alias("output"), err.alias("error"))
+            out = out.select(*base, *ready, *done, result.alias(name))
+            done.append(name)
+        out = out.select(*base, *done)
+    return out.select("row_id", F.explode(F.array(*done)).alias("r")).select("row_id", "r.*")
 
 
 def _from_batch(df: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -162,12 +191,12 @@ def score_all(df: DataFrame, models: list[ModelSpec]) -> DataFrame:
     """G1 + G3: every row (row_id, text) through every model, one long table."""
     exprs = [m for m in models if m.expr is not None]
     parts = [_from_exprs(df, exprs)] if exprs else []
+    fitted = [m for m in models if m.expr is None and m.spark_model is not None]
+    parts += [_from_spark_models(df, fitted)] if fitted else []
     for spec in models:
-        if spec.expr is not None:
+        if spec.expr is not None or spec.spark_model is not None:
             continue
-        if spec.spark_model is not None:
-            parts.append(_from_spark_model(df, spec))
-        elif spec.batch_fn is not None:
+        if spec.batch_fn is not None:
             parts.append(_from_batch(df, spec))
         else:
             raise ValueError(f"model {spec.name} has nothing to run")

@@ -10,6 +10,8 @@ by the weight sum, as a weighted mean loss does); ``weight_decay`` becomes
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer
@@ -17,11 +19,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.session import write_table
+
 # Fixed values of the text features.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 NUM_FEATURES = 1 << 16
 REG_PARAM = 0.01
 MAX_ITER = 50
+# Fits that run at the same time.
+PARALLEL_FITS = 3
 
 
 def text_classifier(labels: list[str], text_col: str = "text", label_col: str = "label_id",
@@ -70,16 +76,33 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def fit_settings(train: DataFrame, labels: list[str], grid: list[dict], **kw) -> list[PipelineModel]:
+    """One fitted pipeline per setting (arguments of ``text_classifier`` for the regression).
+
+    The text stages do not depend on the settings: they are fitted once and the training vectors
+    are written once, so texts are read once however many settings there are. The fits, each a
+    distributed job of its own, run from ``PARALLEL_FITS`` threads over the vector table."""
+    stages = text_classifier(labels, **kw).getStages()
+    text_stages, regression, decode = stages[:-2], stages[-2], stages[-1]
+    features = Pipeline(stages=text_stages).fit(train)
+    columns = [regression.getLabelCol(), "features", *([kw["weight_col"]] if kw.get("weight_col") else [])]
+    vectors = write_table(features.transform(train).select(*columns), "training-vectors")
+
+    def one(params: dict) -> PipelineModel:
+        own = text_classifier(labels, **{**kw, **params}).getStages()[-2]
+        return PipelineModel(stages=[*features.stages, own.fit(vectors), decode])
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return list(pool.map(one, grid))
+
+
 def select_best(train: DataFrame, valid: DataFrame, labels: list[str], grid: list[dict],
                 metric_fn, metric: str, **kw):
     """fit one model per setting, keep the one with the greatest metric
-    (the first wins ties): (all values, index of the best, its model). Each fit
-    is itself a distributed job."""
-    best, values = None, []
-    for i, params in enumerate(grid):
-        model = fit(train, labels, **{**kw, **params})
-        value = metric_fn(model.transform(valid)).first()[metric]
-        values.append(value)
-        if best is None or value > best[0]:
-            best = (value, i, model)
-    return values, best[1], best[2]
+    (the first wins ties): (all values, index of the best, its model). Training and validation
+    texts are turned into vectors once (``fit_settings``)."""
+    models = fit_settings(train, labels, grid, **kw)
+    held = write_table(PipelineModel(models[0].stages[:-2]).transform(valid).drop("tokens", "tf"), "validation-vectors")
+    values = [metric_fn(PipelineModel(m.stages[-2:]).transform(held)).first()[metric] for m in models]
+    best = max(range(len(grid)), key=lambda i: (values[i], -i))
+    return values, best, models[best]

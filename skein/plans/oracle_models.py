@@ -172,3 +172,5 @@ UNION ALL SELECT 'accuracy', count(*), true FROM lang_split WHERE split = 'test'
 q("select_best", """
 SELECT CAST(o AS INTEGER) AS candidate_order, '{''reg_param'': ' || r || '}' AS setting, true AS best_is_first_maximum
 FROM (VALUES (0, '0.0'), (1, '0.01'), (2, '0.1')) t(o, r)""")
+q("fitted_models_score", """
+SELECT doc_id AS row_id, model, true AS same FROM documents, (VALUES ('setting 0'), ('setting 1'), ('setting 2')) m(model)""")

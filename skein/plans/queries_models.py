@@ -7,6 +7,7 @@ import os
 import uuid
 
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from skein.functions.text import terms
@@ -17,7 +18,7 @@ from skein.operators import train as tr
 from skein.operators import vectors as vec
 from skein.plans import ask as ak
 from skein.plans.registry import _index, r6, register
-from skein.session import checkpoint_dir, cut_lineage, write_table
+from skein.session import checkpoint_dir, cut_lineage, track, write_table
 from skein.sources import fixtures as fx
 from skein.sources import training_csv
 
@@ -95,9 +96,29 @@ def q_select_best(spark, sf_dir):
     return spark.createDataFrame(rows, "candidate_order int, setting string, best_is_first_maximum boolean")
 
 
+@register("fitted_models_score")
+def q_fitted_models_score(spark, sf_dir):
+    """Three fitted models over every document in one scan, each row equal to the model's own transform."""
+    rows, table = prep.encode_labels(fx.multiclass_frame(spark, sf_dir))
+    names = [r["label"] for r in table.orderBy("label_id").collect()]  # class names (few)
+    grid = [{"reg_param": 0.01}, {"reg_param": 0.1}, {"reg_param": 0.01, "max_iter": 5}]
+    models = tr.fit_settings(rows.select("row_id", "text", "label_id"), names, grid, family="multinomial")
+    specs = [mm.ModelSpec(f"setting {i}", mm.CLASSIFY, spark_model=m, label_mapping=dict(enumerate(names))) for i, m in enumerate(models)]
+    docs = _doc_rows(spark, sf_dir)
+    together = mm.score_all(docs, specs).select("row_id", "model", "label", "score")
+    alone = None
+    for spec in specs:
+        own = spec.spark_model.transform(docs).select("row_id", F.lit(spec.name).alias("model"), F.col("predicted_label").alias("own_label"),
+                                                      F.array_max(vector_to_array("probability")).alias("own_score"))
+        alone = own if alone is None else alone.unionByName(own)
+    same = (F.col("label") == F.col("own_label")) & (F.abs(F.col("score") - F.col("own_score")) < 1e-9)
+    return together.join(alone, ["row_id", "model"]).select("row_id", "model", same.alias("same"))
+
+
 @register("scan_training_csv")
 def q_scan_training_csv(spark, sf_dir):
     path = os.path.join(checkpoint_dir(spark), "training-csv-" + uuid.uuid4().hex)
+    track(spark, path)
     training_csv.write(fx.training_pairs(spark, sf_dir), path)
     return training_csv.read(spark, path)
 
@@ -106,6 +127,7 @@ def q_scan_training_csv(spark, sf_dir):
 def q_model_roundtrip(spark, sf_dir):
     model, valid = _binary_model(spark, sf_dir)
     path = os.path.join(checkpoint_dir(spark), "model-" + uuid.uuid4().hex)
+    track(spark, path)
     tr.save(model, path)
     again = tr.load(path)
     a = tr.predict_table(model, valid).select("row_id", F.col("prediction").alias("before"), F.col("p_max").alias("p"))
@@ -163,19 +185,14 @@ def q_multi_model_score(spark, sf_dir):
 
 @register("label_normalize")
 def q_label_normalize(spark, sf_dir):
-    rows = _doc_rows(spark, sf_dir)
-    parts = []
+    per_model = []
     for spec in derived_models():
         if spec.task != mm.CLASSIFY:
             continue
         raw = spec.expr(F.col("text"))["label"]
         label, err = mm.normalize_label(raw, spec.label_mapping)
-        parts.append(rows.select("row_id", F.lit(spec.name).alias("model"), raw.alias("raw_label"),
-                                 label.alias("label"), err.alias("error")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        per_model.append(F.struct(F.lit(spec.name).alias("model"), raw.alias("raw_label"), label.alias("label"), err.alias("error")))
+    return _doc_rows(spark, sf_dir).select("row_id", F.explode(F.array(*per_model)).alias("r")).select("row_id", "r.*")  # one scan
 
 
 def fragile_batch(texts: pd.Series) -> pd.DataFrame:

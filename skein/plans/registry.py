@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.operators import fulltext as ft
 from skein.operators import graph as gr
-from skein.session import cut_lineage
+from skein.session import track
 from skein.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -306,10 +306,16 @@ def q_vector_context(spark, sf_dir):
 
 @register("collection_create")
 def q_collection_create(spark, sf_dir):
-    """Create a collection, insert the chunks (the length rule rejects some), open it again."""
+    """Create a collection, insert the chunks in two batches (the length rule rejects some), insert
+    one of them again as a retried job would, open the collection."""
     name = "chunks_" + uuid.uuid4().hex
-    colx.create_collection(spark, name, f"{checkpoint_dir(spark).rstrip('/')}/{name}")
-    colx.insert_rows(fx.chunk_collection(spark, sf_dir).drop("pk"), name)
+    location = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    colx.create_collection(spark, name, location)
+    track(spark, location)
+    chunks = fx.chunk_collection(spark, sf_dir)
+    odd = F.col("pk") % 2 == 1
+    for batch_id, part in (("odd", odd), ("even", ~odd), ("odd", odd)):
+        colx.insert_rows(chunks.where(part).drop("pk"), name, batch_id)
     return colx.create_collection(spark, name).select("pk", "path", "context", "metadata")
 
 

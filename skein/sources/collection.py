@@ -2,10 +2,17 @@
 
 A collection is a parquet table ``(pk, text, path, context, metadata,
 dense_vector)`` plus its sparse vectors in long form ``(pk, term, w)``.
+
+Rows are inserted in batches. A batch is written to a staging folder that readers skip and then
+moved to ``batch_id=<id>`` in one step, so a failed attempt leaves nothing visible. The folders are
+the ledger of ids: a batch that is there already is not inserted again.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +21,7 @@ FIELD_LIMITS = {"text": 16384, "path": 8192, "context": 8192, "metadata": 4096}
 
 COLLECTION_DDL = ("pk BIGINT, text STRING, path STRING, context STRING, metadata STRING, "
                   "dense_vector ARRAY<FLOAT>")
+COLUMNS = ["pk", "text", "path", "context", "metadata", "dense_vector"]
 
 
 def assign_pk(rows: DataFrame, discriminator: str | None = None) -> DataFrame:
@@ -34,22 +42,60 @@ def length_check(rows: DataFrame) -> DataFrame:
     return out.withColumn("accepted", ok)
 
 
+def _quoted(name: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def create_collection(spark: SparkSession, name: str, location: str | None = None) -> DataFrame:
     """Create the collection table if absent, else open the existing one."""
     if not spark.catalog.tableExists(name):
-        loc = f" LOCATION '{location}'" if location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({COLLECTION_DDL}) USING parquet{loc}")
-    return spark.table(name)
+        place = location.replace("\\", "\\\\").replace("'", "\\'") if location else None
+        loc = f" LOCATION '{place}'" if place else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(name)} ({COLLECTION_DDL}, batch_id STRING) USING parquet PARTITIONED BY (batch_id){loc}")
+    return spark.table(name).select(*COLUMNS)
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").collect()}  # a few rows
 
 
-def insert_rows(rows: DataFrame, name: str) -> DataFrame:
-    """Append rows that pass the length rule; returns the rejected rows."""
+def _location(spark: SparkSession, name: str) -> str:
+    return _described(spark, name)["Location"].rstrip("/")
+
+
+def insert_rows(rows: DataFrame, name: str, batch_id: str | None = None) -> DataFrame:
+    """Insert the rows that pass the length rule as one batch; returns the rejected rows.
+
+    A call can be repeated with the same ``batch_id`` (letters, digits, ``_``, ``.``, ``-``): the batch
+    that was moved into place first stays, later ones add no row. Without an id each call is a batch."""
+    spark = rows.sparkSession
+    batch_id = batch_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
+        raise ValueError(f"batch id {batch_id!r} has other characters than letters, digits, '_', '.', '-'")
     checked = length_check(assign_pk(rows))
-    cols = ["pk", "text", "path", "context", "metadata", "dense_vector"]
-    checked.where("accepted").select(*cols).write.insertInto(name)
+    root = _location(spark, name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target, staged = path(f"{root}/batch_id={batch_id}"), path(f"{root}/_staging/{batch_id}-{uuid.uuid4().hex}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        checked.where("accepted").select(*COLUMNS).write.parquet(staged.toString())
+        # a rename onto an existing folder would move into it: the one that comes second gives up
+        if fs.exists(target) or not fs.rename(staged, target):
+            fs.delete(staged, True)
+    if _described(spark, name).get("Partition Provider") == "Catalog":  # the catalog keeps the list of folders
+        spark.sql(f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS PARTITION (batch_id = '{batch_id}')")
+    spark.catalog.refreshTable(name)
     return checked.where(~F.col("accepted"))
 
 
+def batches(spark: SparkSession, name: str) -> list[str]:
+    """Ids of the inserted batches in order (folder names, no data read)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_location(spark, name))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(n.removeprefix("batch_id=") for n in names if n.startswith("batch_id="))
+
+
 def list_collections(spark: SparkSession, database: str | None = None) -> list[str]:
     """Table names in name order (catalog metadata, no data read)."""
     return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)

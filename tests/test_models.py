@@ -74,3 +74,43 @@ def test_duplicated_row_equals_double_weight(spark):
     c1 = lr.fit(dup).coefficients.toArray()
     c2 = lr.fit(wtd).coefficients.toArray()
     assert abs(c1 - c2).max() < 1e-4
+
+
+def test_settings_share_their_features(spark):
+    """Each setting's model equals a fit of its own; the training texts are read once for all."""
+    from pyspark.ml.functions import vector_to_array
+
+    from skein.operators import metrics as mt
+    from skein.operators import train as tr
+    rows = [(i, ("alpha beta " if i % 2 else "gamma delta ") + f"w{i % 7}", i % 2) for i in range(60)]
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "row_id long, text string, label_id int")
+    grid = [{"reg_param": 0.5}, {"reg_param": 0.01}, {"reg_param": 0.01, "max_iter": 3}, {"reg_param": 0.1}]
+    models = tr.fit_settings(df.mapInArrow(counted, df.schema), ["zero", "one"], grid)
+    assert reads.value == 2 * len(rows)  # once for the document frequencies, once for the vectors, whatever the grid
+    for params, model in zip(grid, models):
+        own = tr.fit(df, ["zero", "one"], **params)
+        a, b = ({r.row_id: r.p for r in m.transform(df).select("row_id", vector_to_array("probability")[1].alias("p")).collect()} for m in (model, own))
+        assert all(abs(a[i] - b[i]) < 1e-6 for i in b)
+    values, best, model = tr.select_best(df, df, ["zero", "one"], grid, lambda p: mt.binary_metrics(p.withColumnRenamed("label_id", "label")), "f1")
+    assert len(values) == 4 and best == values.index(max(values)) and "predicted_label" in model.transform(df).columns
+
+
+def test_fitted_models_share_one_scan(spark):
+    from skein.operators import multimodel as mm
+    from skein.operators import train as tr
+    from skein.session import write_table
+    rows = [(i, "alpha beta" if i % 2 else "gamma delta", i % 2) for i in range(40)]
+    df = write_table(spark.createDataFrame(rows, "row_id long, text string, label_id int"), "models")
+    models = [*tr.fit_settings(df, ["zero", "one"], [{"reg_param": 0.1}, {"reg_param": 1.0}]), tr.fit(df, ["zero", "one"], max_iter=2)]
+    specs = [mm.ModelSpec(f"m{i}", mm.CLASSIFY, spark_model=m, label_mapping={0: "zero", 1: "one"}) for i, m in enumerate(models)]
+    out = mm.score_all(df.select("row_id", "text"), specs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and out.count() == 120
+    assert {(r.row_id, r.label) for r in out.where("model = 'm2'").collect()} == {(i, "one" if y else "zero") for i, _, y in rows}

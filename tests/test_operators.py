@@ -429,6 +429,29 @@ def test_collection_create_insert_and_length_rule(spark, tmp_path):
     assert (r.n_rows, r.n_sparse, r.n_dense) == (1, 1, 1)
 
 
+def test_collection_batches_are_inserted_once(spark, tmp_path):
+    """A repeated batch adds no row, a failed attempt shows none, and a later attempt completes it."""
+    import pytest
+
+    from skein.sources import collection as colx
+    name, place = "batches_" + tmp_path.name.replace("-", "_"), str(tmp_path / "it's here")
+    colx.create_collection(spark, name, place)
+    rows = spark.createDataFrame([(f"text {i}", f"p/{i}", "c", "m", [0.1]) for i in range(10)], "text string, path string, context string, metadata string, dense_vector array<float>")
+    colx.insert_rows(rows, name, "one")
+    colx.insert_rows(rows, name, "one")
+    assert colx.create_collection(spark, name).count() == 10
+    broken = rows.withColumn("context", F.when(F.col("path") == "p/7", F.raise_error(F.lit("lost"))).otherwise(F.col("context")))
+    with pytest.raises(Exception, match="lost"):
+        colx.insert_rows(broken, name, "two")
+    assert colx.create_collection(spark, name).count() == 10 and colx.batches(spark, name) == ["one"]
+    colx.insert_rows(rows, name, "two")
+    colx.insert_rows(rows, name)  # without an id: a batch of its own
+    got = colx.create_collection(spark, name)
+    assert got.count() == 30 and got.columns == colx.COLUMNS and len(colx.batches(spark, name)) == 3
+    with pytest.raises(ValueError, match="batch id"):
+        colx.insert_rows(rows, name, "../up")
+
+
 def test_written_tables_can_be_dropped(spark):
     """Only the named tables go; a table that another frame reads stays."""
     import os
