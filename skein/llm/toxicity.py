@@ -53,6 +53,7 @@ STANDS_FOR = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7
 
 LEXICON, STRONG_WORD, STEM, HIDDEN, PERSON, CAPITALS, DISGUISED, STRETCHED, SINGLE = (1 << i for i in range(9))
 _EDGE = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "¡¿«»„“”‘’…"
+_ENDS = "!?.,;:"
 _INNER = re.compile(r"[^\W\d_][^\w\s'’-]+[^\W\d_]|[^\W\d_]+\d+[^\W\d_]+|[^\W\d_]_+[^\W\d_]")
 _SAME = re.compile(r"(.)\1{2,}")
 _JUNK = re.compile(r"[^\w]|_")
@@ -69,32 +70,44 @@ def keys_of(word: str) -> list[str]:
 
 def revealed(word: str) -> str:
     """A word without stand-in characters, separators and stretched letters."""
-    inner = word.rstrip("!?.,;:")
+    inner = word.rstrip(_ENDS)
     return _SAME.sub(r"\1", _JUNK.sub("", inner.lower().translate(STANDS_FOR)))
 
 
 class Scanner:
-    """Features of texts under one lexicon (key -> log odds); remembers what it knows of a word."""
+    """Features of texts under one lexicon (key -> log odds); remembers what it knows of a word, in
+    two generations, so that a full memory forgets only what was not used since it was last full."""
+
+    #: Words of a generation.
+    LIMIT = 100_000
 
     def __init__(self, lexicon: dict[str, float]):
-        self.lexicon, self.known = lexicon, {}
+        self.lexicon, self.known, self.older = lexicon, {}, {}
+        self.stems = {k[:-1] for k in lexicon if k.endswith("*")}
+        self.spellings = {k for k in lexicon if len(k) >= 4 and not k.endswith("*")}
+        self.lengths = sorted({len(k) for k in self.spellings})
 
     def bits(self, word: str) -> int:
-        p, lex = plain(word), self.lexicon
-        out = 0
+        core = word.rstrip(_ENDS)
+        if core.isalpha():  # letters and sentence marks: nothing stands for a letter, nothing parts them
+            p, hidden = core.lower(), None
+        else:
+            p, hidden = plain(word), True
+        lex, out = self.lexicon, 0
         if p in lex:
             out |= LEXICON | (STRONG_WORD if lex[p] >= STRONG else 0)
-        if any(k in lex for k in keys_of(p)[1:]):
+        if p[:4] in self.stems or p[:5] in self.stems or p[:6] in self.stems:
             out |= STEM
-        if not out and (r := revealed(word)) != p and r in lex:
+        stretched = _SAME.search(p) is not None
+        if not out and (hidden or stretched) and (r := revealed(word)) != p and r in lex:
             out |= HIDDEN
         if p in SECOND_PERSON:
             out |= PERSON
         if len(word) > 1 and word.isupper():
             out |= CAPITALS
-        if _INNER.search(word):
+        if hidden and _INNER.search(word):
             out |= DISGUISED
-        if _SAME.search(p):
+        if stretched:
             out |= STRETCHED
         if len(p) == 1:
             out |= SINGLE
@@ -108,21 +121,27 @@ class Scanner:
             for run in np.split(single, np.flatnonzero(np.diff(single) > 1) + 1):
                 if len(run) >= 4:
                     line = "".join(plain(words[i]) for i in run)
-                    found += any(k in line for k in self.lexicon if 4 <= len(k) <= len(line) and not k.endswith("*"))
+                    found += any(line[i: i + n] in self.spellings for n in self.lengths for i in range(len(line) - n + 1))
         return found
 
+    def look_up(self, words: list[str]) -> list[int]:
+        known = self.known
+        codes = list(map(known.get, words))
+        if None in codes:
+            if len(known) > self.LIMIT:
+                self.older, self.known = known, {}
+                known = self.known
+            older = self.older
+            for w, code in zip(words, codes):
+                if code is None and w not in known:
+                    code = older.get(w)
+                    known[w] = self.bits(w) if code is None else code
+            codes = [known[w] if code is None else code for w, code in zip(words, codes)]
+        return codes
+
     def features(self, text: str) -> list[float]:
         words = text.split()
-        if len(self.known) > 100_000:
-            self.known = {}
-        known = self.known
-        codes = [known.get(w, -1) for w in words]
-        if -1 in codes:
-            for w in words:
-                if w not in known:
-                    known[w] = self.bits(w)
-            codes = [known[w] for w in words]
-        bits = np.array(codes, dtype=np.int64)
+        bits = np.array(self.look_up(words), dtype=np.int64)
         n, chars = max(1, len(words)), max(1, len(text))
         lex, person = np.flatnonzero(bits & (LEXICON | HIDDEN | STEM)), np.flatnonzero(bits & PERSON)
         near = 0
