@@ -1,30 +1,36 @@
 """Language-model scores from a weighted backoff automaton.
 
-Training texts give token counts (every token, exactly) and counts of 2-grams and 3-grams over
-the frequent tokens. The smoothed model:
+Training texts give the counts of all tokens, 2-grams and 3-grams: every n-gram counts, however
+rare, so the model grows with the corpus. The smoothed model:
 
 * a token known from training has (c - D) / N, all unknown tokens share D * V / N (absolute
   discounting, D from the numbers of tokens seen once and twice);
-* an n-gram that is kept has (c - 0.75) / c(history); what its history leaves goes to the shorter
-  history by a backoff weight, so each state's probabilities sum to one.
-
-N-grams become states and arcs, backoff becomes failure arcs with a weight. A text is scored in
-one traversal from left to right that carries the state and adds log10 probabilities.
-
-Size. Frequent tokens have at least ``TOKEN_RATE`` of all tokens and a kept n-gram at least
-``ARC_RATE``, so there are at most 1 / rate of them however large the corpus: the automaton can
-be shipped. The token counts have no such bound and never are: documents are dealt into blocks of
-about 16 MB, the distinct words of a block are joined with the count table, and each block meets
-its own part of the counts. Rows of a block depend on the row alone, so copies spread.
-
-Null and empty texts consist of the end token. Without any training token all scores are 0. A
-null doc_id is held out by the checksum of an empty text; repeated rows are scored each.
+* after a history h that was seen, p(w | h) = (c(h w) + M * p(w | shorter h)) / (c(h) + M) with M
+  from ``MASS`` (Dirichlet smoothing). All that follows h is counted, so each state's
+  probabilities sum to one.
+
+Histories become states and n-grams arcs; what was not seen after a history takes its failure arc,
+of weight M / (c(h) + M), to the shorter one. A text is scored in one traversal from left to right
+that carries the state and adds log10 probabilities.
+
+Size. The counts never pass the driver and are never shipped whole. Documents are dealt into
+blocks of about 16 MB (by the row alone, so copies spread). A block asks for the counts of its own
+distinct n-grams: sorted keys, cut into parts of the key space, one row a part. Each part adds up
+what the blocks sent (a hot n-gram is one key a block) and answers every row with the totals in
+the order of its keys. The block then builds the states and arcs that its texts can meet; all
+others have no bearing on them. A part holds about what a block sends.
+
+Keys are hashes: 64 bits for tokens, 56 for n-grams. Two tokens of a corpus of 10^8 distinct ones
+share a key with a probability of 0.0003; two n-grams that do so add up their counts.
+
+Null and empty texts consist of the end token; a text of any length is one row of one block, whose
+traversal is cut into lanes. Without any training token all scores are 0. A null doc_id is held
+out by the checksum of an empty text; repeated rows are scored each.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,222 +38,319 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import BLOCK_BYTES, block_of, partial_counts, utf8, words
-from skein.session import write_table
-
-TOKEN_RATE = 1e-5
-ARC_RATE = 1e-6
-DISCOUNT = 0.75
-#: The end token; no word, since words hold no line end.
-END = b"\n"
-SHIFT = 20  # bits of a frequent token's number in an n-gram key
-HELD_KEYS = 4_000_000  # n-grams a worker holds before it counts them
-
-
-def token_counts(texts: DataFrame) -> DataFrame:
-    """word (binary), c over the texts, the end token included."""
-
-    def count(acc: dict, b: pa.RecordBatch) -> None:
-        own = Counter()
-        for t in utf8(b.column(0)):
-            own.update(words(t))
-        own[END] += b.num_rows
-        for k, c in own.items():
-            acc[k] = acc.get(k, 0) + c
-
-    def emit(acc: dict) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(acc), pa.binary()), pa.array(list(acc.values()), pa.int64())], ["word", "c"])
-
-    partial = texts.mapInArrow(lambda bs: partial_counts(bs, count, emit), "word binary, c long")
-    return partial.groupBy("word").agg(F.sum("c").alias("c"))
-
-
-def ngram_counts(texts: DataFrame, numbers: dict[bytes, int], pairs: np.ndarray | None = None) -> DataFrame:
-    """key, c of the 2-grams over numbered tokens or, with ``pairs`` (the sorted keys of the 2-grams
-    that are kept), of the 3-grams both of whose 2-grams are kept: no other can be as frequent. A
-    key holds (number + 1) in SHIFT-bit fields."""
-    shipped = texts.sparkSession.sparkContext.broadcast((numbers, pairs))  # at most 1 / rate entries each
-
-    def keys_of(values: list[bytes]) -> np.ndarray:
-        ids: list[int] = []
-        known, kept = shipped.value
-        get, end = known.get, known.get(END, -1)
-        for t in values:
-            ids += [get(w, -1) for w in words(t)]
-            ids += [end, -1]  # no n-gram reaches into the next text
-        a = np.array(ids, dtype=np.int64) + 1
-        two = np.where((a[:-1] > 0) & (a[1:] > 0), a[:-1] << SHIFT | a[1:], 0)
-        if kept is None:
-            return two[two > 0]
-        if not len(kept):
-            return two[:0]
-        there = kept[np.minimum(np.searchsorted(kept, two), len(kept) - 1)] == two
-        return (a[:-2] << 2 * SHIFT | two[1:])[there[:-1] & there[1:]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        for b in batches:
-            values = utf8(b.column(0))
-            for at in range(0, len(values), 512):
-                held.append(keys_of(values[at: at + 512]))
-                if sum(map(len, held)) >= HELD_KEYS:
-                    yield emit(held)
-                    held = []
-        if held:
-            yield emit(held)
+from skein.llm.common import BLOCK_BYTES, give_back, utf8
+
+#: Weight, in tokens, of the shorter history's probability beside a history of one and of two tokens.
+MASS = (200.0, 20.0)
+#: Tokens of a text that are traversed in one go.
+LANE = 1024
+#: Bytes of text that are hashed at once.
+WINDOW = 1 << 20
+#: Key of the end token.
+END = np.uint64(1)
+
+_U = np.uint64
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_ODD = 0x9E3779B97F4A7C15
+_MASK = (1 << 64) - 1
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> _U(33))) * _U(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> _U(33))
+
+
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _U(_ODD))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Hasher:
+    """Keys of words: a polynomial over the bytes, taken from running sums, so that a window of
+    text costs a few array operations."""
+
+    def __init__(self):
+        self.up = self.down = np.zeros(0, dtype=np.uint64)
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(key, first byte) of each word of ``data``, which begins and ends with white space."""
+        space = _SPACE[data]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        first, last = edges[0::2], edges[1::2]
+        keys = np.empty(len(first), dtype=np.uint64)
+        at = 0
+        while at < len(first):
+            to = max(at + 1, int(np.searchsorted(last, first[at] + WINDOW)))  # a longer word is a window alone
+            low, high = int(first[at]), int(last[to - 1])
+            if high - low > len(self.up):
+                n = max(WINDOW, high - low)
+                self.up, self.down = _powers(_ODD, n), _powers(pow(_ODD, -1, 1 << 64), n)
+            sums = np.concatenate([[_U(0)], np.cumsum(_BYTE[data[low:high]] * self.up[: high - low], dtype=np.uint64)])
+            a, b = first[at:to] - low, last[at:to] - low
+            keys[at:to] = _mixed((sums[b] - sums[a]) * self.down[a])
+            at = to
+        return keys, first
+
+    def texts(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(keys of all tokens, tokens per text); each text's last token is the end."""
+        data = np.frombuffer(b" " + b"".join(v.lower() + b" " for v in values), dtype=np.uint8)
+        keys, first = self.words(data)
+        ends = np.cumsum([len(v) + 1 for v in values]) if values else np.zeros(0, np.int64)
+        upto = np.searchsorted(first, ends, side="right")
+        sizes = np.diff(upto, prepend=0)
+        tokens = np.full(len(keys) + len(values), END)
+        tokens[np.arange(len(keys)) + np.repeat(np.arange(len(values)), sizes)] = keys
+        return tokens, sizes + 1
+
+
+def ngram_keys(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the 2-gram and the 3-gram that end at each token, 0 where the text is shorter."""
+    two, three = np.zeros_like(tokens), np.zeros_like(tokens)
+    two[1:] = _mixed(tokens[:-1] * _U(0xD6E8FEB86659FD93) + tokens[1:]) >> _U(8) | _U(1)
+    three[1:] = _mixed(two[:-1] * _U(0xA0761D6478BD642F) + tokens[1:]) >> _U(8) | _U(1)
+    first = np.cumsum(sizes) - sizes
+    two[first] = three[first] = 0
+    three[(first + 1)[sizes > 1]] = 0
+    return two, three
+
+
+#: Bits of the keys of each order.
+BITS = {1: 64, 2: 56, 3: 56}
+ASKS = "block long, ord int, part int, n int, keys binary, counts binary"
+TOLD = "block long, ord int, part int, n int, totals binary"
+
+
+def small(values: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each."""
+    top = int(values.max()) if len(values) else 0
+    return values.astype(next(k for k in ("<u1", "<u2", "<u4", "<u8") if top <= np.iinfo(k).max)).tobytes()
+
+
+def unsmall(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{len(data) // n}").astype(np.int64)
+
+
+def steps(keys: np.ndarray) -> bytes:
+    """Sorted keys as the first one and the differences, in the fewest bytes each."""
+    gaps = np.diff(keys)
+    top = int(gaps.max()) if len(gaps) else 0
+    width = max(1, (top.bit_length() + 7) // 8)
+    return keys[:1].astype("<u8").tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def unsteps(data: bytes, n: int) -> np.ndarray:
+    out = np.empty(n, dtype=np.uint64)
+    out[0] = np.frombuffer(data[:8], dtype="<u8")[0]
+    if n > 1:
+        wide = np.zeros((n - 1, 8), dtype=np.uint8)
+        raw = np.frombuffer(data[8:], dtype=np.uint8).reshape(n - 1, -1)
+        wide[:, : raw.shape[1]] = raw
+        out[1:] = wide.view("<u8")[:, 0]
+    return np.cumsum(out, dtype=np.uint64)
+
+
+def distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, sorted; count of each among ``train``); key 0 is none."""
+    every = np.unique(keys)
+    if len(every) and every[0] == 0:
+        every = every[1:]
+    seen, c = np.unique(keys[train], return_counts=True)
+    counts = np.zeros(len(every), dtype=np.int64)
+    there = seen > 0
+    counts[np.searchsorted(every, seen[there])] = c[there]
+    return every, counts
+
+
+def asks(block: int, order: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> list[tuple]:
+    """Rows of one block and order: its keys cut into the parts of the key space."""
+    if not len(keys):
+        return []
+    top = keys >> _U(BITS[order] - 32)
+    part = ((top * _U(parts)) >> _U(32)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(part)) + 1
+    rows = []
+    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(keys)]):
+        rows.append((block, order, int(part[a]), b - a, steps(keys[a:b]), small(counts[a:b])))
+    return rows
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+
+
+def add_up(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(totals of the distinct keys of a part, place of each asked key, rows' ends)."""
+    n = asked.column("n").to_pylist()
+    keys = np.concatenate([unsteps(k, m) for k, m in zip(asked.column("keys").to_pylist(), n)])
+    counts = np.concatenate([unsmall(c, m) for c, m in zip(asked.column("counts").to_pylist(), n)])
+    every, place = np.unique(keys, return_inverse=True)
+    return np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64), place, np.cumsum(n)
+
+
+def answer(asked: pa.Table) -> pa.Table:
+    """The totals of a part for each row that asks."""
+    if not asked.num_rows:
+        return _table([], TOLD)
+    totals, place, ends = add_up(asked)
+    pieces = np.split(totals[place], ends[:-1])
+    heads = zip(*(asked.column(c).to_pylist() for c in ("block", "ord", "part", "n")))
+    return _table([(*head, small(x)) for head, x in zip(heads, pieces)], TOLD)
+
 
-    def emit(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys, c = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], ["key", "c"])
+def statistics(texts: DataFrame, parts: int) -> list[int]:
+    """Tokens, distinct tokens, tokens seen once, seen twice, over the column ``text``."""
 
-    return texts.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, held, size = Hasher(), [], 0
+
+        def emit() -> pa.RecordBatch:
+            keys, c = np.unique(np.concatenate(held), return_counts=True)
+            return _table(asks(0, 1, keys, c, parts), ASKS).combine_chunks().to_batches()[0]
+
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                tokens, _ = hasher.texts(utf8(b.column(0).slice(at, 512)))
+                held.append(tokens)
+                size += len(tokens)
+                if size >= 4_000_000:
+                    yield emit()
+                    held, size = [], 0
+        if size:
+            yield emit()
+        give_back()
+
+    def count(asked: pa.Table) -> pa.Table:
+        totals = add_up(asked)[0] if asked.num_rows else np.zeros(0, np.int64)
+        x = [int(totals.sum()), len(totals), int((totals == 1).sum()), int((totals == 2).sum())]
+        return pa.table({k: pa.array([v], pa.int64()) for k, v in zip("nvot", x)})
+
+    told = texts.mapInArrow(ask, ASKS).groupBy("part").applyInArrow(count, "n long, v long, o long, t long")
+    return [int(x or 0) for x in told.agg(*[F.sum(c) for c in "nvot"]).first()]
+
+
+class Numbered:
+    """Tokens and n-grams of a block of texts: distinct keys and, per token, the places of those
+    that end there (0 to len - 1; len where there is none)."""
+
+    def __init__(self, values: list[bytes]):
+        tokens, self.sizes = Hasher().texts(values)
+        self.keys, self.place, self.first = {}, {}, {}
+        for order, keys in enumerate((tokens, *ngram_keys(tokens, self.sizes)), 1):
+            every, first, place = np.unique(keys, return_index=True, return_inverse=True)
+            if order > 1 and len(every) and every[0] == 0:
+                every, first, place = every[1:], first[1:], place - 1
+                place[place < 0] = len(every)
+            self.keys[order], self.first[order], self.place[order] = every, first, place
 
 
 class Automaton:
-    """States with arcs (next state, log10 weight) and failure arcs.
+    """The states and arcs that a block's texts can meet.
 
-    State 0 is the empty history, which has no arcs: there a token weighs its own probability and
-    leads to the state of that token, if it has one.
+    State 0 is the empty history, 1 + i the token i, then the 2-grams. Each n-gram that was seen in
+    training is an arc from the state of its history; arcs are found by the n-gram's number and
+    taken only from their own state.
     """
 
-    def __init__(self, tokens: dict[int, tuple[int, float]], grams: dict[int, int], discount: float = DISCOUNT):
-        """``tokens``: number -> (count, probability); ``grams``: key -> count."""
-        mask = (1 << SHIFT) - 1
-        histories: dict[tuple[int, ...], list[tuple[int, float]]] = {}
-        prob: dict[tuple[int, ...], float] = {}
-        for key in sorted(grams):  # 2-grams are the smaller keys
-            three = key >> 2 * SHIFT
-            u, v, w = three - 1, (key >> SHIFT & mask) - 1, (key & mask) - 1
-            history = (u, v) if three else (v,)
-            total = grams[(u + 1) << SHIFT | (v + 1)] if three else tokens[v][0]
-            p = (grams[key] - discount) / total
-            prob[(*history, w)] = p
-            histories.setdefault(history, []).append((w, p))
-        self.state = {(): 0} | {h: i for i, h in enumerate(sorted(histories, key=lambda h: (len(h), h)), 1)}
-        self.start = {h[0]: i for h, i in self.state.items() if len(h) == 1}
-        self.arcs: list[dict[int, tuple[int, float]]] = [{} for _ in self.state]
-        self.fail, self.weight = [0] * len(self.state), [0.0] * len(self.state)
-        for h, out in histories.items():
-            at = self.state[h]
-            # what the same tokens have one state down; a kept 3-gram's last two tokens are a kept 2-gram
-            lower = [prob[(h[1], w)] if len(h) == 2 else tokens[w][1] for w, _ in out]
-            left = max(1e-12, 1.0 - math.fsum(p for _, p in out))
-            self.weight[at] = math.log10(left / max(1e-12, 1.0 - math.fsum(lower)))
-            self.fail[at] = self.state.get(h[1:], 0)
-            for w, p in out:
-                self.arcs[at][w] = (self.state.get((*h, w)[-2:], self.start.get(w, 0)), math.log10(p))
-        # the failure weights from each state down to state 0
-        self.chain = [0.0] * len(self.state)
-        for at in range(1, len(self.state)):  # shorter histories come first
-            self.chain[at] = self.weight[at] + self.chain[self.fail[at]]
-
-    def score(self, line: list[tuple[float, int, float]]) -> tuple[float, float]:
-        """(log10 probability, sum of the third fields) of tokens given as (own log10
-        probability, number or -1, another value)."""
-        arcs, fail, weight, chain, start = self.arcs, self.fail, self.weight, self.chain, self.start
-        at, total, other = 0, 0.0, 0.0
-        for own, number, value in line:
-            other += value
-            if number < 0:
-                total += chain[at] + own
-                at = 0
-                continue
-            while at:
-                arc = arcs[at].get(number)
-                if arc is not None:
-                    at = arc[0]
-                    total += arc[1]
-                    break
-                total += weight[at]
-                at = fail[at]
-            else:
-                total += own
-                at = start.get(number, 0)
-        return total, other
-
-
-class Model:
-    """Token table and automaton of a training set."""
-
-    def __init__(self, train: DataFrame, token_rate: float = TOKEN_RATE, arc_rate: float = ARC_RATE):
-        """``train``: one text column."""
-        self.tokens = write_table(token_counts(train), "lm-tokens")
-        row = self.tokens.agg(F.sum("c"), F.count(F.lit(1)), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-        self.n, self.v, once, twice = (int(x or 0) for x in row)
-        self.discount = once / (once + 2 * twice) if once and twice else 0.5
-        # at most 1 / token_rate rows
-        often = self.tokens.where(F.col("c") >= F.lit(token_rate * self.n)).orderBy(F.desc("c"), "word").collect() if self.n else []
-        often = often[: (1 << SHIFT) - 2]
-        self.numbers = {bytes(r["word"]): i for i, r in enumerate(often)}
-        grams = {}
-        if often:
-            # at most 1 / arc_rate rows of either order
-            pairs = None
-            for _ in (2, 3):
-                kept = ngram_counts(train, self.numbers, pairs).where(F.col("c") >= F.lit(max(arc_rate * self.n, 1.5))).toPandas()
-                grams |= dict(zip(kept["key"].tolist(), kept["c"].tolist()))
-                pairs = np.sort(kept["key"].to_numpy(dtype=np.int64))
-        self.automaton = Automaton({i: (r["c"], self.own(r["c"])) for i, r in enumerate(often)}, grams)
-
-    def own(self, c: int) -> float:
-        """Probability of a token seen ``c`` times, out of context."""
-        if not self.n:
-            return 1.0
-        return (c - self.discount) / self.n if c else self.discount * self.v / self.n
+    def __init__(self, x: Numbered, counts: dict[int, np.ndarray], own: np.ndarray, mass: tuple[float, float]):
+        """``own``: probability of each token out of context."""
+        n1, n2 = len(x.keys[1]), len(x.keys[2])
+        c1, c2, c3 = (counts[i].astype(np.float64) for i in (1, 2, 3))
+        at2, at3 = x.first[2], x.first[3]
+        v, w = x.place[1][at2 - 1], x.place[1][at2]
+        history, tail = x.place[2][at3 - 1], x.place[2][at3]
+        p2 = (c2 + mass[0] * own[w]) / (c1[v] + mass[0])
+        p3 = (c3 + mass[1] * np.where(c2[tail] > 0, p2[tail], 0.0)) / (c2[history] + mass[1])  # c3 > 0 needs c2 > 0
+        # per order: the state an arc leaves (-1: no such arc), its weight, the state it leads to
+        none = np.array([-1])
+        self.leaves = {2: np.concatenate([np.where(c2 > 0, 1 + v, -1), none]), 3: np.concatenate([np.where(c3 > 0, 1 + n1 + history, -1), none])}
+        self.arc = {1: np.log10(own), 2: np.append(np.log10(np.maximum(p2, 1e-300)), 0.0), 3: np.append(np.log10(np.maximum(p3, 1e-300)), 0.0)}
+        self.to = {1: np.where(c1 > 0, 1 + np.arange(n1), 0), 2: np.append(1 + n1 + np.arange(n2), 0), 3: np.append(1 + n1 + tail, 0)}
+        self.fail = np.concatenate([[0], np.zeros(n1, np.int64), 1 + w])
+        self.weight = np.concatenate([[0.0], np.log10(mass[0] / (c1 + mass[0])), np.log10(mass[1] / (c2 + mass[1]))])
+        self.pairs = 1 + n1  # the first state of two tokens
+
+    def score(self, x: Numbered) -> np.ndarray:
+        """log10 probability of each text. Texts are traversed side by side, long ones in lanes: two
+        tokens fix the state, so a lane carries its state on from two tokens before its own."""
+        sizes = x.sizes
+        lanes = -(-sizes // LANE)
+        text = np.repeat(np.arange(len(sizes)), lanes)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        ends = np.cumsum(sizes)
+        warm = np.where(nth > 0, 2, 0)
+        begin = (ends - sizes)[text] + nth * LANE - warm
+        length = np.minimum(begin + warm + LANE, ends[text]) - begin
+        order = np.argsort(-length, kind="stable")
+        begin, warm, length = begin[order], warm[order], length[order]
+        state, total = np.zeros(len(text), np.int64), np.zeros(len(text))
+        active = np.searchsorted(-length, -np.arange(int(length[0]) if len(length) else 0), side="left")
+        for j, k in enumerate(active.tolist()):
+            at, s = begin[:k] + j, state[:k]
+            i1, i2, i3 = (x.place[o][at] for o in (1, 2, 3))
+            three = self.leaves[3][i3] == s
+            back = ~three & (s >= self.pairs)  # a failure arc from two tokens to one
+            p = np.where(three, self.arc[3][i3], np.where(back, self.weight[s], 0.0))
+            s = np.where(back, self.fail[s], s)
+            two = ~three & (self.leaves[2][i2] == s)
+            p += np.where(three, 0.0, np.where(two, self.arc[2][i2], self.weight[s] + self.arc[1][i1]))
+            state[:k] = np.where(three, self.to[3][i3], np.where(two, self.to[2][i2], self.to[1][i1]))
+            total[:k] += np.where(j >= warm[:k], p, 0.0)
+        own = np.empty(len(text))
+        own[order] = total
+        return np.bincount(text, weights=own, minlength=len(sizes))
 
 
 SCORES = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score for every row."""
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    dealt = chosen.withColumn("block", block_of(chosen, "text", ["doc_id"], block_bytes)).groupBy("block")
-    n, v = model.n, model.v
-    shipped = docs.sparkSession.sparkContext.broadcast((model.automaton, model.numbers))  # at most 1 / rate entries each
-    ends = model.tokens.where(F.col("word") == F.lit(END)).select("c").first()
-    n_ends = ends["c"] if ends else 0
-    floor = math.log10(n + v + 1)
-    unknown = (math.log10(model.own(0)) if model.own(0) > 0 else 0.0, -1, -floor)
-    discount = model.discount
-
-    def block_words(table: pa.Table) -> pa.Table:
-        found: set[bytes] = set()
-        for t in utf8(table.column("text").combine_chunks()):
-            found.update(words(t))
-        if not table.num_rows:
-            return pa.table({"block": pa.array([], pa.int64()), "word": pa.array([], pa.binary())})
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(found), pa.int64()), "word": pa.array(list(found), pa.binary())})
-
-    def traverse(texts: pa.Table, counts: pa.Table) -> pa.Table:
-        automaton, numbers = shipped.value
-        known = counts.column("word").to_pylist()
-        c = counts.column("c").to_numpy()
-        if n_ends:
-            known.append(END)
-            c = np.append(c, n_ends)
-        owns, bases = (np.log10((c - discount) / n), np.log10(c + 1) - floor) if len(c) else (c, c)
-        table = dict(zip(known, zip(owns.tolist(), [numbers.get(w, -1) for w in known], bases.tolist())))
-        get, end, out = table.get, table.get(END) or unknown, []
-        for t in utf8(texts.column("text").combine_chunks()):
-            line = [get(w, unknown) for w in words(t)]
-            line.append(end)
-            total, base = automaton.score(line)
-            out.append((len(line), len(line) - line.count(unknown), base, total))
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        cols = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
-        return pa.table([texts.column("doc_id"), cols[0], cols[1], pa.array([n] * len(out), pa.int64()), cols[2], cols[3]],
-                        names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    needed = dealt.applyInArrow(block_words, "block long, word binary")
-    counts = needed.join(model.tokens, "word").select("block", "word", "c")
+def held_out_scores(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", mass: tuple[float, float] = MASS,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row, from a
+    model of the rows that are not held out. ``held`` is a condition on the column doc_id."""
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("held_out", held)
+    total = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, math.ceil(total / block_bytes))
+    n, v, once, twice = statistics(chosen.where(~F.col("held_out")).select("text"), parts)
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("long")
+    dealt = chosen.withColumn("block", block).groupBy("block")
+
+    def ask(table: pa.Table) -> pa.Table:
+        rows: list[tuple] = []
+        if table.num_rows:
+            at = table.column("block")[0].as_py()
+            tokens, sizes = Hasher().texts(utf8(table.column("text").combine_chunks()))
+            train = np.repeat(~np.array(table.column("held_out").to_pylist(), dtype=bool), sizes)
+            for order, keys in enumerate((tokens, *ngram_keys(tokens, sizes)), 1):
+                rows += asks(at, order, *distinct(keys, train), parts)
+        return _table(rows, ASKS)
+
+    def traverse(table: pa.Table, told: pa.Table) -> pa.Table:
+        rows = table.num_rows
+        x = Numbered(utf8(table.column("text").combine_chunks()) if rows else [])
+        pieces: dict[int, list] = {1: [], 2: [], 3: []}
+        for o, part, m, totals in sorted(zip(*(told.column(c).to_pylist() for c in ("ord", "part", "n", "totals")))):
+            pieces[o].append(unsmall(totals, m))
+        counts = {o: np.concatenate(p) if p else np.zeros(len(x.keys[o]), np.int64) for o, p in pieces.items()}
+        c = counts[1]
+        own = np.where(c > 0, (c - discount) / n, discount * v / n) if n else np.ones(len(c))
+        score = Automaton(x, counts, own, mass).score(x) if n else np.zeros(rows)
+        of = np.repeat(np.arange(rows), x.sizes)
+        base = np.bincount(of, weights=(np.log10((c + 1) / (n + v + 1)))[x.place[1]], minlength=rows)
+        known = np.bincount(of, weights=(c > 0)[x.place[1]], minlength=rows).astype(np.int64)
+        out = pa.table([table.column("doc_id"), table.column("held_out"), pa.array(x.sizes.astype(np.int64)), pa.array(known),
+                        pa.array(np.full(rows, n, dtype=np.int64)), pa.array(base), pa.array(score)],
+                       names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return out
+
+    told = dealt.applyInArrow(ask, ASKS).groupBy("ord", "part").applyInArrow(answer, TOLD)
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return dealt.cogroup(counts.groupBy("block")).applyInArrow(traverse, f"doc_id {kind}, {SCORES}")
-
-
-def held_out_scores(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Scores of all rows from a model of those that are not held out; with the
-    column held_out. ``held`` is a condition on the column doc_id."""
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    model = Model(chosen.where(~held).select("text"), **options)
-    return score(chosen, model).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return dealt.cogroup(told.groupBy("block")).applyInArrow(traverse, f"doc_id {kind}, held_out boolean, {SCORES}")

@@ -2,8 +2,11 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from edge import edge_docs, empty_docs, texts
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skein.llm import backoff_lm as L
@@ -11,7 +14,7 @@ from skein.llm.common import held_out
 from skein.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
-END = L.END
+END = b"\n"
 
 
 def tokens(text):
@@ -19,36 +22,26 @@ def tokens(text):
 
 
 class Brute:
-    """The model straight from its definition: recursion instead of an automaton."""
+    """The model straight from its definition: recursion over dictionaries of words."""
 
-    def __init__(self, train, token_rate=L.TOKEN_RATE, arc_rate=L.ARC_RATE):
+    def __init__(self, train, mass=L.MASS):
+        self.mass = mass
         self.c = Counter(w for t in train for w in tokens(t))
         self.n, self.v = self.c.total(), len(self.c)
         once, twice = (sum(x == i for x in self.c.values()) for i in (1, 2))
         self.d = once / (once + 2 * twice) if once and twice else 0.5
-        often = {w for w, c in self.c.items() if c >= token_rate * self.n}
-        g = Counter()
+        self.g = Counter()
         for t in train:
             w = tokens(t)
             for k in (2, 3):
-                g.update(x for x in (tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if set(x) <= often)
-        self.g = {x: c for x, c in g.items() if c >= max(arc_rate * self.n, 1.5)}
-        self.out = {}
-        for x in self.g:
-            self.out.setdefault(x[:-1], []).append(x[-1])
-
-    def p1(self, w):
-        return (self.c[w] - self.d) / self.n if w in self.c else self.d * self.v / self.n
+                self.g.update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
 
     def p(self, h, w):
         if not h:
-            return self.p1(w)
-        if (*h, w) in self.g:
-            return (self.g[(*h, w)] - L.DISCOUNT) / (self.g[h] if len(h) == 2 else self.c[h[0]])
-        if h not in self.out:
-            return self.p(h[1:], w)
-        left = 1 - sum(self.p(h, x) for x in self.out[h])
-        return left / (1 - sum(self.p(h[1:], x) for x in self.out[h])) * self.p(h[1:], w)
+            return (self.c[w] - self.d) / self.n if w in self.c else self.d * self.v / self.n
+        seen = self.c[h[0]] if len(h) == 1 else self.g[h]
+        m = self.mass[len(h) - 1]
+        return (self.g[(*h, w)] + m * self.p(h[1:], w)) / (seen + m)
 
     def score(self, text):
         w = tokens(text)
@@ -81,19 +74,63 @@ def test_query_matches_brute_force(spark, sf_dir):
 def test_blocks_do_not_matter(spark, sf_dir):
     from skein.sources.tables import read_table
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    model = L.Model(docs.select("text"))
-    a = {r["doc_id"]: tuple(r) for r in L.score(docs, model).collect()}
-    b = {r["doc_id"]: tuple(r) for r in L.score(docs.repartition(5), model, block_bytes=9_000).collect()}
+    held_rows = held_out(F.col("doc_id"), 7, 2)
+    a = {r["doc_id"]: tuple(r) for r in L.held_out_scores(docs, held_rows).collect()}
+    b = {r["doc_id"]: tuple(r) for r in L.held_out_scores(docs.repartition(5), held_rows, block_bytes=9_000).collect()}
     assert a == b
 
 
 def test_a_state_is_a_distribution(spark, sf_dir):
     rows = list(texts(spark, sf_dir).items())
     m = Brute([t for i, t in rows if not held(i)])
-    for h in sorted(m.out, key=lambda h: -len(m.out[h]))[:3]:
+    for h in [h for h, _ in m.g.most_common(40) if len(h) == 2 and END not in h][:6]:  # nothing follows the end
         assert sum(m.p(h, w) for w in m.c) + m.p(h, b"unknown word") == pytest.approx(1.0, abs=1e-6)
 
 
+def test_rare_ngrams_count(spark):
+    """No rate: what two texts of many share raises the score, however large the rest is."""
+    rest = [(i, " ".join(f"w{i}x{j % 50}" for j in range(200))) for i in range(300)]
+    shared = "a rare but whole sentence that only two of the texts hold"
+    rows = rest + [(1000, shared), (1001, shared)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in L.held_out_scores(docs, F.lit(False)).collect()}
+    model = Brute([t for _, t in rows])
+    alone = Brute([t for _, t in rows[:-1]])
+    assert got[1000] == got[1001] == pytest.approx(model.score(shared), rel=1e-9)
+    assert model.score(shared) > alone.score(shared)
+
+
+def test_long_texts_are_cut_into_lanes(spark):
+    rows = [(1, " ".join(f"v{j * j % 97}" for j in range(3 * L.LANE + 5))), (2, "v1 v4 v9 " * 700), (3, "x" * 3_000_000 + " v1"),
+            (4, " ".join(f"v{j * j % 97}" for j in range(L.LANE - 1)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(L.held_out_scores(docs, held_out(F.col("doc_id"), 7, 2)).collect(), rows, Brute([t for i, t in rows if not held(i)]))
+
+
+@given(st.lists(st.binary(max_size=40), max_size=12))
+def test_tokens_are_the_words(values):
+    keys, sizes = L.Hasher().texts(values)
+    words = [w for v in values for w in [*v.lower().split(), END]]
+    assert sizes.tolist() == [len(v.split()) + 1 for v in values]
+    assert len({*zip(words, keys.tolist())}) == len({*words}) == len({*keys.tolist()})
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=30, unique=True))
+def test_keys_and_counts_survive_the_way(values):
+    keys = np.array(sorted(values), dtype=np.uint64)
+    assert L.unsteps(L.steps(keys), len(keys)).tolist() == keys.tolist()
+    counts = np.array([v >> 8 for v in values])
+    assert L.unsmall(L.small(counts), len(counts)).tolist() == counts.tolist()
+
+
+def test_text_is_shuffled_once(spark, sf_dir):
+    df = QUERIES["op3_backoff_lm"](spark, sf_dir)
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+
+
 def test_held_out_texts_score_above_the_base(spark):
     rows = [r for r in QUERIES["op3_backoff_lm"](spark, SF).collect() if r["held_out"]]
     assert len(rows) > 100 and sum(r["score"] > r["base_score"] for r in rows) > 0.95 * len(rows)
