@@ -9,7 +9,8 @@ sentences and matches when the document's sequence holds their pieces in that or
 lie between). Every matching rule is reported, also one that is part of a longer one.
 
 Every step is row-local: no shuffle, no Python, and the only table that is shipped is the fixed
-list of sentences below. Null and empty texts have no licences and a sequence of length 0.
+list of sentences below. Null and empty texts have no licences and a sequence of length 0; repeated
+rows are reported each; a text of any length is one row, whose sentences are cut in one pass.
 """
 
 from __future__ import annotations
@@ -91,8 +92,9 @@ RULES = [
 #: next line goes on (begins with a small letter, a bracket or quote, or with capitals after capitals).
 SENTENCE_END = (r"(?<=[.:;!?])[ \t\r\n\x0B\f]+|(?<![A-Z,\r\n])[\r\n]+(?![ \t]*[a-z(\"])"
                 r"|(?<=[A-Z,])[\r\n]+(?![ \t]*(?:[a-z(\"]|[A-Z]{2}))")
-#: A line end that may lie inside a sentence, with the comment marks, indentation and blank lines around it.
-GAP = r"[ \t*]*[\r\n][^A-Za-z0-9]{0,200}"
+#: A line end that may lie inside a sentence, with the comment marks, indentation and blank lines around it,
+#: however many (what follows is a word, so nothing that was taken need be given back).
+GAP = r"[ \t*]*[\r\n][^A-Za-z0-9]*+"
 #: What normalisation folds to one space.
 FOLD = r"[^a-z0-9]+"
 

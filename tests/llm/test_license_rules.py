@@ -7,19 +7,81 @@ from skein.llm import license_rules as L
 from skein.llm.queries import QUERIES
 
 
+WHITE, LINE_END, QUOTES = " \t\r\n\x0b\x0c", "\r\n", "\"'`‘’“”"
+
+
+def goes_on(text, at, before):
+    """Whether the line that begins at ``at`` goes on with a sentence whose last character so far is ``before``."""
+    rest = text[at:].lstrip(" \t")[:2]
+    if rest[:1] and (rest[0] in "(\"" or "a" <= rest[0] <= "z"):
+        return True
+    return bool(before) and (before == "," or "A" <= before <= "Z") and len(rest) == 2 and all("A" <= c <= "Z" for c in rest)
+
+
+def cut(text):
+    """Sentences, by walking over the characters."""
+    out, start, i = [], 0, 0
+    while i < len(text):
+        before, j = text[i - 1] if i else "", i
+        if before and before in ".:;!?" and text[i] in WHITE:
+            while j < len(text) and text[j] in WHITE:
+                j += 1
+        elif text[i] in LINE_END and not (before and before in LINE_END):
+            while j < len(text) and text[j] in LINE_END:
+                j += 1
+            if goes_on(text, j, before):
+                j -= 1  # only a line end that is followed by another one ends the sentence
+        if j > i:
+            out.append(text[start:i])
+            start = i = j
+        else:
+            i += 1
+    return [*out, text[start:]]
+
+
+def key(sentence):
+    return " ".join(re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), sentence)))
+
+
+def plain(separator):
+    return "".join("'" if c in QUOTES else c for c in separator)
+
+
+PIECES = [(name, i, k, p) for name, t in L.SENTENCES.items() for i, (k, p) in enumerate([(key(p), p) for p in cut(t) if key(p)], 1)]
+NAMES = {}
+for _name, _i, _key, _ in PIECES:
+    NAMES.setdefault(_key, _name if _i == 1 else f"{_name}/{_i}")
+NEIGHBOURS = set()
+for _, _, _, _piece in PIECES:
+    _split = re.split("([^A-Za-z0-9]+)", _piece)
+    for _a, _s, _b in zip(_split[0::2], _split[1::2], _split[2::2]):
+        if _a and _b:
+            NEIGHBOURS.add((_a.lower(), plain(_s.split(" ")[0]), _b.lower()))
+
+
+def unwrapped(text):
+    """Line ends between words that are neighbours in a known sentence become spaces."""
+    parts = re.split("([^A-Za-z0-9]+)", text)
+    for i in range(1, len(parts) - 1, 2):
+        at = re.search("[\r\n]", parts[i])
+        if at and parts[i - 1] and parts[i + 1]:
+            head = parts[i][: at.start()].rstrip(" \t*")
+            if (parts[i - 1].lower(), plain(head), parts[i + 1].lower()) in NEIGHBOURS:
+                parts[i] = head + " "
+    return "".join(parts)
+
+
 def brute(text):
-    """Plain Python form of the scan."""
-    numbers, names = L.known(), L.identifiers()
-    hits = [(numbers[k], i) for i, k in enumerate(L.sentence_key(s) for s in re.split(L.SENTENCE_END, text or "")) if k in numbers]
-    ids = [names[n - 1] for n, _ in hits]
+    """Plain Python form of the scan, with a splitter and an unwrapping of its own."""
+    hits = [(NAMES[k], i) for i, k in enumerate(map(key, cut(unwrapped(text or "")))) if k in NAMES]
     found = [n for n, _ in hits]
 
     def ordered(rule):
         rest = iter(found)
-        return all(x in rest for x in L.rule_numbers(rule))
+        return all(NAMES[k] in rest for name in rule for n, _, k, _ in PIECES if n == name)
 
     rules = sorted((r, lic) for r, lic, seq in L.RULES if ordered(seq))
-    return (len(hits), ",".join(ids), ",".join(str(i) for _, i in hits), ",".join(r for r, _ in rules),
+    return (len(hits), ",".join(found), ",".join(str(i) for _, i in hits), ",".join(r for r, _ in rules),
             ",".join(sorted({lic for _, lic in rules})), bool(rules))
 
 
@@ -151,6 +213,7 @@ def test_wrapped_headers(spark):
                 rows.append((lic, "\n".join((mark + x).rstrip() for p in parts for x in [*p, ""])))
     got = L.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert len(got) == len(rows)
+    assert [tuple(r)[1:] for r in got] == [brute(t) for _, t in rows]
     wrong = [(r["doc_id"], t) for r, (_, t) in zip(got, rows) if r["licenses"] != r["doc_id"] or not WHOLE[r["doc_id"]] <= set(r["rules"].split(","))]
     assert not wrong, wrong[:3]
 
@@ -159,3 +222,12 @@ def test_titles_and_other_lines_stay_apart(spark):
     text = "Apache License\nVersion 2.0, January 2004\n\nMIT License\nSome project\nAll rights reserved.\n"
     row = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row["sequence"] == "apache-2.0-title,mit-title-short,all-rights-reserved"
+
+
+@pytest.mark.parametrize("between", ["# " + "-" * 250, " *\n" * 400, "#" * 300_000, "\n" * 5_000])
+def test_what_lies_between_two_lines_has_no_bound(spark, between):
+    lines = HEADERS["MIT"].split("\n")
+    at = next(i for i, x in enumerate(lines) if x.startswith("in the Software"))
+    text = "\n".join([*lines[:at], between, *lines[at:]])
+    row = L.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert "mit-text" in row["rules"].split(",") and tuple(row)[1:] == brute(text)
