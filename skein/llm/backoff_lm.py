@@ -46,14 +46,14 @@ MASS = (200.0, 20.0)
 LANE = 1024
 #: Bytes of text that are hashed at once.
 WINDOW = 1 << 20
-#: Key of the end token.
-END = np.uint64(1)
+#: Key of the end token; the lowest bit of all keys is 0.
+END = np.uint64(2)
 
 _U = np.uint64
+_EVEN = np.uint64((1 << 64) - 2)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ODD = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -93,12 +93,18 @@ class Hasher:
                 self.up, self.down = _powers(_ODD, n), _powers(pow(_ODD, -1, 1 << 64), n)
             sums = np.concatenate([[_U(0)], np.cumsum(_BYTE[data[low:high]] * self.up[: high - low], dtype=np.uint64)])
             a, b = first[at:to] - low, last[at:to] - low
-            keys[at:to] = _mixed((sums[b] - sums[a]) * self.down[a])
+            keys[at:to] = _mixed((sums[b] - sums[a]) * self.down[a]) & _EVEN
             at = to
         return keys, first
 
     def texts(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(keys of all tokens, tokens per text); each text's last token is the end."""
+        ends = np.cumsum([len(v) for v in values])
+        cuts = [0, *(np.flatnonzero(np.diff(ends // (2 * WINDOW))) + 1).tolist(), len(values)]
+        slices = [self._slice(values[a:b]) for a, b in zip(cuts, cuts[1:])]
+        return np.concatenate([t for t, _ in slices]), np.concatenate([n for _, n in slices])
+
+    def _slice(self, values: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(b" " + b"".join(v.lower() + b" " for v in values), dtype=np.uint8)
         keys, first = self.words(data)
         ends = np.cumsum([len(v) + 1 for v in values]) if values else np.zeros(0, np.int64)
@@ -112,8 +118,8 @@ class Hasher:
 def ngram_keys(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the 2-gram and the 3-gram that end at each token, 0 where the text is shorter."""
     two, three = np.zeros_like(tokens), np.zeros_like(tokens)
-    two[1:] = _mixed(tokens[:-1] * _U(0xD6E8FEB86659FD93) + tokens[1:]) >> _U(8) | _U(1)
-    three[1:] = _mixed(two[:-1] * _U(0xA0761D6478BD642F) + tokens[1:]) >> _U(8) | _U(1)
+    two[1:] = np.maximum(_mixed(tokens[:-1] * _U(0xD6E8FEB86659FD93) + tokens[1:]) >> _U(8) & _EVEN, END)
+    three[1:] = np.maximum(_mixed(two[:-1] * _U(0xA0761D6478BD642F) + tokens[1:]) >> _U(8) & _EVEN, END)
     first = np.cumsum(sizes) - sizes
     two[first] = three[first] = 0
     three[(first + 1)[sizes > 1]] = 0
@@ -126,45 +132,43 @@ ASKS = "block long, ord int, part int, n int, keys binary, counts binary"
 TOLD = "block long, ord int, part int, n int, totals binary"
 
 
-def small(values: np.ndarray) -> bytes:
-    """Counts in the fewest bytes each."""
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned integers in the fewest bytes each, all first bytes before all second ones (small values
+    leave runs of zeros), compressed."""
     top = int(values.max()) if len(values) else 0
-    return values.astype(next(k for k in ("<u1", "<u2", "<u4", "<u8") if top <= np.iinfo(k).max)).tobytes()
+    width = max(1, (top.bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
-def unsmall(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, dtype=f"<u{len(data) // n}").astype(np.int64)
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    raw = pa.decompress(data[1:], decompressed_size=n * data[0], codec="zstd", asbytes=True)
+    wide = np.zeros((n, 8), dtype=np.uint8)
+    wide[:, : data[0]] = np.frombuffer(raw, dtype=np.uint8).reshape(data[0], n).T
+    return wide.view("<u8")[:, 0]
 
 
 def steps(keys: np.ndarray) -> bytes:
-    """Sorted keys as the first one and the differences, in the fewest bytes each."""
-    gaps = np.diff(keys)
-    top = int(gaps.max()) if len(gaps) else 0
-    width = max(1, (top.bit_length() + 7) // 8)
-    return keys[:1].astype("<u8").tobytes() + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    """Sorted keys as the first one and the differences."""
+    return keys[:1].astype("<u8").tobytes() + packed(np.diff(keys))
 
 
 def unsteps(data: bytes, n: int) -> np.ndarray:
     out = np.empty(n, dtype=np.uint64)
     out[0] = np.frombuffer(data[:8], dtype="<u8")[0]
-    if n > 1:
-        wide = np.zeros((n - 1, 8), dtype=np.uint8)
-        raw = np.frombuffer(data[8:], dtype=np.uint8).reshape(n - 1, -1)
-        wide[:, : raw.shape[1]] = raw
-        out[1:] = wide.view("<u8")[:, 0]
+    out[1:] = unpacked(data[8:], n - 1)
     return np.cumsum(out, dtype=np.uint64)
 
 
 def distinct(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct keys, sorted; count of each among ``train``); key 0 is none."""
-    every = np.unique(keys)
-    if len(every) and every[0] == 0:
-        every = every[1:]
-    seen, c = np.unique(keys[train], return_counts=True)
-    counts = np.zeros(len(every), dtype=np.int64)
-    there = seen > 0
-    counts[np.searchsorted(every, seen[there])] = c[there]
-    return every, counts
+    marked = np.sort(keys | train.astype(np.uint64))
+    marked = marked[np.searchsorted(marked, END):]
+    if not len(marked):
+        return marked, np.zeros(0, np.int64)
+    plain = marked & _EVEN
+    start = np.concatenate([[0], np.flatnonzero(plain[1:] != plain[:-1]) + 1])
+    return plain[start], np.add.reduceat((marked & _U(1)).astype(np.int64), start)
 
 
 def asks(block: int, order: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> list[tuple]:
@@ -176,7 +180,7 @@ def asks(block: int, order: int, keys: np.ndarray, counts: np.ndarray, parts: in
     cut = np.flatnonzero(np.diff(part)) + 1
     rows = []
     for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(keys)]):
-        rows.append((block, order, int(part[a]), b - a, steps(keys[a:b]), small(counts[a:b])))
+        rows.append((block, order, int(part[a]), b - a, steps(keys[a:b]), packed(counts[a:b])))
     return rows
 
 
@@ -186,12 +190,23 @@ def _table(rows: list[tuple], schema: str) -> pa.Table:
     return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sorted; a place of each; the number of the key at each place)."""
+    order = np.argsort(keys).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+    ranked = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    number = np.empty(len(keys), dtype=order.dtype)
+    number[order] = np.cumsum(new, dtype=order.dtype) - 1
+    return ranked[new], order[new], number
+
+
 def add_up(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(totals of the distinct keys of a part, place of each asked key, rows' ends)."""
     n = asked.column("n").to_pylist()
     keys = np.concatenate([unsteps(k, m) for k, m in zip(asked.column("keys").to_pylist(), n)])
-    counts = np.concatenate([unsmall(c, m) for c, m in zip(asked.column("counts").to_pylist(), n)])
-    every, place = np.unique(keys, return_inverse=True)
+    counts = np.concatenate([unpacked(c, m) for c, m in zip(asked.column("counts").to_pylist(), n)])
+    every, _, place = numbered(keys)
     return np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64), place, np.cumsum(n)
 
 
@@ -202,7 +217,7 @@ def answer(asked: pa.Table) -> pa.Table:
     totals, place, ends = add_up(asked)
     pieces = np.split(totals[place], ends[:-1])
     heads = zip(*(asked.column(c).to_pylist() for c in ("block", "ord", "part", "n")))
-    return _table([(*head, small(x)) for head, x in zip(heads, pieces)], TOLD)
+    return _table([(*head, packed(x)) for head, x in zip(heads, pieces)], TOLD)
 
 
 def statistics(texts: DataFrame, parts: int) -> list[int]:
@@ -237,18 +252,19 @@ def statistics(texts: DataFrame, parts: int) -> list[int]:
 
 
 class Numbered:
-    """Tokens and n-grams of a block of texts: distinct keys and, per token, the places of those
-    that end there (0 to len - 1; len where there is none)."""
+    """Tokens and n-grams of a block of texts, numbered in the order of their keys: ``n`` distinct ones,
+    ``first`` token at which each ends, ``place`` with the number of that which ends at a token (n where
+    there is none)."""
 
     def __init__(self, values: list[bytes]):
         tokens, self.sizes = Hasher().texts(values)
-        self.keys, self.place, self.first = {}, {}, {}
+        self.n, self.place, self.first = {}, {}, {}
         for order, keys in enumerate((tokens, *ngram_keys(tokens, self.sizes)), 1):
-            every, first, place = np.unique(keys, return_index=True, return_inverse=True)
+            every, first, place = numbered(keys)
             if order > 1 and len(every) and every[0] == 0:
                 every, first, place = every[1:], first[1:], place - 1
                 place[place < 0] = len(every)
-            self.keys[order], self.first[order], self.place[order] = every, first, place
+            self.n[order], self.first[order], self.place[order] = len(every), first, place
 
 
 class Automaton:
@@ -261,19 +277,22 @@ class Automaton:
 
     def __init__(self, x: Numbered, counts: dict[int, np.ndarray], own: np.ndarray, mass: tuple[float, float]):
         """``own``: probability of each token out of context."""
-        n1, n2 = len(x.keys[1]), len(x.keys[2])
+        n1, n2 = x.n[1], x.n[2]
         c1, c2, c3 = (counts[i].astype(np.float64) for i in (1, 2, 3))
         at2, at3 = x.first[2], x.first[3]
         v, w = x.place[1][at2 - 1], x.place[1][at2]
         history, tail = x.place[2][at3 - 1], x.place[2][at3]
         p2 = (c2 + mass[0] * own[w]) / (c1[v] + mass[0])
         p3 = (c3 + mass[1] * np.where(c2[tail] > 0, p2[tail], 0.0)) / (c2[history] + mass[1])  # c3 > 0 needs c2 > 0
+        x.first.clear()
         # per order: the state an arc leaves (-1: no such arc), its weight, the state it leads to
-        none = np.array([-1])
-        self.leaves = {2: np.concatenate([np.where(c2 > 0, 1 + v, -1), none]), 3: np.concatenate([np.where(c3 > 0, 1 + n1 + history, -1), none])}
+        small, none = np.int32 if n1 + n2 < 1 << 30 else np.int64, np.array([-1])
+        self.leaves = {2: np.concatenate([np.where(c2 > 0, 1 + v, -1), none]).astype(small),
+                       3: np.concatenate([np.where(c3 > 0, 1 + n1 + history, -1), none]).astype(small)}
         self.arc = {1: np.log10(own), 2: np.append(np.log10(np.maximum(p2, 1e-300)), 0.0), 3: np.append(np.log10(np.maximum(p3, 1e-300)), 0.0)}
-        self.to = {1: np.where(c1 > 0, 1 + np.arange(n1), 0), 2: np.append(1 + n1 + np.arange(n2), 0), 3: np.append(1 + n1 + tail, 0)}
-        self.fail = np.concatenate([[0], np.zeros(n1, np.int64), 1 + w])
+        self.to = {1: np.where(c1 > 0, 1 + np.arange(n1), 0).astype(small), 2: np.append(1 + n1 + np.arange(n2), 0).astype(small),
+                   3: np.append(1 + n1 + tail, 0).astype(small)}
+        self.fail = np.concatenate([[0], np.zeros(n1, small), 1 + w]).astype(small)
         self.weight = np.concatenate([[0.0], np.log10(mass[0] / (c1 + mass[0])), np.log10(mass[1] / (c2 + mass[1]))])
         self.pairs = 1 + n1  # the first state of two tokens
 
@@ -331,6 +350,8 @@ def held_out_scores(docs: DataFrame, held: Column, doc_id: str = "doc_id", text:
             train = np.repeat(~np.array(table.column("held_out").to_pylist(), dtype=bool), sizes)
             for order, keys in enumerate((tokens, *ngram_keys(tokens, sizes)), 1):
                 rows += asks(at, order, *distinct(keys, train), parts)
+            del tokens, keys, train
+            give_back()
         return _table(rows, ASKS)
 
     def traverse(table: pa.Table, told: pa.Table) -> pa.Table:
@@ -338,8 +359,8 @@ def held_out_scores(docs: DataFrame, held: Column, doc_id: str = "doc_id", text:
         x = Numbered(utf8(table.column("text").combine_chunks()) if rows else [])
         pieces: dict[int, list] = {1: [], 2: [], 3: []}
         for o, part, m, totals in sorted(zip(*(told.column(c).to_pylist() for c in ("ord", "part", "n", "totals")))):
-            pieces[o].append(unsmall(totals, m))
-        counts = {o: np.concatenate(p) if p else np.zeros(len(x.keys[o]), np.int64) for o, p in pieces.items()}
+            pieces[o].append(unpacked(totals, m).astype(np.int64))
+        counts = {o: np.concatenate(p) if p else np.zeros(x.n[o], np.int64) for o, p in pieces.items()}
         c = counts[1]
         own = np.where(c > 0, (c - discount) / n, discount * v / n) if n else np.ones(len(c))
         score = Automaton(x, counts, own, mass).score(x) if n else np.zeros(rows)
@@ -349,6 +370,8 @@ def held_out_scores(docs: DataFrame, held: Column, doc_id: str = "doc_id", text:
         out = pa.table([table.column("doc_id"), table.column("held_out"), pa.array(x.sizes.astype(np.int64)), pa.array(known),
                         pa.array(np.full(rows, n, dtype=np.int64)), pa.array(base), pa.array(score)],
                        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        del x, counts, pieces, of
+        give_back()
         return out
 
     told = dealt.applyInArrow(ask, ASKS).groupBy("ord", "part").applyInArrow(answer, TOLD)

@@ -120,7 +120,7 @@ def test_keys_and_counts_survive_the_way(values):
     keys = np.array(sorted(values), dtype=np.uint64)
     assert L.unsteps(L.steps(keys), len(keys)).tolist() == keys.tolist()
     counts = np.array([v >> 8 for v in values])
-    assert L.unsmall(L.small(counts), len(counts)).tolist() == counts.tolist()
+    assert L.unpacked(L.packed(counts), len(counts)).tolist() == counts.tolist()
 
 
 def test_text_is_shuffled_once(spark, sf_dir):
