@@ -8,17 +8,24 @@ never move between slots, so a move of a slot moves exactly that slot's rows.
 * ``rebalanced``: edits a map for new sizes or for more shards: while a shard is above the mean,
   its largest slot that still lies above the mean line goes to the lightest shard; all other
   slots stay where they are.
+* ``shard_documents`` stores the first map as version 1, assigns from what it reads back, and stores
+  the edited map for one more shard as version 2, which gives each row the shard it would have then.
 
 Both run over one row per slot (``SLOTS`` rows, whatever the input), folded in a SQL ``aggregate``.
 Records are hashed by id and content, so copies of one text spread over the slots; rows equal in
-id and text share a slot. Null texts have no bytes and size 1; a null id hashes by its text.
+id and text share a slot, and with it a shard. Null texts have no bytes and size 1; a null id hashes by its text.
+An empty table stores a map without slots. A text of any length is one row of its size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skein.session import checkpoint_dir, write_table
+
 #: Virtual slots: some hundred for each shard, so that one slot is a small part of a shard.
 SLOTS = 8_192
 
@@ -113,14 +120,25 @@ def assign(rows: DataFrame, sizes: DataFrame, slot_map: DataFrame) -> DataFrame:
             .drop("first", "rank"))
 
 
-def shard_documents(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot for every row, by
-    equal bytes."""
+def shard_documents(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS,
+                    path: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, next_shard for every row,
+    by equal bytes.
+
+    The map is stored in the new folder ``path`` (by default one in the shared folder): version 1 places
+    the rows, version 2 is version 1 edited for one more shard and gives ``next_shard``.
+    """
+    spark = docs.sparkSession
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/slot-map-{uuid.uuid4().hex}"
     rows = records(docs, doc_id, text, slots)
-    sizes = slot_sizes(rows)
-    return (assign(rows, sizes, first_map(sizes, shards))
+    sizes = write_table(slot_sizes(rows), "slot-sizes")
+    write_map(first_map(sizes, shards), path)
+    stored = read_map(spark, path, 1)
+    write_map(rebalanced(stored, sizes, shards + 1), path)
+    later = read_map(spark, path, 2).select("virtual_slot", F.col("shard").alias("next_shard"))
+    return (assign(rows, sizes, stored).join(F.broadcast(later), "virtual_slot")  # one row per slot: SLOTS at most
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
-                    "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot"))
+                    "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard"))
 
 
 def write_map(slot_map: DataFrame, path: str) -> None:
@@ -128,9 +146,9 @@ def write_map(slot_map: DataFrame, path: str) -> None:
     slot_map.write.mode("append").partitionBy("version").parquet(path)
 
 
-def read_map(spark, path: str, version: int | None = None) -> DataFrame:
+def read_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The given version of a stored map, or the latest."""
-    stored = spark.read.parquet(path)
+    stored = spark.read.schema("virtual_slot int, shard int, version int").parquet(path)
     if version is None:
         version = stored.agg(F.max("version")).first()[0]
     return stored.where(F.col("version") == version).select("version", "virtual_slot", "shard")

@@ -33,6 +33,37 @@ def test_bytes_are_near_equal(rows):
     assert max(load) <= 1.02 * sum(load) / 16 and min(load) >= 0.98 * sum(load) / 16
 
 
+def test_rows_follow_the_stored_map(spark):
+    path = new_folder(spark, "slot-map")
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('x', int(id % 97))").alias("text"))
+    got = V.shard_documents(docs, 8, path=path).collect()
+    one, two = ({r["virtual_slot"]: r["shard"] for r in V.read_map(spark, path, v).collect()} for v in (1, 2))
+    assert len(got) == 3000
+    assert all(r["shard"] == one[r["virtual_slot"]] and r["next_shard"] == two[r["virtual_slot"]] for r in got)
+    assert {r["next_shard"] for r in got if r["next_shard"] != r["shard"]} == {8}  # a new shard only takes
+
+
+def brute_places(rows):
+    """(shard, slot) of (doc_id, size, crc, virtual slot): largest slot first onto the lightest shard."""
+    size = {}
+    for _, n, _, v in rows:
+        size[v] = size.get(v, 0) + n
+    load, shard = [0] * 16, {}
+    for v in sorted(size, key=lambda v: (-size[v], v)):
+        shard[v] = load.index(min(load))
+        load[shard[v]] += size[v]
+    place, out = [0] * 16, {}
+    for i, n, c, v in sorted(rows, key=lambda r: (shard[r[3]], r[3], r[0], r[2], r[1])):
+        out[i] = (shard[v], place[shard[v]])
+        place[shard[v]] += 1
+    return out
+
+
+def test_places_match_brute_force(rows):
+    want = brute_places([(r["doc_id"], r["size"], r["text_crc32"], r["virtual_slot"]) for r in rows])
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in rows} == want
+
+
 def test_copies_spread(spark):
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("the same text").alias("text"))
     per = [r["count"] for r in V.shard_documents(docs, 16).groupBy("shard").count().collect()]
