@@ -151,18 +151,20 @@ def _finished(hasher: Hasher, row: tuple, following: tuple) -> tuple:
 def robustness(docs: DataFrame, terms: set[bytes], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row.
 
-    The next document is the next in descending doc_id (null ids last, equal ids in the order of
-    their texts), after the last the first. Documents are range-partitioned in that order
+    The next document is the next in descending doc_id (null ids last; equal ids in the order of
+    their texts' hashes, then of the texts), after the last the first. Documents are range-partitioned in that order
     (one shuffle of the texts) and each partition is one pass that looks a row ahead; only the last
     row of a partition waits for the first of the next, and these rows (two a partition) meet in a
     second, small step.
     """
     spark = docs.sparkSession
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    # range bounds are sampled on the driver: of ids and hashes, never of texts
+    bounds = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    order = [*bounds, F.col("text")]
     # explicit: fewer partitions than rows, so that a partition is worth a pass
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = chosen.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    ranged = chosen.repartitionByRange(n, *bounds).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     shipped = spark.sparkContext.broadcast(terms)  # size checked in lexicon
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:

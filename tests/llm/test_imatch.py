@@ -35,10 +35,15 @@ def brute_fp(text, lexicon):
     return out
 
 
+def signed(data):
+    h = xxhash.xxh64(data, seed=42).intdigest()
+    return h - 2**64 if h >= 2**63 else h
+
+
 def expected(rows):
     """rows: (doc_id, text); the contract computed on one list."""
     lexicon = brute_lexicon([t for _, t in rows])
-    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1].encode()))
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), signed(r[1].encode()), r[1].encode()))
     out = []
     for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]):
         n = len(t) // 3
@@ -77,6 +82,19 @@ def test_edges(spark):
     assert {r["doc_id"]: r["fingerprint"] for r in I.fingerprints(docs, lexicon).collect()}[1] == dict((x[0], x[3]) for x in got)["1"]
 
 
+def test_range_bounds_are_no_texts(spark, monkeypatch):
+    ranges, real = [], I.write_table
+
+    def seen(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        ranges.extend(x.split("rangepartitioning(")[1] for x in plan.split("\n") if "rangepartitioning(" in x)
+        return real(df, name)
+
+    monkeypatch.setattr(I, "write_table", seen)
+    I.robustness(edge_docs(spark), set())
+    assert ranges and all(x.startswith("doc_id#") and x.count("text#") == x.count("xxhash64(text#") == 1 for x in ranges), ranges
+
+
 def test_lexicon_does_not_depend_on_partitions(spark):
     from skein.sources.tables import read_table
     docs = read_table(spark, SF, "documents", "text")
