@@ -20,8 +20,8 @@ what the blocks sent (a hot n-gram is one key a block) and answers every row wit
 the order of its keys. The block then builds the states and arcs that its texts can meet; all
 others have no bearing on them. A part holds about what a block sends.
 
-Keys are hashes: 64 bits for tokens, 56 for n-grams. Two tokens of a corpus of 10^8 distinct ones
-share a key with a probability of 0.0003; two n-grams that do so add up their counts.
+Keys are hashes: 63 bits for tokens, 55 for n-grams. Among 10^8 distinct tokens any two share a key
+with a probability of 0.0005; tokens or n-grams that do so add up their counts.
 
 Null and empty texts consist of the end token; a text of any length is one row of one block, whose
 traversal is cut into lanes. Without any training token all scores are 0. A null doc_id is held

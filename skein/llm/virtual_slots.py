@@ -80,7 +80,7 @@ def rebalanced(old: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     above the mean gives away slots, largest first, as long as it stays at the mean or above.
     """
     now = sizes.join(old.select("virtual_slot", "shard"), "virtual_slot", "left")
-    version = old.agg((F.max("version") + 1).alias("version"))
+    version = (old.agg(F.max("version")).first()[0] or 0) + 1
     slots = _sorted_slots(now, F.coalesce("shard", F.lit(-1)).alias("at"))
     zero = F.array_repeat(F.lit(0).cast("long"), shards)
     loads = F.aggregate("slots", zero, lambda acc, x: _add(acc, x["at"], -x["b"]))
@@ -100,7 +100,7 @@ def rebalanced(old: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
              .select("slots", F.aggregate("slots", start, move)["to"].alias("to"))
              .select(F.explode(F.arrays_zip("slots", "to")).alias("x"))
              .select(F.col("x.slots.s").alias("virtual_slot"), F.col("x.to").alias("shard")))
-    return moved.crossJoin(F.broadcast(version)).select("version", "virtual_slot", "shard")  # one row: the version
+    return moved.select(F.lit(version).alias("version"), "virtual_slot", "shard")
 
 
 def assign(rows: DataFrame, sizes: DataFrame, slot_map: DataFrame) -> DataFrame:
