@@ -201,13 +201,20 @@ def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ranked[new], order[new], number
 
 
-def add_up(asked: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(totals of the distinct keys of a part, place of each asked key, rows' ends)."""
+def key_rows(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of ``asks`` as one batch."""
+    return _table(rows, ASKS).combine_chunks().to_batches()[0]
+
+
+def add_up(asked: pa.Table, with_keys: bool = False) -> tuple[np.ndarray, ...]:
+    """(totals of the distinct keys of a part, place of each asked key, rows' ends); ``with_keys``:
+    (the distinct keys, their totals)."""
     n = asked.column("n").to_pylist()
     keys = np.concatenate([unsteps(k, m) for k, m in zip(asked.column("keys").to_pylist(), n)])
     counts = np.concatenate([unpacked(c, m) for c, m in zip(asked.column("counts").to_pylist(), n)])
     every, _, place = numbered(keys)
-    return np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64), place, np.cumsum(n)
+    totals = np.bincount(place, weights=counts, minlength=len(every)).astype(np.int64)
+    return (every, totals) if with_keys else (totals, place, np.cumsum(n))
 
 
 def answer(asked: pa.Table) -> pa.Table:
@@ -228,7 +235,7 @@ def statistics(texts: DataFrame, parts: int) -> list[int]:
 
         def emit() -> pa.RecordBatch:
             keys, c = np.unique(np.concatenate(held), return_counts=True)
-            return _table(asks(0, 1, keys, c, parts), ASKS).combine_chunks().to_batches()[0]
+            return key_rows(asks(0, 1, keys, c, parts))
 
         for b in batches:
             for at in range(0, b.num_rows, 512):

@@ -51,15 +51,16 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def block_of(docs: DataFrame, text: str, keys: list[str], block_bytes: int = BLOCK_BYTES) -> Column:
-    """A block number that depends on the row alone; blocks hold about ``block_bytes`` of text.
+def block_of(docs: DataFrame, text: str, keys: list[str], block_bytes: int = BLOCK_BYTES) -> tuple[int, Column]:
+    """The number of blocks, and a block number that depends on the row alone; blocks hold about
+    ``block_bytes`` of text.
 
     One aggregate gives the number of blocks. Keys and text are hashed together, so a group of
     copies or a repeated key spreads over all blocks.
     """
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
-    return F.pmod(F.xxhash64(*keys, text), F.lit(n)).cast("long")
+    return n, F.pmod(F.xxhash64(*keys, text), F.lit(n)).cast("long")
 
 
 def partial_counts(batches: Iterable[pa.RecordBatch], count: Callable[[dict, pa.RecordBatch], None],
