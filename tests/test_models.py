@@ -114,3 +114,19 @@ def test_fitted_models_share_one_scan(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and out.count() == 120
     assert {(r.row_id, r.label) for r in out.where("model = 'm2'").collect()} == {(i, "one" if y else "zero") for i, _, y in rows}
+
+
+def test_training_texts_are_cut_once(spark, monkeypatch):
+    """A fit and its passes read one written table of term counts, and equal the plain pipeline's fit."""
+    from skein.operators import train as tr
+    written = []
+    keep = tr.write_table
+    monkeypatch.setattr(tr, "write_table", lambda df, name: written.append(df.columns) or keep(df, name))
+    rows = [(i, ("good fine day", "bad poor night", "odd thing")[i % 3] + f" w{i % 7}", float(i % 3)) for i in range(60)]
+    train = spark.createDataFrame(rows, "row_id long, text string, label_id double")
+    model = tr.fit(train, ["a", "b", "c"], family="multinomial")
+    assert written == [["label_id", "tf"]]
+    plain = tr.text_classifier(["a", "b", "c"], family="multinomial").fit(train)
+    a, b = ({r.row_id: r for r in tr.predict_table(m, train).collect()} for m in (model, plain))
+    assert [type(s) for s in model.stages] == [type(s) for s in plain.stages]
+    assert a.keys() == b.keys() and all(a[i].predicted_label == b[i].predicted_label and abs(a[i].p_max - b[i].p_max) < 1e-6 for i in a)
