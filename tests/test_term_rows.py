@@ -29,6 +29,22 @@ def test_item_rows_count_what_postings_count(spark):
     assert a == sorted(map(str, ft.postings(items).select("kind", "item_id", "term", "tf").collect()))
 
 
+def test_each_text_is_cut_once(spark, monkeypatch):
+    """The words of an item are found by one regular expression, in no filter besides; their number is counted from the item rows."""
+    rows = [("node", f"n{i}", x) for i, x in enumerate(["Ab  ab,é-É", " \n?", "", None, "ß١x 2²", "a b a"])]
+    items = spark.createDataFrame(rows, "kind string, item_id string, text string")
+    plans, write = [], term_rows.write_table
+    monkeypatch.setattr(term_rows, "write_table", lambda df, name: plans.append(plan(df)) or write(df, name))
+    got = term_rows.term_rows(items, ["kind", "item_id"], "text")
+    assert plans[0].count("regexp_") == 1
+    assert sorted((r.item_id, r.dl, sorted(zip(r.terms, r.tfs))) for r in got.collect()) == [
+        ("n0", 4, [("ab", 2), ("é", 2)]), ("n4", 2, [("2²", 1), ("ß١x", 1)]), ("n5", 3, [("a", 2), ("b", 1)])]
+    index = ft.FullTextIndex(term_rows.long_form(got, ["kind", "item_id"]), got.limit(0), got)
+    monkeypatch.setattr(ft, "write_table", lambda df, name: plans.append(plan(df)) or write(df, name))
+    assert {(r.kind, r.term, r.df) for r in index.terms.collect()} == {("node", t, 1) for t in ("ab", "é", "2²", "ß١x", "a", "b")}
+    assert "arrays_zip" not in plans[-1]
+
+
 def test_search_shuffles_no_hit(spark):
     rnd = random.Random(5)
     nodes = spark.createDataFrame([(f"n{i}", f"name{i}", "person", _words(rnd, 1 + i % 30), "") for i in range(300)], "node_id string, name string, labeled string, description string, metadata string")
