@@ -102,3 +102,30 @@ def test_sparse_paths_agree(spark):
     assert {tuple(r) for r in found.collect()} == want
     assert {tuple(r) for r in vec.sparse_topk(vec.long_vectors(q), vec.long_vectors(sparse), 4, True).collect()} == want
     assert isinstance(vec.sparse_search(q, sparse, 4), topk.TopK)
+
+
+def test_words_are_sent_as_one_string(spark):
+    """Items are stored with one string of terms, cut as ``terms`` cuts it in any script, and counted by group without exploding them."""
+    texts = ["straße–„Ünï“ Abc_d e", "İstanbul x́ Ⅷ ²½", "中文,字 😀b ߊ٣ ﬁ", " –", "", None, "a", "b\tb\x0bB\x00c", "ΣΑΣ ǅ ª"] * 3
+    items = spark.createDataFrame([("node" if i % 2 else "edge", f"n{i}", x) for i, x in enumerate(texts)], "kind string, item_id string, text string")
+    got = term_rows.term_rows(items, ["kind", "item_id"], "text")
+    assert got.schema["words"].dataType.simpleString() == "string" and "regexp" not in plan(got)
+    post = ft.postings(items)
+    a = sorted(map(str, term_rows.long_form(got, ["kind", "item_id"]).select("kind", "item_id", "term", F.col("tf").cast("long").alias("tf"), F.col("dl").cast("int")).collect()))
+    assert a == sorted(map(str, post.select("kind", "item_id", "term", "tf", F.col("dl").cast("int")).collect()))
+    want = sorted(map(str, ft.term_stats(post).collect()))
+    for rows in (got, got.drop("words")):
+        counted = term_rows.item_counts(rows, "kind")
+        assert sorted(map(str, counted.collect())) == want and "Generate" not in plan(counted)
+
+
+def test_index_terms_meet_a_batch_where_they_are_read(spark):
+    """The corpus's terms are neither shuffled nor joined in one task: pairs are checked before any exchange."""
+    vocab = spark.createDataFrame([(k, f"wrd{i}", 1) for i in range(200) for k in ("node", "edge")], "kind string, term string, df long")
+    q = spark.createDataFrame([(1, 0, "word7", True), (2, 0, "wrd77", True)], "prompt_id int, pos int, term string, is_fuzzy boolean")
+    cand = ft._candidates(q.selectExpr("term as query_term"), vocab)
+    assert "hashpartitioning" not in plan(cand) and "BroadcastHashJoin" in plan(cand)
+    got = ft.fuzzy_expand(q, vocab)
+    near = [x for x in plan(got).splitlines() if "levenshtein" in x]
+    assert near and got.groupBy("prompt_id", "kind", "term").count().where("count > 1").count() == 0
+    assert got.where("prompt_id = 1 AND term = 'wrd7' AND distance = 1").count() == 2
